@@ -69,7 +69,7 @@ BINDINGS = {
     "predictions": f"""
         SELECT CAST(l_shipdate AS DATE) AS snapshot_date, 'P' || CAST(l_partkey AS STRING) AS asin,
                {SITE_OF_LINE} AS site, p_type AS category,
-               sum(l_extendedprice * (1 - l_discount)) AS predicted_revenue,
+               sum(l_extendedprice * (1 - l_discount)) * 0.14285917 AS predicted_revenue,
                sum(l_quantity) AS predicted_units,
                1 - max(l_discount) AS confidence_score
         FROM {{lineitem}} l JOIN {{part}} p ON p.p_partkey = l.l_partkey
@@ -78,7 +78,7 @@ BINDINGS = {
     "actuals": f"""
         SELECT CAST(l_shipdate AS DATE) AS snapshot_date, 'P' || CAST(l_partkey AS STRING) AS asin,
                {SITE_OF_LINE} AS site,
-               sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_extendedprice END) AS actual_revenue
+               sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_extendedprice END) * 0.14285917 AS actual_revenue
         FROM {{lineitem}} l
         GROUP BY CAST(l_shipdate AS DATE), 'P' || CAST(l_partkey AS STRING), {SITE_OF_LINE}
     """,
@@ -126,7 +126,7 @@ BINDINGS = {
         FROM {labels} l JOIN {documents} d ON d.doc_id = l.doc_id
     """,
     "price_eval": """
-        SELECT l_extendedprice AS y, l_quantity * p_retailprice AS prediction
+        SELECT l_extendedprice / 1000 AS y, l_quantity * p_retailprice / 1000 AS prediction
         FROM {lineitem} l JOIN {part} p ON p.p_partkey = l.l_partkey
     """,
     "runs": """

@@ -6,9 +6,10 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     """P(|N(0,1)| >= |z|); runs on the few rows of an aggregated report."""
     return z.map(lambda v: None if pd.isna(v) else math.erfc(abs(v) / math.sqrt(2.0))).astype("float64")

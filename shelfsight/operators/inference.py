@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfsight.functions.columns import calendar_date, group_key, number, top_by_size, value_map
 from shelfsight.operators.running import rank_values, top_ranks
-from shelfsight.schemas import ensure_columns
+from shelfsight.schemas import ensure_columns, with_fields
 from shelfsight.settings import HOT_ROWS, ScoringSettings
 from shelfsight.sources.datasets import export_view, load_latest, write_snapshot
 
@@ -87,7 +87,7 @@ class PandasScorer:
     features: list[str]
 
     def __call__(self, df: DataFrame, features: list[str]) -> DataFrame:
-        schema = df.schema.add("lgbm_score", "double").add(CONTRIBUTIONS, "map<string,double>")
+        schema = with_fields(df, lgbm_score="double", **{CONTRIBUTIONS: "map<string,double>"})
         return df.mapInPandas(self.predict, schema)
 
 

@@ -9,6 +9,7 @@ from shelfsight.functions.columns import null_safe_join, number
 from shelfsight.operators.running import group_medians, top_ranks
 from shelfsight.schemas import ensure_columns
 from shelfsight.settings import HOT_ROWS, RANK_MIN, SCORE_WEIGHTS
+from shelfsight.sources.scratch import materialize
 
 GROUP = ["site", "category"]
 # A higher volatility lowers the score's z.
@@ -49,6 +50,8 @@ def score(
         {"asin": "string", "site": "string", "dt": "date", "category": "string"}
         | {m: "double" for m in metrics},
     ).select("asin", "site", "dt", "category", *[number(m).alias(m) for m in metrics])
+    # Medians, spreads and scores each pass over these few columns: write them once.
+    rows = materialize(rows, "score-input")
     rows = robust_stats(rows, GROUP, metrics, hot_rows)
     z = {}
     for m in metrics:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.operators.running import running_sums
+from shelfsight.schemas import with_fields
 from shelfsight.settings import HOT_ROWS
 
 # The stop words, the words kept in any case, the summary prompt.
@@ -92,8 +93,7 @@ def offline_summary(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def summarise_batches(batches: DataFrame, generate: Batches = offline_summary) -> DataFrame:
     """Add `summary` and `model` to each batch with a generator over Arrow batches."""
-    schema = batches.schema.add("summary", "string").add("model", "string")
-    return batches.mapInPandas(generate, schema)
+    return batches.mapInPandas(generate, with_fields(batches, summary="string", model="string"))
 
 
 def summary_documents(summaries: DataFrame, by: Sequence[str] = (), batch_size: int = 10) -> DataFrame:
@@ -116,7 +116,7 @@ def write_text_report(df: DataFrame, root: str, report_date: str, name: str) ->
 
 def embed_keywords(keywords: DataFrame, embed: Batches, column: str = "embedding") -> DataFrame:
     """Add an embedding column with an embedder over Arrow batches."""
-    return keywords.mapInPandas(embed, keywords.schema.add(column, "array<double>"))
+    return keywords.mapInPandas(embed, with_fields(keywords, **{column: "array<double>"}))
 
 
 @dataclass

@@ -6,57 +6,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _table(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-DIM_ASIN = _table(
+# Table layouts as DDL text, accepted by readers and `from_json` alike.
+DIM_ASIN = (
     "asin string, site string, title string, brand string, category_path array<string>,"
     " first_seen timestamp, last_seen timestamp"
 )
-TIMESERIES_RAW = _table(
+TIMESERIES_RAW = (
     "asin string, site string, dt date, price double, bsr bigint, rating double,"
     " reviews_count bigint, stock_est bigint, buybox_seller string, _ingested_at timestamp"
 )
-MART_DAILY = _table(
+MART_DAILY = (
     "asin string, site string, dt date, price double, bsr bigint, rating double,"
     " reviews_count bigint, stock_est bigint, buybox_seller string,"
     " price_valid boolean, bsr_valid boolean"
 )
-REVIEWS = _table(
+REVIEWS = (
     "asin string, site string, review_id string, dt date, rating bigint, title string,"
     " text string, verified boolean, _ingested_at timestamp"
 )
-KEYWORDS = _table(
+KEYWORDS = (
     "asin string, site string, keyword string, est_search_volume bigint, cpc double,"
     " difficulty double, _ingested_at timestamp"
 )
-FEATURES_DAILY = _table(
+FEATURES_DAILY = (
     "asin string, site string, dt date, bsr_trend_7 double, bsr_trend_30 double,"
     " price_vol_30 double, review_vel_14 bigint, rating_mean_30 double,"
     " est_sales_30 double, listing_quality double"
 )
-SCORE_DAILY = _table(
+SCORE_DAILY = (
     "asin string, site string, dt date, explosive_score double, reason string, rank_in_cat bigint"
 )
-PREDICTIONS_DAILY = _table(
+PREDICTIONS_DAILY = (
     "snapshot_date date, asin string, site string, category string, predicted_revenue double,"
     " predicted_units double, confidence_score double"
 )
-CATEGORY_SNAPSHOT = _table(
+CATEGORY_SNAPSHOT = (
     "snapshot_date date, category string, avg_category_revenue double, avg_category_units double"
 )
-FEATURE_HISTORY = _table(
+FEATURE_HISTORY = (
     "asin string, site string, feature_name string, feature_value double, snapshot_ts timestamp"
 )
-AI_SUMMARIES = _table("snapshot_date date, asin string, site string, summary_text string")
-AI_CLUSTERS = _table("snapshot_date date, asin string, site string, cluster_label string")
-ALERTS = _table("category string, severity string, message string, details map<string,string>")
+AI_SUMMARIES = "snapshot_date date, asin string, site string, summary_text string"
+AI_CLUSTERS = "snapshot_date date, asin string, site string, cluster_label string"
+ALERTS = "category string, severity string, message string, details map<string,string>"
 
 # The history keeps each series as JSON text: one series may be a list of
 # points or a flat numeric list, which no single struct type can describe.
-PRODUCT_PAYLOAD = _table(
+PRODUCT_PAYLOAD = (
     "asin string, domainId int, title string, brand string,"
     " categoryTree array<struct<name:string>>, imagesCSV string,"
     " history map<string,string>,"
@@ -74,6 +70,11 @@ def ensure_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
+def with_fields(df: DataFrame, **fields: str) -> T.StructType:
+    """The schema of `df` with further fields, for functions over Arrow batches."""
+    return df.select("*", *[F.lit(None).cast(kind).alias(name) for name, kind in fields.items()]).schema
+
+
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     """Names of the numeric (or boolean) columns outside `exclude`."""
     kinds = (T.NumericType, T.BooleanType)

@@ -11,11 +11,14 @@ from shelfsight.operators.standardize import union_all
 
 TEXT_PATTERN = "*.{csv,txt}"
 PARQUET_PATTERN = "*.parquet"
+# JSON text keeps microseconds only with an explicit format.
+EXACT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def land_payloads(payloads: DataFrame, root: str) -> None:
     """Append (asin, payload, _ingested_at) documents below root/site/kind as JSON lines."""
-    payloads.write.mode("append").partitionBy("site", "kind").json(root)
+    writer = payloads.write.mode("append").partitionBy("site", "kind")
+    writer.option("timestampFormat", EXACT_TIME).json(root)
 
 
 def read_landed(spark: SparkSession, root: str, kind: str) -> DataFrame:

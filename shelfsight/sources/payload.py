@@ -92,12 +92,14 @@ def _series_columns() -> dict[str, Column]:
     }
 
 
-def _points(text: Column) -> Column:
-    """Array of (day, value) in series order, from either encoding."""
-    is_list = F.ltrim(text).startswith("[")
-    listed = F.from_json(F.when(is_list & F.regexp_like(text, F.lit(r"^\s*\[\s*\{")), text), SERIES_POINTS)
+POINT_LIST = r"^\s*\[\s*\{"
+NUMBER_LIST = r"^\s*\[\s*[-+.0-9]"
+
+
+def _listed_points(points: Column) -> Column:
+    """Array of (seconds, value) of a parsed point list, without the empty points."""
     stamped = F.transform(
-        listed,
+        points,
         lambda p: F.struct(
             F.coalesce(p["timestamp"], p["time"], p["dt"]).alias("seconds"), p["value"].alias("value")
         ),
@@ -105,18 +107,16 @@ def _points(text: Column) -> Column:
     return F.filter(stamped, lambda p: p["seconds"].isNotNull() & p["value"].isNotNull())
 
 
-def _flat_pairs(text: Column) -> Column:
-    """Array of (minute token, value) pairs of a flat numeric series; an odd tail is dropped."""
-    flat = F.from_json(F.when(~F.regexp_like(text, F.lit(r"^\s*\[\s*\{")), text), "array<double>")
-    numeric = F.when(~F.exists(flat, lambda x: x.isNull()) & (F.size(flat) >= 2), flat)
-    steps = F.sequence(F.lit(0), F.floor(F.size(numeric) / 2).cast("int") - 1)
-    return F.transform(
-        steps,
-        lambda i: F.struct(
-            F.element_at(numeric, i * 2 + 1).cast("bigint").alias("minutes"),
-            F.element_at(numeric, i * 2 + 2).alias("value"),
-        ),
+def _flat_pairs(numbers: Column) -> Column:
+    """Array of (minute token, value) pairs of a flat series; an odd tail is dropped."""
+    tokens = F.filter(numbers, lambda _, i: i % 2 == 0)
+    values = F.filter(numbers, lambda _, i: i % 2 == 1)
+    pairs = F.transform(
+        F.arrays_zip(tokens.alias("minutes"), values.alias("value")),
+        lambda p: F.struct(p["minutes"].cast("bigint").alias("minutes"), p["value"].alias("value")),
     )
+    usable = ~F.exists(numbers, lambda x: x.isNull())
+    return F.when(usable, F.filter(pairs, lambda p: p["value"].isNotNull()))
 
 
 def series_points(products: DataFrame) -> DataFrame:
@@ -131,13 +131,18 @@ def series_points(products: DataFrame) -> DataFrame:
         *[F.struct(F.lit(m).alias("metric"), s.alias("text")) for m, s in _series_columns().items()]
     )
     texts = ready.select(*doc, F.explode(series).alias("s")).select(*doc, "s.*").where("text is not null")
-    parsed = texts.select(
-        *doc, "metric", _points(F.col("text")).alias("points"), _flat_pairs(F.col("text")).alias("pairs")
+    text = F.col("text")
+    lists = texts.where(F.regexp_like(text, F.lit(POINT_LIST))).select(
+        *doc, "metric", F.from_json(text, SERIES_POINTS).alias("points")
     )
-    listed = parsed.select(*doc, "metric", F.posexplode("points").alias("pos", "p")).select(
+    listed = lists.select(*doc, "metric", F.posexplode(_listed_points(F.col("points"))).alias("pos", "p"))
+    listed = listed.select(
         *doc, "metric", "pos", F.col("p.seconds").alias("seconds"), F.col("p.value").alias("value")
     )
-    pairs = parsed.select(*doc, "metric", F.posexplode("pairs").alias("pos", "p"))
+    flats = texts.where(F.regexp_like(text, F.lit(NUMBER_LIST))).select(
+        *doc, "metric", F.from_json(text, "array<double>").alias("numbers")
+    )
+    pairs = flats.select(*doc, "metric", F.posexplode(_flat_pairs(F.col("numbers"))).alias("pos", "p"))
     order = Window.partitionBy(*doc, "metric").orderBy("pos")
     flat = pairs.select(
         *doc,

@@ -80,4 +80,4 @@ def stream_raw(
 def read_mart(spark: SparkSession, target: str, schema: T.StructType, tie_break: Sequence[str] = ()) -> DataFrame:
     """The standardised mart of everything taken in so far."""
     stored = spark.read.schema(schema).parquet(target)
-    return standardize(stored, tie_break=tie_break)
+    return standardize(stored.drop(DAY), tie_break=tie_break)
