@@ -715,12 +715,12 @@ COEFFICIENTS = {
 INTERCEPT = 10 + sum(c * m for c, m in COEFFICIENTS.values())
 PARTS = ", ".join(f"({c}) * (coalesce({n}, {m}) - {m}) AS c_{n}" for n, (c, m) in COEFFICIENTS.items())
 SCORES = f"""
-    SELECT *, {INTERCEPT} + {' + '.join('c_' + n for n in COEFFICIENTS)} AS lgbm_score,
+    SELECT *, {INTERCEPT} + ({' + '.join('c_' + n for n in COEFFICIENTS)}) AS lgbm_score,
            coalesce(site, 'UNKNOWN') || '|' || coalesce(category, 'UNKNOWN') || '|' || coalesce(price_band, 'UNKNOWN') AS group_id
     FROM (SELECT m.*, d.category, d.price_band, {PARTS} FROM {{mart}} m JOIN {{dim}} d ON d.asin = m.asin AND d.site = m.site)"""
 oracle(
     "batch_score_ranks",
-    f"""WITH s AS (SELECT * REPLACE (round(lgbm_score, 9) AS lgbm_score) FROM ({SCORES})),
+    f"""WITH s AS ({SCORES}),
         k AS (SELECT *, dense_rank() OVER (PARTITION BY group_id ORDER BY lgbm_score DESC) AS g,
                 dense_rank() OVER (PARTITION BY site, category ORDER BY lgbm_score DESC) AS c FROM s)
         SELECT asin, site, CAST(dt AS VARCHAR) AS dt, {r('lgbm_score', 'lgbm_score')}, group_id, g::DOUBLE AS rank_in_group,

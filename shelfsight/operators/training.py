@@ -73,13 +73,12 @@ def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     return names
 
 
-def _stages(features: list[str], kind: str, df: DataFrame) -> list[Estimator]:
-    if kind in TREE_MODELS:
-        return [VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep")]
+def _assembly(features: list[str]) -> list[Estimator]:
+    """Missing values to the column mean (no Spark ML learner takes them), then one vector."""
     filled = [f"_filled_{c}" for c in features]
     return [
         Imputer(inputCols=features, outputCols=filled, strategy="mean"),
-        VectorAssembler(inputCols=filled, outputCol=FEATURES, handleInvalid="skip"),
+        VectorAssembler(inputCols=filled, outputCol=FEATURES),
     ]
 
 
@@ -139,7 +138,7 @@ def train_classifier(
     if kind == "gbt":
         extra["validationIndicatorCol"] = HELD
         fit_rows = rows
-    pipeline = Pipeline(stages=[*_stages(features, kind, rows), _fit(CLASSIFIERS, kind, target, options, **extra)])
+    pipeline = Pipeline(stages=[*_assembly(features), _fit(CLASSIFIERS, kind, target, options, **extra)])
     model = pipeline.fit(fit_rows)
     scored = model.transform(rows).select(
         *keys, HELD, F.col(target).alias("label"), vector_to_array("probability")[1].alias("prediction")
@@ -179,7 +178,7 @@ def train_regressor(
     if kind == "gbt":
         extra["validationIndicatorCol"] = HELD
         fit_rows = rows
-    pipeline = Pipeline(stages=[*_stages(features, kind, rows), _fit(REGRESSORS, kind, target, options, **extra)])
+    pipeline = Pipeline(stages=[*_assembly(features), _fit(REGRESSORS, kind, target, options, **extra)])
     model = pipeline.fit(fit_rows)
     scored = model.transform(rows).select(*keys, HELD, F.col(target).alias("label"), "prediction")
     parts = {"train": scored.where(~F.col(HELD)), "validation": scored.where(F.col(HELD))}
@@ -219,7 +218,7 @@ def train_ranker(
     if kind == "gbt":
         extra["validationIndicatorCol"] = HELD
         fit_rows = rows
-    pipeline = Pipeline(stages=[*_stages(features, kind, rows), _fit(REGRESSORS, kind, label, options, **extra)])
+    pipeline = Pipeline(stages=[*_assembly(features), _fit(REGRESSORS, kind, label, options, **extra)])
     model = pipeline.fit(fit_rows)
     scored = model.transform(rows.where(F.col(HELD))).select(
         *dict.fromkeys([*keys, group, *([baseline] if baseline else [])]),
@@ -284,7 +283,7 @@ def tune_ranker(
     features = feature_columns(df, [label, group, *keys, *drop])
     rows = group_folds(df.select(*dict.fromkeys([*keys, group, label, *features])), group, folds, seed)
     rows = materialize(_as_double(rows, [*features, label]), "tune")
-    assembled = VectorAssembler(inputCols=features, outputCol=FEATURES, handleInvalid="keep").transform(rows)
+    assembled = Pipeline(stages=_assembly(features)).fit(rows).transform(rows)
     estimator = GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed, **options)
     settings = sample_grid(space or SEARCH_SPACE, trials, seed)
     grid = [{estimator.getParam(n): v for n, v in s.items()} for s in settings]
