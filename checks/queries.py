@@ -403,9 +403,13 @@ def ab_p_values(spark, sf):
 # --- views -------------------------------------------------------------------
 
 
-def _top_view(spark, sf, top=500):
+def _top_view(spark, sf, top=500, days=None):
+    """The view over all predictions, or only over the last `days` days (its ranks are per day)."""
+    predictions = bind(spark, sf, "predictions")
+    if days is not None:
+        predictions = reporting.days_up_to(predictions, last_day(predictions), days)
     return views.top_candidates_daily(
-        bind(spark, sf, "predictions"),
+        predictions,
         bind(spark, sf, "category_snapshot"),
         bind(spark, sf, "summaries"),
         bind(spark, sf, "clusters"),
@@ -464,13 +468,13 @@ def pred_rank_monthly(spark, sf):
 
 @query(digits=4)
 def weekly_top(spark, sf):
-    view = _top_view(spark, sf)
+    view = _top_view(spark, sf, days=7)
     return reporting.weekly_top(view, last_day(bind(spark, sf, "predictions")))
 
 
 @query(digits=4)
 def category_deltas(spark, sf):
-    return reporting.category_deltas(_top_view(spark, sf), last_day(bind(spark, sf, "predictions")))
+    return reporting.category_deltas(_top_view(spark, sf, days=14), last_day(bind(spark, sf, "predictions")))
 
 
 @query(digits=4)
@@ -481,7 +485,7 @@ def revenue_anomalies(spark, sf):
 
 @query
 def ai_sections(spark, sf):
-    top = reporting.weekly_top(_top_view(spark, sf), last_day(bind(spark, sf, "predictions")))
+    top = reporting.weekly_top(_top_view(spark, sf, days=7), last_day(bind(spark, sf, "predictions")))
     return reporting.ai_section(top, "ai_comment_summary", "ai_text", "待运营审核")
 
 

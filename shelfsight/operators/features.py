@@ -46,21 +46,33 @@ def add_listing_quality(df: DataFrame) -> DataFrame:
     return ensure_columns(df, LISTING_COLUMNS).withColumn("listing_quality", listing_quality())
 
 
+def _known(window, column: str, rows: int) -> Column:
+    """How many of the last `rows` values are present, from the running count."""
+    running = F.col(f"_n{column}")
+    return running - F.lag(running, rows, 0).over(window)
+
+
 def _rolling(window, rows: int, minimum: int) -> dict[str, Column]:
-    """Trend, volatility and mean over the last `rows` rows of `window`."""
+    """Trend, volatility and mean over the last `rows` rows of `window`.
+
+    A sliding frame is summed anew for each row, so only what needs it is: counts
+    come from running counts, and the least-squares slope of n consecutive rows is
+    (sum(x·y) − mean(x)·sum(y)) / (n·(n² − 1)/12).
+    """
     frame = window.rowsBetween(-(rows - 1), 0)
-    inverse, price, rating = F.col("_inverse"), F.col("_price"), F.col("_rating")
-    seen = F.count(inverse).over(frame)
-    # A gap anywhere in the window voids the trend, so it is gated on both counts.
-    complete = (seen == F.count(F.lit(1)).over(frame)) & (seen >= minimum)
-    slope = F.regr_slope(inverse, F.col("_row")).over(frame)
-    trend = F.when(complete & (seen == 1), F.lit(0.0)).when(complete, slope)
+    place, inverse, price = F.col("_place"), F.col("_inverse"), F.col("_price")
+    seen = F.least(place, F.lit(rows))
+    # A gap anywhere in the window voids the trend.
+    complete = (_known(window, "_inverse", rows) == seen) & (seen >= minimum)
+    middle = place - (seen - 1) / 2
+    moment = F.sum(place * inverse).over(frame) - middle * F.sum(inverse).over(frame)
+    slope = moment / F.nullif(seen * (seen * seen - 1) / 12.0, F.lit(0.0))
     spread = F.try_divide(F.stddev_samp(price).over(frame), F.avg(price).over(frame))
     return {
-        f"bsr_trend_{rows}": trend,
-        f"price_vol_{rows}": F.when(F.count(price).over(frame) >= minimum, spread),
+        f"bsr_trend_{rows}": F.when(complete & (seen == 1), F.lit(0.0)).when(complete, slope),
+        f"price_vol_{rows}": F.when(_known(window, "_price", rows) >= minimum, spread),
         f"rating_mean_{rows}": F.when(
-            F.count(rating).over(frame) >= minimum, F.avg(rating).over(frame)
+            _known(window, "_rating", rows) >= minimum, F.avg("_rating").over(frame)
         ),
     }
 
@@ -103,7 +115,7 @@ def build_features(
     reach = max([*rolling, 30, 15])
     if daily:
         window = Window.partitionBy(*key).orderBy(*order)
-        rows = rows.withColumn("_row", F.row_number().over(window))
+        rows = rows.withColumn("_place", F.row_number().over(window))
     else:
         options = {} if hot_rows is None else {"hot_rows": hot_rows}
         rows = running_sums(rows, key, order, {"_row": F.lit(1).cast("bigint")}, **options)
@@ -115,14 +127,19 @@ def build_features(
         blocks = F.when(edge, F.array(home, home + 1)).otherwise(F.array(home))
         rows = rows.withColumn("_home", home).withColumn("_block", F.explode(blocks))
         window = Window.partitionBy(*key, "_block").orderBy("_row")
+        # Places restart in each block, which keeps the sums of the slope small.
+        rows = rows.withColumn("_place", F.row_number().over(window))
 
+    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
+    counted = ("_inverse", "_price", "_rating", "_sales")
+    rows = rows.withColumns({f"_n{c}": F.count(c).over(so_far) for c in counted})
     features: dict[str, Column] = {}
     for size in rolling:
         features |= _rolling(window, size, math.ceil(size * MIN_PERIOD_SHARE))
     month = window.rowsBetween(-29, 0)
     features["review_vel_14"] = F.col("_reviews") - F.lag("_reviews", 14).over(window)
     features["est_sales_30"] = F.when(
-        F.count("_sales").over(month) >= math.ceil(30 * MIN_PERIOD_SHARE), F.avg("_sales").over(month)
+        _known(window, "_sales", 30) >= math.ceil(30 * MIN_PERIOD_SHARE), F.avg("_sales").over(month)
     )
     out = rows.withColumns(features)
     if not daily:

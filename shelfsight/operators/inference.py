@@ -17,6 +17,7 @@ from shelfsight.operators.running import rank_values, top_ranks
 from shelfsight.schemas import ensure_columns, with_fields
 from shelfsight.settings import HOT_ROWS, ScoringSettings
 from shelfsight.sources.datasets import export_view, load_latest, write_snapshot
+from shelfsight.sources.scratch import materialize
 
 logger = logging.getLogger(__name__)
 
@@ -122,6 +123,8 @@ def score_batch(
             "group_id": key,
         }
     ).drop(CONTRIBUTIONS)
+    # The ranks pass over the scores several times; the model must run only once.
+    scored = materialize(scored, "scores")
     ranked = rank_values(scored, ["group_id"], "lgbm_score", dense="rank_in_group", hot_rows=hot_rows)
     ranked = ranked.withColumn("group_rank", F.col("rank_in_group"))
     ranked = top_ranks(ranked, ["site", "category"], "lgbm_score", settings.rank_min, "rank_in_cat", dense=True)

@@ -178,6 +178,8 @@ def derive_targets(
 ) -> DataFrame:
     """Add group_id and the regression, ranking and binary targets."""
     thresholds = thresholds or LabelThresholds()
+    # Group ids, group sizes and ranks each pass over the samples: write them once.
+    samples = materialize(samples, "label-samples")
     rows = ensure_columns(samples, {c: "double" for c in BSR_COLUMNS})
     rows = add_group_id(rows.withColumn("y_reg", F.col("future_sales").cast("double")))
     rows = rank_values(
@@ -289,12 +291,11 @@ def build_labels(
 ) -> LabelSet:
     """Samples, as-of features, facts, targets, splits, reports and train tables.
 
-    The enriched samples feed a dozen outputs, so they are written once and all
-    of these read back only the columns they need.
+    The labelled samples feed a dozen outputs, so they are written once and each of
+    these reads back only the columns it needs.
     """
     split = split or TimeSplit()
     enriched = attach_facts(attach_features(sample_windows(mart, windows), features), facts)
-    enriched = materialize(enriched, "label-samples")
     samples = assign_splits(derive_targets(enriched, thresholds, hot_rows), split)
     samples = materialize(add_target_means(samples), "labels")
     reports = label_reports(samples)

@@ -10,23 +10,33 @@ on its own and the totals of the earlier slices are added.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.functions.columns import null_safe_join
-from shelfsight.settings import HOT_ROWS
+from shelfsight.settings import HOT_ROWS, MEDIAN_ROWS
 from shelfsight.sources.scratch import materialize
 
 _SLICE = "_slice"
 _UP_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Row count of the largest group."""
-    top = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
-    return int(top["n"] or 0)
+class GroupSizes(NamedTuple):
+    """Rows of the largest group and of the whole table."""
+
+    largest: int
+    total: int
+
+
+def group_sizes(df: DataFrame, by: Sequence[str]) -> GroupSizes:
+    """Measure the groups: a map-side combined count that reads the key columns only."""
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    return GroupSizes(int(found["largest"] or 0), int(found["total"] or 0))
 
 
 def running_sums(
@@ -35,17 +45,22 @@ def running_sums(
     order: Sequence[Column],
     sums: dict[str, Column],
     hot_rows: int = HOT_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Add inclusive running sums of `sums` within `by`, in the total order `order`.
 
     `order` must be unique within a group; `F.lit(1)` as a sum gives positions.
+    Pass `sizes` if the groups have been measured already.
     """
     by = list(by)
-    if largest_group(df, by) <= hot_rows:
+    sizes = sizes or group_sizes(df, by)
+    if sizes.largest <= hot_rows:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*_UP_TO_HERE)
         return df.withColumns({name: F.sum(expr).over(window) for name, expr in sums.items()})
 
-    ranged = df.repartitionByRange(*[F.col(c) for c in by], *order)
+    # As many slices as keep one at about `hot_rows` rows, whatever the session default.
+    slices = max(math.ceil(sizes.total / hot_rows), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(slices, *[F.col(c) for c in by], *order)
     sliced = materialize(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
     inside = Window.partitionBy(_SLICE, *by).orderBy(*order).rowsBetween(*_UP_TO_HERE)
     local = sliced.withColumns({name: F.sum(expr).over(inside) for name, expr in sums.items()})
@@ -74,6 +89,7 @@ def rank_values(
     ties: str | None = None,
     size: str | None = None,
     hot_rows: int = HOT_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Add the requested rank columns of `value` within `by`; NULL values get no rank.
 
@@ -83,7 +99,8 @@ def rank_values(
     by = list(by)
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     known = F.col(value).isNotNull()
-    if largest_group(df, by) <= hot_rows:
+    sizes = sizes or group_sizes(df, by)
+    if sizes.largest <= hot_rows:
         window = Window.partitionBy(*by).orderBy(order)
         wanted = {}
         if rank:
@@ -157,7 +174,7 @@ def tile_of(position: Column, size: Column, tiles: int) -> Column:
 
 
 def group_medians(
-    df: DataFrame, by: Sequence[str], columns: Sequence[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, by: Sequence[str], columns: Sequence[str], hot_rows: int = MEDIAN_ROWS
 ) -> DataFrame:
     """Exact medians of `columns` per group, ignoring NULL.
 
@@ -165,15 +182,15 @@ def group_medians(
     are counted, ordered in range slices, and the middle ranks picked.
     """
     by = list(by)
-    if largest_group(df, by) <= hot_rows:
+    if group_sizes(df, by).largest <= hot_rows:
         return df.groupBy(*by).agg(*[F.median(c).alias(c) for c in columns])
 
     parts = F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("double").alias("v")) for c in columns])
     long = df.select(*by, F.explode(parts).alias("p")).select(*by, "p.m", "p.v")
     counted = long.where(F.col("v").isNotNull()).groupBy(*by, "m", "v").agg(F.count(F.lit(1)).alias("c"))
     running = running_sums(counted, [*by, "m"], [F.col("v").asc()], {"upto": F.col("c")}, hot_rows)
-    sizes = counted.groupBy(*by, "m").agg(F.sum("c").alias("n"))
-    placed = null_safe_join(running, sizes, [*by, "m"], "inner")
+    known = counted.groupBy(*by, "m").agg(F.sum("c").alias("n"))
+    placed = null_safe_join(running, known, [*by, "m"], "inner")
     lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
 
     def covers(rank: Column) -> Column:

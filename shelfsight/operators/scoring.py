@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfsight.functions.columns import null_safe_join, number
 from shelfsight.operators.running import group_medians, top_ranks
 from shelfsight.schemas import ensure_columns
-from shelfsight.settings import HOT_ROWS, RANK_MIN, SCORE_WEIGHTS
+from shelfsight.settings import MEDIAN_ROWS, RANK_MIN, SCORE_WEIGHTS
 from shelfsight.sources.scratch import materialize
 
 GROUP = ["site", "category"]
@@ -17,7 +17,7 @@ INVERTED = "price_vol_30"
 
 
 def robust_stats(
-    df: DataFrame, by: list[str], columns: list[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, by: list[str], columns: list[str], hot_rows: int = MEDIAN_ROWS
 ) -> DataFrame:
     """Add `<column>_med` and `<column>_mad` (1e-9 where the spread is zero)."""
     centre = group_medians(df.select(*by, *columns), by, columns, hot_rows)
@@ -36,7 +36,7 @@ def score(
     weights: dict[str, float] | None = None,
     rank_min: int = RANK_MIN,
     keep_z: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = MEDIAN_ROWS,
 ) -> DataFrame:
     """Weighted robust z-score over each (site, category), all dates together.
 
@@ -65,7 +65,9 @@ def score(
             F.struct(*[F.col(f"z_{m}").alias(m) for m in metrics]).alias("z"),
         )
     )
-    scored = rows.withColumns({"explosive_score": total, "reason": reason}).select(
-        "asin", "site", "dt", "category", "explosive_score", "reason", *(z if keep_z else ())
+    scored = rows.select("asin", "site", "dt", "category", total.alias("explosive_score"), *z)
+    ranked = top_ranks(scored, GROUP, "explosive_score", rank_min, "rank_in_cat")
+    # The text is built last, so the rank join moves numbers only.
+    return ranked.withColumn("reason", reason).select(
+        "asin", "site", "dt", "category", "explosive_score", "reason", *(z if keep_z else ()), "rank_in_cat"
     )
-    return top_ranks(scored, GROUP, "explosive_score", rank_min, "rank_in_cat")

@@ -24,12 +24,18 @@ PROMPT_HEAD = (
 )
 PROMPT_TAIL = "\n\nFormat the answer as bullet points grouped by theme."
 
+# Unicode white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 Batches = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
 def trimmed(text: Column) -> Column:
     """Strip all surrounding white space, not only blanks."""
-    return F.regexp_replace(text, r"^[\s\u0085\p{Z}\x1c-\x1f]+|[\s\u0085\p{Z}\x1c-\x1f]+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def clean_keywords(

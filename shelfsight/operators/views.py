@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfsight.operators.running import add_size, rank_values, running_sums, tile_of
+from shelfsight.operators.running import add_size, group_sizes, rank_values, running_sums, tile_of
 from shelfsight.settings import HOT_ROWS
 
 DAY_SITE = ["snapshot_date", "site"]
@@ -127,14 +127,15 @@ def pred_rank_daily(
     rows = predictions.select(
         "snapshot_date", "asin", "site", "category", "predicted_revenue", "predicted_units"
     )
+    sizes = group_sizes(rows, DAY_SITE)
     for name in ("revenue", "units"):
         value = f"predicted_{name}"
         rows = rank_values(
             rows, DAY_SITE, value, descending=False, rank=f"_rank_{name}", size=f"_size_{name}",
-            hot_rows=hot_rows,
+            hot_rows=hot_rows, sizes=sizes,
         )
         order = [F.col(value).desc_nulls_last(), *[F.col(c).asc() for c in tie_break]]
-        rows = running_sums(rows, DAY_SITE, order, {f"_pos_{name}": F.lit(1)}, hot_rows)
+        rows = running_sums(rows, DAY_SITE, order, {f"_pos_{name}": F.lit(1)}, hot_rows, sizes)
     rows = add_size(rows, DAY_SITE, "_rows")
     percent = {
         f"{n}_percentile": F.coalesce(

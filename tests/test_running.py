@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 
 from shelfsight.operators.running import (
     add_size,
+    group_sizes,
     group_medians,
-    largest_group,
     rank_values,
     running_sums,
     tile_of,
     top_ranks,
 )
 
-ALWAYS_SLICED = 5
+# Groups above this many rows are cut: 3000 rows make 30 slices.
+ALWAYS_SLICED = 100
 
 
 @pytest.fixture(scope="module")
@@ -36,10 +37,10 @@ def same(left, right):
     return sorted(left.collect(), key=key) == sorted(right.collect(), key=key)
 
 
-def test_largest_group(rows):
-    assert largest_group(rows, ["g"]) == 1000
-    assert largest_group(rows, []) == 3000
-    assert largest_group(rows.limit(0), ["g"]) == 0
+def test_group_sizes(rows):
+    assert group_sizes(rows, ["g"]) == (1000, 3000)
+    assert group_sizes(rows, []) == (3000, 3000)
+    assert group_sizes(rows.limit(0), ["g"]) == (0, 0)
 
 
 @pytest.mark.parametrize("by", [["g"], []])
@@ -54,7 +55,7 @@ def test_running_sums_match_window(rows, by):
 
 
 def test_sliced_path_really_cuts_a_group(rows):
-    ranged = rows.repartitionByRange("g", F.col("v").desc_nulls_last(), "id")
+    ranged = rows.repartitionByRange(30, "g", F.col("v").desc_nulls_last(), "id")
     slices = ranged.where("g = 'hot'").select(F.spark_partition_id().alias("s")).distinct().count()
     assert slices > 1
 
@@ -88,7 +89,7 @@ def test_medians_match_on_both_paths(rows):
 
 def test_median_of_missing_values_is_missing(spark):
     rows = spark.createDataFrame([("a", None), ("a", None), ("b", 2.0), ("b", 4.0)], "g string, v double")
-    for hot in (0, 100):
+    for hot in (1, 100):
         found = {r["g"]: r["v"] for r in group_medians(rows, ["g"], ["v"], hot).collect()}
         assert found == {"a": None, "b": 3.0}
 

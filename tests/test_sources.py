@@ -200,7 +200,7 @@ def feature_rows(spark):
     return spark.createDataFrame(rows, FEATURES)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100])
+@pytest.mark.parametrize("hot_rows", [2, 100])
 def test_batch_scores(spark, hot_rows):
     found = {r["asin"]: r for r in inference.score_batch(feature_rows(spark), SCORER, hot_rows=hot_rows).collect()}
     assert found["A"]["lgbm_score"] == pytest.approx(10 + 6 - 3 + 1.61)
