@@ -156,14 +156,14 @@ def stream_standardize(spark, sf):
 
 @query
 def features_rolling(spark, sf):
-    return features.build_features(bind(spark, sf, "mart")).drop("listing_quality")
+    return features.build_features(bind(spark, sf, "mart"), daily=True).drop("listing_quality")
 
 
 @query
 def features_rolling_blocks(spark, sf):
     """The same features from overlapping row blocks, for panels with hot keys."""
     mart = bind(spark, sf, "mart")
-    return features.build_features(mart, daily=False, block_rows=128).drop("listing_quality")
+    return features.build_features(mart, block_rows=128, hot_rows=200).drop("listing_quality")
 
 
 @query
@@ -173,7 +173,7 @@ def listing_quality(spark, sf):
 
 
 def _scoring_input(spark, sf):
-    built = features.build_features(bind(spark, sf, "mart"))
+    built = features.build_features(bind(spark, sf, "mart"), daily=True)
     return built.join(bind(spark, sf, "dim").select("asin", "site", "category"), ["asin", "site"], "left")
 
 
@@ -255,7 +255,7 @@ def asof_features(spark, sf):
 
 @query
 def feature_vectors(spark, sf):
-    built = features.build_features(bind(spark, sf, "mart"))
+    built = features.build_features(bind(spark, sf, "mart"), daily=True)
     wide = built.select("asin", "site", "dt", "est_sales_30", "review_vel_14", "listing_quality")
     joined = labels.attach_features(_samples(spark, sf), wide)
     vector = F.col("feature_vector")
@@ -438,7 +438,7 @@ def top_candidates_top5(spark, sf):
 
 @query
 def features_latest_wide(spark, sf):
-    return views.features_latest_wide(features.build_features(bind(spark, sf, "mart")))
+    return views.features_latest_wide(features.build_features(bind(spark, sf, "mart"), daily=True))
 
 
 @query

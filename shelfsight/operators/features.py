@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.functions.columns import capped_share, flag, number
-from shelfsight.operators.running import running_sums
+from shelfsight.operators.running import group_sizes, running_sums
 from shelfsight.schemas import ensure_columns
-from shelfsight.settings import MIN_PERIOD_SHARE, ROLLING_WINDOWS
+from shelfsight.settings import HOT_ROWS, MIN_PERIOD_SHARE, ROLLING_WINDOWS
 
 LISTING_COLUMNS = {
     "title_length": "double",
@@ -81,17 +81,18 @@ def build_features(
     mart: DataFrame,
     rolling: Sequence[int] = ROLLING_WINDOWS,
     tie_break: Sequence[str] = (),
-    daily: bool = True,
+    daily: bool = False,
     block_rows: int = BLOCK_ROWS,
-    hot_rows: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rolling trends, volatility, means and listing quality per (asin, site, dt).
 
-    Windows count rows, not days. With `daily` (one row per product, site and
-    day, as `standardize(dedup_on="date")` leaves them) a key is no longer than
-    the calendar and one shuffle and sort per key serves all windows. For panels
-    with many rows a day set `daily=False`: rows are numbered by range slices and
-    cut into blocks that overlap by the longest window.
+    Windows count rows, not days. Set `daily` for one row per product, site and
+    day (as `standardize(dedup_on="date")` leaves them): a key is then no longer
+    than the calendar, and one shuffle and sort per key serves all windows. Else
+    the keys are measured, and with a hot one rows are numbered in range slices
+    and cut into blocks that overlap by the longest window. Rows of one day are
+    ordered by `tie_break`, then by their values.
     """
     panel = ensure_columns(
         mart, {"bsr": "double", "price": "double", "rating": "double", "reviews_count": "double"}
@@ -100,7 +101,6 @@ def build_features(
     sales = number("est_sales") if "est_sales" in mart.columns else F.lit(None).cast("double")
     bsr = number("bsr")
     key = ["asin", "site"]
-    order = [F.col("dt").asc_nulls_first(), *[F.col(c) for c in tie_break]]
     rows = panel.select(
         *key,
         "dt",
@@ -113,12 +113,16 @@ def build_features(
         "listing_quality",
     )
     reach = max([*rolling, 30, 15])
-    if daily:
+    order = [F.col("dt").asc_nulls_first()]
+    if not daily:
+        order += [F.col(c).asc_nulls_first() for c in rows.columns if c not in (*key, "dt")]
+    sizes = None if daily else group_sizes(rows, key)
+    blocked = sizes is not None and sizes.largest > hot_rows
+    if not blocked:
         window = Window.partitionBy(*key).orderBy(*order)
         rows = rows.withColumn("_place", F.row_number().over(window))
     else:
-        options = {} if hot_rows is None else {"hot_rows": hot_rows}
-        rows = running_sums(rows, key, order, {"_row": F.lit(1).cast("bigint")}, **options)
+        rows = running_sums(rows, key, order, {"_row": F.lit(1).cast("bigint")}, hot_rows, sizes)
         block_rows = max(block_rows, reach)
         home = F.floor((F.col("_row") - 1) / block_rows)
         # The last `reach` rows of a block are repeated as lead-in of the next one.
@@ -142,6 +146,6 @@ def build_features(
         _known(window, "_sales", 30) >= math.ceil(30 * MIN_PERIOD_SHARE), F.avg("_sales").over(month)
     )
     out = rows.withColumns(features)
-    if not daily:
+    if blocked:
         out = out.where(F.col("_block") == F.col("_home"))
     return out.select("asin", "site", "dt", *features, "listing_quality")

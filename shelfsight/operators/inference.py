@@ -207,9 +207,8 @@ def run_batch(
     scored = score_batch(features, scorer, settings)
     artifacts: dict[str, str] = {}
     for name, root in score_views.items():
-        exported = export_view(scored, root, name, found)
         # The first export is the stored result; later uses read it instead of scoring again.
-        scored = exported.where(F.col("snapshot_date") == F.lit(found)).drop("snapshot_date")
+        scored = export_view(scored, root, name, found)
         artifacts[name] = root
     return BatchRun(found, settings.model_version, scored_items(scored, found), feature_root, artifacts)
 

@@ -9,7 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfsight.functions.columns import calendar_date, group_key, number, value_map
+from shelfsight.functions.columns import (
+    calendar_date,
+    group_key,
+    null_safe_join,
+    number,
+    value_map,
+)
 from shelfsight.operators.asof import asof_join
 from shelfsight.operators.running import rank_values
 from shelfsight.schemas import ensure_columns
@@ -126,7 +132,8 @@ def attach_features(samples: DataFrame, features: DataFrame | None) -> DataFrame
         return samples.withColumn("feature_vector", F.lit(None).cast("map<string,double>"))
     features = features.withColumn("dt", calendar_date("dt"))
     names = [c for c in features.columns if c not in (*KEY, "dt")]
-    joined = asof_join(samples, features, KEY, "t_ref", "dt", unique_left=True)
+    # Samples and features are daily, so a key's times are bounded by the calendar.
+    joined = asof_join(samples, features, KEY, "t_ref", "dt", unique_left=True, daily=True)
     return joined.withColumn("feature_vector", _payload(joined, names))
 
 
@@ -231,11 +238,18 @@ def assign_splits(samples: DataFrame, config: TimeSplit | None = None) -> DataFr
 def add_target_means(samples: DataFrame) -> DataFrame:
     """Add the mean of y_reg per (split, site) and per split (diagnostics only).
 
-    Aggregated first and joined back: a window would pull a whole split into one task.
+    One aggregate gives the sums of both; its few rows are written and joined back.
+    A window over the samples would pull a whole split into one task.
     """
-    by_site = samples.groupBy("split", "site").agg(F.avg("y_reg").alias("site_mean_y_reg"))
-    by_split = samples.groupBy("split").agg(F.avg("y_reg").alias("split_mean_y_reg"))
-    return samples.join(by_site, ["split", "site"], "left").join(by_split, "split", "left")
+    sums = samples.groupBy("split", "site").agg(F.sum("y_reg").alias("_sum"), F.count("y_reg").alias("_n"))
+    split = Window.partitionBy("split")
+    means = sums.select(
+        "split",
+        "site",
+        F.try_divide("_sum", "_n").alias("site_mean_y_reg"),
+        F.try_divide(F.sum("_sum").over(split), F.sum("_n").over(split)).alias("split_mean_y_reg"),
+    )
+    return null_safe_join(samples, materialize(means, "target-means"), ["split", "site"])
 
 
 def label_reports(samples: DataFrame) -> dict[str, DataFrame]:

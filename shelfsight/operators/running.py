@@ -34,11 +34,26 @@ class GroupSizes(NamedTuple):
 
 def group_sizes(df: DataFrame, by: Sequence[str]) -> GroupSizes:
     """Measure the groups: a map-side combined count that reads the key columns only."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    found = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    found = counts.agg(F.max("_rows").alias("largest"), F.sum("_rows").alias("total")).first()
     return GroupSizes(int(found["largest"] or 0), int(found["total"] or 0))
 
 
+def range_slices(
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], sizes: GroupSizes, hot_rows: int
+) -> DataFrame:
+    """Cut the rows into ranges of (by, order) and number them in `_slice`.
+
+    There are as many slices as keep one at about `hot_rows` rows, whatever the
+    session default. The table is written: sampling may place the cuts differently
+    when a plan runs again, and all later passes must see the same ones.
+    """
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(math.ceil(sizes.total / hot_rows), default)
+    ranged = df.repartitionByRange(slices, *[F.col(c) for c in by], *order)
+    return materialize(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
+
+
 def running_sums(
     df: DataFrame,
     by: Sequence[str],
@@ -58,10 +73,7 @@ def running_sums(
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*_UP_TO_HERE)
         return df.withColumns({name: F.sum(expr).over(window) for name, expr in sums.items()})
 
-    # As many slices as keep one at about `hot_rows` rows, whatever the session default.
-    slices = max(math.ceil(sizes.total / hot_rows), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(slices, *[F.col(c) for c in by], *order)
-    sliced = materialize(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
+    sliced = range_slices(df, by, order, sizes, hot_rows)
     inside = Window.partitionBy(_SLICE, *by).orderBy(*order).rowsBetween(*_UP_TO_HERE)
     local = sliced.withColumns({name: F.sum(expr).over(inside) for name, expr in sums.items()})
     totals = sliced.groupBy(_SLICE, *by).agg(
@@ -130,12 +142,13 @@ def rank_values(
 def add_size(df: DataFrame, by: Sequence[str], name: str, counted: Column | None = None) -> DataFrame:
     """Add the number of rows (with a non-NULL `counted`) of each row's group.
 
-    Aggregated and joined back; a window would hold the whole group in one task.
+    Aggregated, written and joined back; a window would hold the whole group in
+    one task.
     """
     count = F.count(F.lit(1) if counted is None else counted).alias(name)
     if not by:
         return df.withColumn(name, df.agg(count).scalar())
-    return null_safe_join(df, df.groupBy(*by).agg(count), by)
+    return null_safe_join(df, materialize(df.groupBy(*by).agg(count), "sizes"), by)
 
 
 def top_ranks(
@@ -145,7 +158,8 @@ def top_ranks(
 
     Only the `cutoff` best distinct values of a group can carry a rank, so the
     rows are counted by value (map-side combined), the group limit trims each
-    map task's share, and the short table is joined back.
+    map task's share, and the short table is written and joined back: as a file
+    its true size is known, so the rows are shuffled only if it is not small.
     """
     by = list(by)
     counted = (
@@ -160,7 +174,7 @@ def top_ranks(
         ranked = best.select(
             *by, value, (F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1).alias(name)
         ).where(F.col(name) <= cutoff)
-    return null_safe_join(df, ranked, [*by, value])
+    return null_safe_join(df, materialize(ranked, "top-ranks"), [*by, value])
 
 
 def tile_of(position: Column, size: Column, tiles: int) -> Column:
@@ -174,7 +188,11 @@ def tile_of(position: Column, size: Column, tiles: int) -> Column:
 
 
 def group_medians(
-    df: DataFrame, by: Sequence[str], columns: Sequence[str], hot_rows: int = MEDIAN_ROWS
+    df: DataFrame,
+    by: Sequence[str],
+    columns: Sequence[str],
+    hot_rows: int = MEDIAN_ROWS,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Exact medians of `columns` per group, ignoring NULL.
 
@@ -182,24 +200,24 @@ def group_medians(
     are counted, ordered in range slices, and the middle ranks picked.
     """
     by = list(by)
-    if group_sizes(df, by).largest <= hot_rows:
+    if (sizes or group_sizes(df, by)).largest <= hot_rows:
         return df.groupBy(*by).agg(*[F.median(c).alias(c) for c in columns])
 
-    parts = F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("double").alias("v")) for c in columns])
-    long = df.select(*by, F.explode(parts).alias("p")).select(*by, "p.m", "p.v")
-    counted = long.where(F.col("v").isNotNull()).groupBy(*by, "m", "v").agg(F.count(F.lit(1)).alias("c"))
-    running = running_sums(counted, [*by, "m"], [F.col("v").asc()], {"upto": F.col("c")}, hot_rows)
-    known = counted.groupBy(*by, "m").agg(F.sum("c").alias("n"))
-    placed = null_safe_join(running, known, [*by, "m"], "inner")
-    lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    parts = F.array(*[F.struct(F.lit(c).alias("_m"), F.col(c).cast("double").alias("_v")) for c in columns])
+    long = df.select(*by, F.explode(parts).alias("_p")).select(*by, "_p.*")
+    counted = long.where(F.col("_v").isNotNull()).groupBy(*by, "_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    running = running_sums(counted, [*by, "_m"], [F.col("_v").asc()], {"_upto": F.col("_c")}, hot_rows)
+    known = counted.groupBy(*by, "_m").agg(F.sum("_c").alias("_n"))
+    placed = null_safe_join(running, known, [*by, "_m"], "inner")
+    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
 
     def covers(rank: Column) -> Column:
-        return (F.col("upto") >= rank) & (F.col("upto") - F.col("c") < rank)
+        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank)
 
     middle = placed.where(covers(lower) | covers(upper))
     found = middle.groupBy(*by).agg(
         *[
-            ((F.min(F.when(F.col("m") == c, F.col("v"))) + F.max(F.when(F.col("m") == c, F.col("v")))) / 2).alias(c)
+            ((F.min(F.when(F.col("_m") == c, F.col("_v"))) + F.max(F.when(F.col("_m") == c, F.col("_v")))) / 2).alias(c)
             for c in columns
         ]
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.functions.columns import null_safe_join, number
-from shelfsight.operators.running import group_medians, top_ranks
+from shelfsight.operators.running import group_medians, group_sizes, top_ranks
 from shelfsight.schemas import ensure_columns
 from shelfsight.settings import MEDIAN_ROWS, RANK_MIN, SCORE_WEIGHTS
 from shelfsight.sources.scratch import materialize
@@ -19,16 +19,21 @@ INVERTED = "price_vol_30"
 def robust_stats(
     df: DataFrame, by: list[str], columns: list[str], hot_rows: int = MEDIAN_ROWS
 ) -> DataFrame:
-    """Add `<column>_med` and `<column>_mad` (1e-9 where the spread is zero)."""
-    centre = group_medians(df.select(*by, *columns), by, columns, hot_rows)
-    centre = centre.withColumnsRenamed({c: f"{c}_med" for c in columns})
+    """Add `<column>_med` and `<column>_mad` (1e-9 where the spread is zero).
+
+    The statistics are written before they are joined back: as files their true
+    size is known, so the rows are shuffled only if there are very many groups.
+    """
+    sizes = group_sizes(df, by)
+    centre = group_medians(df.select(*by, *columns), by, columns, hot_rows, sizes)
+    centre = materialize(centre.withColumnsRenamed({c: f"{c}_med" for c in columns}), "medians")
     centred = null_safe_join(df, centre, by)
     distance = centred.select(*by, *[F.abs(F.col(c) - F.col(f"{c}_med")).alias(c) for c in columns])
-    spread = group_medians(distance, by, columns, hot_rows)
+    spread = group_medians(distance, by, columns, hot_rows, sizes)
     spread = spread.select(
         *by, *[F.when(F.col(c) == 0, 1e-9).otherwise(F.col(c)).alias(f"{c}_mad") for c in columns]
     )
-    return null_safe_join(centred, spread, by)
+    return null_safe_join(centred, materialize(spread, "spreads"), by)
 
 
 def score(

@@ -34,6 +34,6 @@ def daily_run(
     category per (asin, site).
     """
     mart = standardize(raw, dedup_on="date", tie_break=tie_break)
-    features = build_features(mart)
+    features = build_features(mart, daily=True)
     grouped = features.join(categories.select("asin", "site", "category"), ["asin", "site"], "left")
     return DailyTables(mart, features, score(grouped, rank_min=rank_min))

@@ -96,9 +96,10 @@ def load_latest(
 
 
 def export_view(df: DataFrame, root: str, name: str, run_date: dt.date) -> DataFrame:
-    """Write a run's export partition and expose all exported runs as a temp view."""
+    """Write a run's export partition and expose that run as a temp view."""
     write_snapshot(df, root, run_date)
     exported = df.sparkSession.read.parquet(root)
+    exported = exported.where(F.col("snapshot_date") == F.lit(run_date)).drop("snapshot_date")
     exported.createOrReplaceTempView(name)
     return exported
 

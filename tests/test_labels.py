@@ -137,6 +137,22 @@ def test_mixed_facts_become_json_and_clash(spark):
     assert found["metadata"] == '{"category_id":"c","past_sales":1.0}'
 
 
+@pytest.mark.parametrize("by", [["k"], ["k", "n"]])
+def test_asof_across_slices(spark, by):
+    # One key holds most rows; long stretches without a right row cross slices.
+    left = spark.range(400).select(F.lit("hot").alias("k"), F.lit(None).cast("string").alias("n"), (F.col("id") * 3).cast("int").alias("t"))
+    left = left.unionByName(spark.createDataFrame([("cold", None, 50)], left.schema))
+    times = [(0, 5.0), (200, None), (201, 7.0), (900, 9.0)]
+    right = spark.createDataFrame([("hot", None, t, v) for t, v in times], "k string, n string, at int, a double")
+    right = right.drop(*[c for c in ("k", "n") if c not in by])
+    plain = asof_join(left, right, by, "t", "at").select("k", "t", "a")
+    cut = asof_join(left, right, by, "t", "at", hot_rows=40).select("k", "t", "a")
+    assert sorted(map(str, plain.collect())) == sorted(map(str, cut.collect()))
+    if by == ["k"]:
+        found = {r["t"]: r["a"] for r in cut.where("k = 'hot'").collect()}
+        assert (found[0], found[198], found[201], found[897], found[1197]) == (5.0, 5.0, 7.0, 7.0, 9.0)
+
+
 def test_asof_takes_whole_rows(spark):
     left = frame(spark, [("k", 5, "x"), ("k", 5, "y"), ("k", 1, "z"), ("m", 9, "w")], "k string, t int, tag string")
     right = frame(spark, [("k", 2, 1.0, 1.0), ("k", 4, None, 2.0), ("k", 6, 3.0, 3.0)], "k string, at int, a double, b double")
