@@ -150,6 +150,16 @@ def bind(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(BINDINGS[name], **{n: bind(spark, sf_dir, n) for n in needed})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even out a table that has fewer splits than there are cores.
+
+    The test tables are files of one row group, so text and JSON work on them
+    would run in one task. Tables with enough splits are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_bindings(sql: str) -> str:
     """DuckDB text: the bindings a query names as `{name}`, as leading CTEs."""
     order: list[str] = []

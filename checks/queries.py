@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.bindings import bind
+from checks.bindings import bind, spread
 from shelfsight.operators import (
     alerts,
     asof,
@@ -665,7 +665,7 @@ def _line_documents(spark, sf):
         )
 
     reviews = F.array(review(reviewId=name), review(id=F.concat(name, F.lit("-b"))))
-    return bind(spark, sf, "lineitem").select(
+    return spread(bind(spark, sf, "lineitem")).select(
         F.to_json(
             F.struct(
                 F.concat(F.lit("O"), F.col("l_orderkey")).alias("asin"),
@@ -709,7 +709,7 @@ def order_items(spark, sf):
 
     items = F.array(item(F.col("l_quantity")), item(F.col("l_quantity") + 1))
     orders = bind(spark, sf, "orders")
-    lines = bind(spark, sf, "lineitem")
+    lines = spread(bind(spark, sf, "lineitem"))
     landed = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"]).select(
         F.to_json(
             F.struct(
@@ -865,7 +865,7 @@ def ingest_increments(spark, sf):
 
 def _tokens(spark, sf):
     words = F.posexplode(F.split("text", " ", -1)).alias("pos", "word")
-    return bind(spark, sf, "documents").select("doc_id", words)
+    return spread(bind(spark, sf, "documents")).select("doc_id", words)
 
 
 @query

@@ -14,8 +14,8 @@ def spark():
     # paths are tested on real slice borders.
     session = build_session(
         "tests",
-        "local[4]",
-        spark__sql__shuffle__partitions="5",
+        "local[8]",
+        spark__sql__shuffle__partitions="4",
         spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

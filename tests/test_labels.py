@@ -9,6 +9,7 @@ from shelfsight.operators.labels import (
     assign_splits,
     attach_facts,
     build_labels,
+    derive_targets,
     sample_windows,
 )
 from shelfsight.settings import LabelThresholds, LabelWindows, TimeSplit
@@ -95,7 +96,8 @@ def test_price_band_only_if_any_row_has_one(spark):
 @pytest.mark.parametrize("hot_rows", [2, 1000])
 def test_ties_share_rank(spark, hot_rows):
     rows = [("A", "US", day(1), 1.0, 200.0), ("A", "US", day(2), 5.0, 150.0), ("B", "US", day(1), 2.0, 220.0), ("B", "US", day(2), 5.0, 150.0)]
-    _, out = run(spark, rows, "sales double, bsr_rank double", (1, 1), hot_rows=hot_rows)
+    samples = sample_windows(mart(spark, rows, "sales double, bsr_rank double"), LabelWindows(1, 1))
+    out = derive_targets(samples, hot_rows=hot_rows).collect()
     assert [r["y_rank"] for r in out] == [0.75, 0.75]
 
 
@@ -117,7 +119,8 @@ def test_ties_share_rank(spark, hot_rows):
 )
 def test_binary_target(spark, rows, columns, windows, limits, ratio, y_bin):
     data = [("A", "US", day(n + 1), *values) for n, values in enumerate(rows)]
-    _, out = run(spark, data, columns, windows, LabelThresholds(*limits) if limits else None)
+    samples = sample_windows(mart(spark, data, columns), LabelWindows(*windows))
+    out = derive_targets(samples, LabelThresholds(*limits) if limits else None).collect()
     assert len(out) == 1
     assert out[0]["sales_ratio"] == ratio and out[0]["y_bin"] == y_bin
 
