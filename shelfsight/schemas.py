@@ -61,7 +61,7 @@ PRODUCT_PAYLOAD = (
     " keywords array<struct<keyword:string,term:string,searchVolume:bigint,cpc:double,"
     "difficulty:double>>"
 )
-SERIES_POINTS = "array<struct<timestamp:bigint,time:bigint,dt:bigint,value:string>>"
+SERIES_POINTS = "array<struct<timestamp:string,time:string,dt:string,value:string>>"
 
 
 def ensure_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:

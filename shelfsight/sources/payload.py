@@ -29,6 +29,8 @@ PRICE_SERIES = ("buyBoxPrice", "newPrice", "new", "buyBoxSalePrice")
 SOURCE_TAG = "keepa"
 FETCH_FAILED = "keepa_fetch_failed"
 
+DOCUMENT = ["asin", "site", "_ingested_at", "_document"]
+
 # metric -> divisor of its series values; the seller series holds text.
 SCALES = {"price": 100, "bsr": 1, "rating": 100, "reviews_count": 1, "stock_est": 1}
 
@@ -40,12 +42,15 @@ def site_of(domain: Column) -> Column:
 
 
 def parse_products(landed: DataFrame, payload: str = "payload", arrival: str = "_ingested_at") -> DataFrame:
-    """Typed product rows from JSON text; one row is one delivered document."""
+    """Typed product rows from JSON text; one row is one delivered document.
+
+    `_document` tells apart two deliveries that carry the same arrival time.
+    """
     product = F.from_json(F.col(payload), PRODUCT_PAYLOAD)
     stamp = F.col(arrival) if arrival in landed.columns else F.current_timestamp()
     return (
         landed.select(product.alias("p"), F.col(payload).alias("raw"), stamp.alias("_ingested_at"))
-        .select("p.*", "raw", "_ingested_at")
+        .select("p.*", "raw", "_ingested_at", F.xxhash64("raw").alias("_document"))
         .withColumn("site", site_of(F.col("domainId")))
     )
 
@@ -101,7 +106,8 @@ def _listed_points(points: Column) -> Column:
     stamped = F.transform(
         points,
         lambda p: F.struct(
-            F.coalesce(p["timestamp"], p["time"], p["dt"]).alias("seconds"), p["value"].alias("value")
+            F.coalesce(p["timestamp"], p["time"], p["dt"]).try_cast("double").cast("bigint").alias("seconds"),
+            p["value"].alias("value"),
         ),
     )
     return F.filter(stamped, lambda p: p["seconds"].isNotNull() & p["value"].isNotNull())
@@ -120,12 +126,12 @@ def _flat_pairs(numbers: Column) -> Column:
 
 
 def series_points(products: DataFrame) -> DataFrame:
-    """Long table (asin, site, _ingested_at, metric, pos, dt, value) of all series points.
+    """Long table (document key, metric, pos, dt, value) of all series points.
 
     Timestamps of a flat series are running sums of its minute steps; the window
     covers one series of one document.
     """
-    doc = ["asin", "site", "_ingested_at"]
+    doc = DOCUMENT
     ready = products.withColumn("_ranks", F.col("history")["salesRanks"])
     series = F.array(
         *[F.struct(F.lit(m).alias("metric"), s.alias("text")) for m, s in _series_columns().items()]
@@ -169,7 +175,7 @@ def timeseries_rows(products: DataFrame) -> DataFrame:
         value = F.col("value") if m == "buybox_seller" else F.col("value").try_cast("double")
         picked = F.max_by(F.when(mine, value), F.when(mine, F.col("pos")))
         last[m] = picked / SCALES[m] if SCALES.get(m, 1) != 1 else picked
-    daily = points.groupBy("asin", "site", "_ingested_at", "dt").agg(*[c.alias(m) for m, c in last.items()])
+    daily = points.groupBy(*DOCUMENT, "dt").agg(*[c.alias(m) for m, c in last.items()])
     return daily.select(
         "asin", "site", "dt", *metrics, F.lit(SOURCE_TAG).alias("_source"), "_ingested_at"
     )

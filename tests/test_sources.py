@@ -113,6 +113,13 @@ def test_documents_stay_apart_and_sites_default(spark):
     assert sorted(r["site"] for r in tables.dim_asin.collect()) == ["UK", "UK", "US"]
 
 
+def test_two_documents_of_one_arrival(spark):
+    point = lambda v: {"stock": [{"timestamp": str(ts(0)), "value": v}]}
+    landed = land(spark, product(history=point(1)), product(history=point(2))).drop("_ingested_at")
+    rows = payload.normalise_products(landed).timeseries.collect()
+    assert sorted(r["stock_est"] for r in rows) == [1.0, 2.0]
+
+
 def test_fallback_ids(spark):
     body = product(reviews=[{"reviewId": "", "id": "X"}], keywords=[{"keyword": None, "term": "t"}])
     tables = payload.normalise_products(land(spark, body))
