@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from shelfsight.schemas import PRODUCT_PAYLOAD, SERIES_POINTS
 
@@ -113,52 +115,55 @@ def _listed_points(points: Column) -> Column:
     return F.filter(stamped, lambda p: p["seconds"].isNotNull() & p["value"].isNotNull())
 
 
-def _flat_pairs(numbers: Column) -> Column:
-    """Array of (minute token, value) pairs of a flat series; an odd tail is dropped."""
-    tokens = F.filter(numbers, lambda _, i: i % 2 == 0)
-    values = F.filter(numbers, lambda _, i: i % 2 == 1)
-    pairs = F.transform(
-        F.arrays_zip(tokens.alias("minutes"), values.alias("value")),
-        lambda p: F.struct(p["minutes"].cast("bigint").alias("minutes"), p["value"].alias("value")),
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def running_total(steps: pd.Series) -> pd.Series:
+    """Running sum inside each array; Spark SQL has no array function for it."""
+    return steps.map(lambda a: None if a is None else np.cumsum(a))
+
+
+def _flat_points(minutes: Column, values: Column) -> Column:
+    """Array of (seconds, value) of a flat series; an odd tail has no value and goes."""
+    pairs = F.arrays_zip(minutes.alias("minutes"), values.alias("value"))
+    points = F.transform(
+        pairs,
+        lambda p: F.struct(
+            (p["minutes"] * 60).cast("bigint").alias("seconds"), p["value"].cast("string").alias("value")
+        ),
     )
-    usable = ~F.exists(numbers, lambda x: x.isNull())
-    return F.when(usable, F.filter(pairs, lambda p: p["value"].isNotNull()))
+    return F.filter(points, lambda p: p["value"].isNotNull())
 
 
 def series_points(products: DataFrame) -> DataFrame:
     """Long table (document key, metric, pos, dt, value) of all series points.
 
-    Timestamps of a flat series are running sums of its minute steps; the window
-    covers one series of one document.
+    Both encodings are decoded inside the row, so a document is parsed once and
+    its points stay in the task that read it.
     """
-    doc = DOCUMENT
     ready = products.withColumn("_ranks", F.col("history")["salesRanks"])
     series = F.array(
         *[F.struct(F.lit(m).alias("metric"), s.alias("text")) for m, s in _series_columns().items()]
     )
-    texts = ready.select(*doc, F.explode(series).alias("s")).select(*doc, "s.*").where("text is not null")
+    texts = ready.select(*DOCUMENT, F.explode(series).alias("s")).select(*DOCUMENT, "s.*")
     text = F.col("text")
-    lists = texts.where(F.regexp_like(text, F.lit(POINT_LIST))).select(
-        *doc, "metric", F.from_json(text, SERIES_POINTS).alias("points")
-    )
-    listed = lists.select(*doc, "metric", F.posexplode(_listed_points(F.col("points"))).alias("pos", "p"))
-    listed = listed.select(
-        *doc, "metric", "pos", F.col("p.seconds").alias("seconds"), F.col("p.value").alias("value")
-    )
-    flats = texts.where(F.regexp_like(text, F.lit(NUMBER_LIST))).select(
-        *doc, "metric", F.from_json(text, "array<double>").alias("numbers")
+    parsed = texts.where("text IS NOT NULL").select(
+        *DOCUMENT,
+        "metric",
+        F.from_json(F.when(F.regexp_like(text, F.lit(POINT_LIST)), text), SERIES_POINTS).alias("points"),
+        F.from_json(F.when(F.regexp_like(text, F.lit(NUMBER_LIST)), text), "array<double>").alias("numbers"),
     )
-    pairs = flats.select(*doc, "metric", F.posexplode(_flat_pairs(F.col("numbers"))).alias("pos", "p"))
-    order = Window.partitionBy(*doc, "metric").orderBy("pos")
-    flat = pairs.select(
-        *doc,
+    numbers = F.when(~F.exists("numbers", lambda x: x.isNull()), F.col("numbers"))
+    split = parsed.select(
+        *DOCUMENT,
         "metric",
-        "pos",
-        (F.sum("p.minutes").over(order) * 60).alias("seconds"),
-        F.col("p.value").cast("string").alias("value"),
+        "points",
+        F.transform(F.filter(numbers, lambda _, i: i % 2 == 0), lambda m: m.cast("bigint").cast("double")).alias("steps"),
+        F.filter(numbers, lambda _, i: i % 2 == 1).alias("values"),
     )
-    points = listed.unionByName(flat)
-    return points.select(*doc, "metric", "pos", F.to_date(F.timestamp_seconds("seconds")).alias("dt"), "value")
+    flat = _flat_points(running_total("steps"), F.col("values"))
+    decoded = F.coalesce(_listed_points(F.col("points")), flat)
+    points = split.select(*DOCUMENT, "metric", F.posexplode(decoded).alias("pos", "p"))
+    day = F.to_date(F.timestamp_seconds("p.seconds"))
+    return points.select(*DOCUMENT, "metric", "pos", day.alias("dt"), F.col("p.value").alias("value"))
 
 
 def timeseries_rows(products: DataFrame) -> DataFrame:
