@@ -163,7 +163,7 @@ oracle(
 )
 oracle(
     "score_reason",
-    f"""{SCORED} SELECT asin, site, CAST(dt AS VARCHAR) AS dt, 0.3 AS weight,
+    f"""{SCORED} SELECT asin, site, CAST(dt AS VARCHAR) AS dt, {r('0.3', 'weight')},
         {r('z_listing_quality', 'z')} FROM scored""",
 )
 
