@@ -175,6 +175,11 @@ EVENT_FEATURES = (
 )
 oracle(
     "daily_scores",
+    f"""{SCORED} SELECT asin, site, CAST(dt AS VARCHAR) AS dt, category, {r('explosive_score', 'explosive_score')},
+        CASE WHEN rk <= 20 THEN rk::DOUBLE END AS rank_in_cat FROM ranked""",
+)
+oracle(
+    "daily_scores_events",
     f"""WITH kept AS ({KEPT.replace('{key}', 'dt').replace('{source}', '{raw}')}), clean AS ({CLEAN}), """
     + _score_ctes(EVENT_FEATURES, "SELECT asin, site, min(event_type) AS category FROM {raw} GROUP BY asin, site")[5:]
     + f""" SELECT asin, site, CAST(dt AS VARCHAR) AS dt, category, {r('explosive_score', 'explosive_score')},

@@ -200,7 +200,18 @@ def score_reason(spark, sf):
 
 @query
 def daily_scores(spark, sf):
-    """Raw deliveries to ranked scores in one plan."""
+    """Raw deliveries to ranked scores: each day is delivered twice, first with a bad price."""
+    mart = bind(spark, sf, "mart")
+    arrived = F.col("dt").cast("timestamp")
+    early = mart.withColumns({"_ingested_at": arrived, "price": -F.col("price")})
+    late = mart.withColumn("_ingested_at", arrived + F.expr("INTERVAL 1 DAY"))
+    raw = standardize.union_all([early, late]).withColumn("dt", F.col("dt").cast("string"))
+    return daily_run(raw, bind(spark, sf, "dim")).scores.drop("reason")
+
+
+@query
+def daily_scores_events(spark, sf):
+    """The same job on text deliveries with many gaps."""
     raw = bind(spark, sf, "raw")
     dims = raw.select("asin", "site", "event_type").groupBy("asin", "site").agg(
         F.min("event_type").alias("category")
