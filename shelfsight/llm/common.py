@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's vocabulary file on this machine and the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def lowered(text: Column) -> Column:
     """The text with A-Z lowered and nothing else changed; null is empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWERED)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.llm.common import WORD
+from shelfsight.llm.ranks import add_before, bucket_of
 from shelfsight.sources.scratch import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -24,7 +25,6 @@ WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 #: Knots (time, weight) of the sources, repeating as the weights do.
 SHAPES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
-BUCKET_ROWS, SECTION_BUCKETS = 500, 2000
 
 
 def pieces(shape: Sequence[tuple[float, float]]) -> Column:
@@ -111,32 +111,17 @@ def curriculum(
     same = F.col("source").eqNullSafe(F.col("_source"))
     numbers = sources.withColumnRenamed("source", "_source")
     unit = F.conv(F.substring("digest", 1, 8), 16, 10).cast("double") / 2**32
-    bucket = F.floor(unit * F.ceil(F.col("rows") / BUCKET_ROWS)).cast("int")
-    place = lambda df: df.join(numbers, same).withColumn("bucket", bucket).drop("_source", "source", "rows")
-    keys = ["source_no", "bucket"]
-    section = F.floor(F.col("bucket") / SECTION_BUCKETS).alias("section")
-    buckets = materialize(
-        place(small).groupBy(*keys).agg(F.sum("size").alias("n")).select(*keys, "n", section), "buckets"
-    )
-    earlier = lambda *by: (Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1))
-    none = F.lit(0).cast("long")
-    sections = buckets.groupBy("source_no", "section").agg(F.sum("n").alias("n")).select(
-        "source_no", "section", F.coalesce(F.sum("n").over(earlier("source_no", "section")), none).alias("section_start")
-    )
-    starts = (
-        buckets.withColumn("bucket_start", F.coalesce(F.sum("n").over(earlier("source_no", "section", "bucket")), none))
-        .join(sections, ["source_no", "section"])
-        .select(*keys, (F.col("section_start") + F.col("bucket_start")).alias("start"))
-    )
-    order = Window.partitionBy(*keys).orderBy("digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+
+    def place(df: DataFrame) -> DataFrame:
+        bucket = bucket_of(unit, F.col("rows"))
+        return df.join(numbers, same).withColumn("bucket", bucket).drop("_source", "source", "rows")
+
     schedule = F.element_at(F.array(*[pieces(s) for s in shapes]), (F.col("source_no") % len(shapes) + 1).cast("int"))
     passes = F.transform(F.sequence(F.lit(0), F.lit(MOST_PASSES - 1)), lambda p: p * F.col("source_size") + F.col("begin"))
     taken = F.filter(passes, lambda c: (F.col("size") > 0) & (c + F.col("size") / 2 <= F.col("target")))
+    placed = add_before(place(sized), place(small), "source_no", ("digest", "doc_id", "size"), F.col("size"), "begin")
     return (
-        place(sized)
-        .withColumn("earlier", F.coalesce(F.sum("size").over(order), none))
-        .join(starts, keys)
-        .withColumn("begin", F.col("start") + F.col("earlier"))
+        placed
         .withColumn("_taken", taken)
         .withColumn("positions", F.transform("_taken", lambda c: invert(schedule, c / F.col("target"))))
         .withColumn("taken", F.size("_taken") * F.col("size"))

@@ -53,10 +53,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _known_elsewhere(keys: np.ndarray, sender: np.ndarray, extras: list[bytes], counts: np.ndarray) -> np.ndarray:
+def _known_elsewhere(keys: np.ndarray, sender: np.ndarray, extra: np.ndarray | None) -> tuple[np.ndarray, int]:
     """Did more than one block send the key? A block sends a key once."""
-    _, inverse, times = np.unique(keys, return_inverse=True, return_counts=True)
-    return times[inverse] > 1
+    distinct, inverse, times = np.unique(keys, return_inverse=True, return_counts=True)
+    return times[inverse] > 1, len(distinct)
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -87,7 +87,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         for block, ids, hexes in zip(*(sent.column(c).to_pylist() for c in ("block", "ids", "hexes"))):
             prints = np.array([int(h[:16], 16) for h in hexes], dtype=np.uint64)
             keys, inverse, times = np.unique(prints, return_inverse=True, return_counts=True)
-            suspect = golomb.replies_of(answers, keys, owners) | (times > 1)
+            suspect = golomb.replies_of(answers, keys, owners, True) | (times > 1)
             out["doc_id"] += ids
             out["hex"] += hexes
             out["row"] += [(block << 20) + k for k in range(len(ids))]
@@ -97,7 +97,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     marked = materialize(
         blocks.groupBy("block")
-        .cogroup(bitmaps.groupBy("block"))
+        .cogroup(bitmaps.filter("block >= 0").groupBy("block"))
         .applyInArrow(mark, "doc_id long, hex string, row long, suspect boolean"),
         "marked",
     )

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +67,22 @@ def decode(n: int, rice: int, blob: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.uint64)
 
 
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Non-negative numbers as compressed byte planes; small ones take about a byte."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes.T).tobytes())
+
+
+def unpack_numbers(blob: bytes) -> np.ndarray:
+    """The numbers that `pack_numbers` was given, as int64."""
+    width = blob[0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), dtype=np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<i8").ravel()
+
+
 def cuts(keys: np.ndarray, owners: int) -> np.ndarray:
     """Where each owner's range starts in ascending uint64 keys, with the end at last."""
     bounds = np.array([(o << 64) // owners for o in range(owners)], dtype=np.uint64)
@@ -79,7 +96,7 @@ def requests(block: int, keys: np.ndarray, owners: int, extra: np.ndarray | None
         low, high = at[owner], at[owner + 1]
         if high > low:
             rice, blob = encode(keys[low:high])
-            more = b"" if extra is None else extra[low:high].tobytes()
+            more = b"" if extra is None else pack_numbers(extra[low:high])
             out.append((owner, block, int(high - low), rice, blob, more))
     return out
 
@@ -93,42 +110,49 @@ def request_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def exchange(
     asked: DataFrame,
-    answer: Callable[[np.ndarray, np.ndarray, list[bytes], np.ndarray], np.ndarray],
+    answer: Callable[[np.ndarray, np.ndarray, np.ndarray | None], tuple[np.ndarray, int]],
     partitions: int,
     bitmap: bool = False,
 ) -> DataFrame:
     """Bring each owner its requests and send back one answer per key.
 
-    `answer(keys, sender, extras, counts)` gets all keys that the owner was sent (in
-    the order of the senders), the number of the sender of each, each sender's extra
-    bytes and how many keys it sent; it returns one fixed-width value per key. With
-    `bitmap` the values are flags and travel as bits.
+    `answer(keys, sender, extra)` gets all keys that the owner was sent, the number of
+    the sender of each and the number sent along with it; it returns one value per key
+    and a number that is kept in a row with block -1. With `bitmap` the values are
+    flags and travel as bits.
     """
 
     def owner_work(group: pa.Table) -> pa.Table:
         blocks = group.column("block").to_numpy()
         counts = group.column("n").to_numpy()
         rices = group.column("rice").to_numpy()
-        blobs, extras = group.column("keys").to_pylist(), group.column("extra").to_pylist()
+        blobs = group.column("keys").to_pylist()
+        extras = [unpack_numbers(x) for x in group.column("extra").to_pylist() if x]
         keys = np.concatenate([decode(n, r, b) for n, r, b in zip(counts, rices, blobs)])
         sender = np.repeat(np.arange(len(blocks)), counts)
-        value = answer(keys, sender, extras, counts)
+        value, tally = answer(keys, sender, np.concatenate(extras) if extras else None)
         ends = np.cumsum(counts)
-        code = np.packbits if bitmap else np.asarray
-        replies = [code(value[e - n : e]).tobytes() for n, e in zip(counts, ends)]
+        code = (lambda v: np.packbits(v).tobytes()) if bitmap else pack_numbers
+        replies = [code(value[e - n : e]) for n, e in zip(counts, ends)] + [str(tally).encode()]
         owner = group.column("owner").to_pylist()
-        return pa.table({"block": blocks, "owner": pa.array(owner, pa.int32()), "reply": pa.array(replies, pa.binary())})
+        columns = {"block": [*blocks.tolist(), -1], "owner": [*owner, owner[0]], "reply": replies}
+        kinds = {"block": pa.int64(), "owner": pa.int32(), "reply": pa.binary()}
+        return pa.table({c: pa.array(v, kinds[c]) for c, v in columns.items()})
 
     return asked.repartition(partitions, F.col("owner")).groupBy("owner").applyInArrow(owner_work, REPLY)
 
 
-def replies_of(group: pa.Table, keys: np.ndarray, owners: int, kind: type | None = None) -> np.ndarray:
-    """The answers to one block's ascending `keys`; flags unless `kind` names a number type."""
-    parts = dict(zip(group.column("owner").to_pylist(), group.column("reply").to_pylist()))
+def replies_of(group: pa.Table, keys: np.ndarray, owners: int, bitmap: bool = False) -> np.ndarray:
+    """The answers to one block's ascending `keys`."""
     at = cuts(keys, owners)
-    out = np.zeros(len(keys), dtype=kind or bool)
-    for owner, blob in parts.items():
+    out = np.zeros(len(keys), dtype=bool if bitmap else np.int64)
+    for owner, blob in zip(group.column("owner").to_pylist(), group.column("reply").to_pylist()):
         low, high = at[owner], at[owner + 1]
-        raw = np.frombuffer(blob, dtype=kind or np.uint8)
-        out[low:high] = raw if kind else np.unpackbits(raw)[: high - low]
+        out[low:high] = np.unpackbits(np.frombuffer(blob, np.uint8))[: high - low] if bitmap else unpack_numbers(blob)
     return out
+
+
+def tally_of(replies: DataFrame) -> int:
+    """The sum of the owners' own numbers."""
+    blobs = replies.filter("block = -1").select(F.col("reply").cast("string").cast("long").alias("n"))
+    return int(blobs.agg(F.sum("n")).first()[0] or 0)

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfsight.llm import curriculum, exact_dedup, quality_rules
-from shelfsight.llm.common import table
+from shelfsight.llm import backoff_lm, curriculum, exact_dedup, packing, page_text, pii, quality_rules, records
+from shelfsight.llm.common import table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,11 +28,38 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.in_order(curriculum.curriculum(table(spark, sf_dir, "documents"))).drop("positions")
 
 
+@query
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_spans(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = records.write_records(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), 1)
+    return records.read_records(index)
+
+
+@query
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.document_pieces(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 0)
+    return packing.pack(pieces)
+
+
 ORACLES["op6_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
