@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfsight.llm import backoff_lm, curriculum, exact_dedup, packing, page_text, pii, quality_rules, records
+from shelfsight.llm import backoff_lm, curriculum, exact_dedup, ngram_join, packing, page_text, pii, quality_rules, records
 from shelfsight.llm.common import table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_classes(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 @query
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.in_order(curriculum.curriculum(table(spark, sf_dir, "documents"))).drop("positions")
