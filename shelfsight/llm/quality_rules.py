@@ -112,8 +112,13 @@ def _signals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in arrays.slices(batch, "text"):
             found = measure(*arrays.buffers(piece.column("text")))
-            columns = [piece.column("doc_id"), piece.column("stratum"), *[pa.array(found[s].astype(np.int64)) for s in SIGNALS]]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "stratum", *SIGNALS])
+            columns = [piece.column("doc_id"), piece.column("text_key"), piece.column("stratum"), *[pa.array(found[s].astype(np.int64)) for s in SIGNALS]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "stratum", *SIGNALS])
+
+
+def stratum_of(column: str) -> Column:
+    """The stratum's name; null gets one that no value has."""
+    return F.when(F.col(column).isNull(), "null").otherwise(F.concat(F.lit("="), F.col(column)))
 
 
 def choose_cutoffs(counts: pd.DataFrame, risk: Risk, tests: int) -> list[float | None]:
@@ -156,10 +161,14 @@ def quality_verdicts(
     Repeated rows get equal verdicts. An empty table gives no rows. Other columns
     are not read. Starts Spark jobs.
     """
-    stratum = F.when(F.col(stratum_column).isNull(), "null").otherwise(F.concat(F.lit("="), F.col(stratum_column)))
-    schema = "doc_id long, stratum string, " + ", ".join(f"{s} long" for s in SIGNALS)
+    schema = "doc_id long, text_key long, stratum string, " + ", ".join(f"{s} long" for s in SIGNALS)
     signals = materialize(
-        docs.select(F.col(id_column).cast("long").alias("doc_id"), stratum.alias("stratum"), F.col(text_column).alias("text"))
+        docs.select(
+            F.col(id_column).cast("long").alias("doc_id"),
+            F.xxhash64(text_column).alias("text_key"),
+            stratum_of(stratum_column).alias("stratum"),
+            F.col(text_column).alias("text"),
+        )
         .mapInArrow(_signals, schema)
         .withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")),
         "signals",
@@ -201,5 +210,5 @@ def quality_verdicts(
         signals.join(cutoffs, "stratum", "left")
         .withColumn("failed_rules", failed)
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
+        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules", "text_key", "stratum")
     )

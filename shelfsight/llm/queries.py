@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfsight.llm import backoff_lm, curriculum, exact_dedup, ngram_join, packing, page_text, pii, quality_rules, records
+from shelfsight.llm import backoff_lm, curriculum, exact_dedup, ngram_join, packing, page_text, pii, quality_rules, records, repeats
 from shelfsight.llm.common import table, tokenizer_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +20,7 @@ def query(function):
 
 @query
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
 
 
 @query
@@ -54,6 +54,11 @@ def op7_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(index)
 
 
+@query
+def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.main_text(table(spark, sf_dir, "pages"))
