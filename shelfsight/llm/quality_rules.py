@@ -29,12 +29,10 @@ SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 UPPER = np.zeros(256, dtype=bool)
 UPPER[65:91] = True
-DIGIT = np.zeros(256, dtype=bool)
-DIGIT[48:58] = True
 WINDOW = 8
 #: From strict to lenient; the last never rejects.
 CUTOFFS = (0.0, 0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.2, 0.3, 0.45, 0.7, 1.0)
-SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_marked")
+SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_stutters", "n_marked")
 
 
 @dataclass(frozen=True)
@@ -55,7 +53,7 @@ RULES = {
     "dup_lines": lambda: _rate("n_dup_lines", "n_lines"),
     "repeats": lambda: _rate("n_repeat_words", "n_words"),
     "shouting": lambda: _rate("n_upper", "word_chars"),
-    "digits": lambda: _rate("n_digits", "word_chars"),
+    "stutters": lambda: _rate("n_stutters", "n_words"),
     "marked": lambda: _rate("n_marked", "n_words"),
 }
 
@@ -76,7 +74,6 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         "word_chars": _per_row(inside & ((data & 0xC0) != 0x80), offsets),
         "n_symbols": _per_row(SYMBOLS[data], offsets),
         "n_upper": _per_row(UPPER[data], offsets),
-        "n_digits": _per_row(DIGIT[data], offsets),
     }
     # A word made of symbols, or ending in one: list bars, shouted marks.
     last = data[ends - 1] if len(ends) else np.zeros(0, np.uint8)
@@ -99,7 +96,11 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     bounds = arrays.firsts(line_row, n)
     out["n_lines"], out["n_dup_lines"] = np.diff(bounds), _per_row(again, bounds)
 
-    grams, first = arrays.gram_hashes(arrays.span_hashes(data, starts, ends), rows, WINDOW)
+    hashes = arrays.span_hashes(data, starts, ends)
+    stutter = np.zeros(len(hashes), dtype=bool)
+    stutter[1:] = (hashes[1:] == hashes[:-1]) & (rows[1:] == rows[:-1])
+    out["n_stutters"] = _per_row(stutter, words)
+    grams, first = arrays.gram_hashes(hashes, rows, WINDOW)
     found = first[arrays.repeated(grams, rows[first])] if len(first) else first
     covered = np.zeros(len(starts) + 1, dtype=np.int64)
     np.add.at(covered, found, 1)
