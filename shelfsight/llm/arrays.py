@@ -14,12 +14,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text handled at once; a longer single text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240917))
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
-_POWERS = np.ones(1, dtype=np.uint64)
+_TABLES: dict[int, np.ndarray] = {}
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -38,14 +38,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def powers(n: int) -> np.ndarray:
-    """The first `n` powers of the hash multiplier."""
-    global _POWERS
-    if len(_POWERS) < n:
-        grown = np.full(max(n, 2 * len(_POWERS), 1024), _STEP, dtype=np.uint64)
+def powers(n: int, base: int = int(_STEP)) -> np.ndarray:
+    """The first `n` powers of a hash multiplier, modulo 2^64."""
+    if len(_TABLES.get(base, ())) < n:
+        grown = np.full(max(n, 1 << 12), base, dtype=np.uint64)
         grown[0] = 1
-        _POWERS = np.multiply.accumulate(grown)
-    return _POWERS[:n]
+        _TABLES[base] = np.multiply.accumulate(grown)
+    return _TABLES[base][:n]
 
 
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,18 +89,25 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of bytes; spans are in order and do not overlap."""
-    out = np.zeros(len(starts), dtype=np.uint64)
-    if not len(starts):
-        return out
     sizes = ends - starts
-    full = np.flatnonzero(sizes > 0)
-    if len(full):
-        lengths = sizes[full]
-        heads = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(heads, lengths)
-        at = place + np.repeat(starts[full], lengths)
-        out[full] = np.add.reduceat(_BYTE[data[at]] * powers(int(lengths.max()))[place], heads)
-    return mix(out ^ (sizes.astype(np.uint64) * _STEP))
+    if len(data) <= 4 * SLICE_BYTES:
+        # A difference of running sums, moved back to the start of its span.
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[data] * powers(len(data)), out=sums[1:])
+        back = powers(len(data) + 1, pow(int(_STEP), -1, 1 << 64))
+        total = (sums[ends] - sums[starts]) * back[starts]
+    else:
+        # One very long text: the same value span by span, without tables of its length.
+        total = np.zeros(len(starts), dtype=np.uint64)
+        full = np.flatnonzero(sizes > 0)
+        for low in range(0, len(full), 1 << 16):
+            some = full[low : low + (1 << 16)]
+            lengths = sizes[some]
+            heads = np.cumsum(lengths) - lengths
+            place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(heads, lengths)
+            at = place + np.repeat(starts[some], lengths)
+            total[some] = np.add.reduceat(_BYTE[data[at]] * powers(int(lengths.max()))[place], heads)
+    return mix(total ^ (sizes.astype(np.uint64) * _STEP))
 
 
 def gram_hashes(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -36,8 +36,8 @@ from shelfsight.sources.scratch import materialize
 
 LENGTH, GRAM = 50, 24
 #: Text of a block, of an array step, strings sorted at once, and bits of an anchor's short hash.
-BLOCK_BYTES, STEP_BYTES, SORTED, SHORT_BITS = 6 << 20, 1 << 21, 1 << 18, 40
-OWNER_KEYS = 1 << 21
+BLOCK_BYTES, STEP_BYTES, SORTED, SHORT_BITS = 6 << 20, 1 << 19, 1 << 18, 40
+OWNER_KEYS = 1 << 20
 _SIGN = 1 << 63
 _STEP = 0x9E3779B97F4A7C15 | 1
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -246,8 +246,7 @@ def repeated_spans(suffixes: pa.Table) -> pa.Table:
     holders = np.diff(places.offsets.to_numpy())
     place, doc = places.flatten().to_numpy(), docs.flatten().to_numpy().view(np.uint64)
     owner, number = _ragged(strings_of)
-    at = offsets[:-1][owner] + number
-    strings = context[at[:, None] + np.arange(LENGTH)[None, :]]
+    strings = np.lib.stride_tricks.sliding_window_view(context, LENGTH)[offsets[:-1][owner] + number]
     order, run = sort_strings(strings)
     head = np.cumsum(holders) - holders
     lowest_here = np.minimum.reduceat(doc, head) if len(doc) else doc
