@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,7 +13,7 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; tests on a local master get a new one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is None:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="shelfsight-")
         spark.sparkContext.setCheckpointDir(root)
@@ -24,7 +25,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/shelfsight/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, label: str = "stage", compression: str | None = None) -> DataFrame:
     """Write `df` once and read it back.
 
     Later passes then see the same rows in the same slices, also after an
@@ -32,5 +33,5 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
