@@ -47,11 +47,11 @@ def powers(n: int, base: int = int(_STEP)) -> np.ndarray:
     return _TABLES[base][:n]
 
 
-def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a text column; null counts as empty."""
+def buffers(column: pa.Array | pa.ChunkedArray, binary: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a text (or binary) column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_binary() if binary else pa.large_string()), b"" if binary else "")
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)

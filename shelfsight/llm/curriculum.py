@@ -131,7 +131,8 @@ def curriculum(
 
 def in_order(placed: DataFrame) -> DataFrame:
     """Rows range-sorted by their first position; rows that are not taken come last."""
-    return placed.orderBy(F.get("positions", F.lit(0)).asc_nulls_last())
+    # The hash spreads rows without a position over many ranges.
+    return placed.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), F.xxhash64("doc_id"))
 
 
 def training_rows(placed: DataFrame) -> DataFrame:

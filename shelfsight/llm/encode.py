@@ -9,14 +9,15 @@ the tokenizer sees few.
 
 from __future__ import annotations
 
+import functools
 import os
 
 import numpy as np
 
 from shelfsight.llm.arrays import buffers, span_hashes
 
-#: Distinct stretches a task remembers before it starts anew.
-MEMO = 1 << 20
+#: Distinct stretches a Python worker remembers, over all its tasks, before it starts anew.
+MEMO = 3 << 19
 
 _VISIBLE = np.zeros(256, dtype=bool)
 _VISIBLE[0x21:0x7F] = True
@@ -46,6 +47,12 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(marks)
 
 
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for a vocabulary file."""
+    return Encoder(path)
+
+
 class Encoder:
     """Ids of whole texts; keeps what it has encoded."""
 

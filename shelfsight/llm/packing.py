@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.llm.arrays import slices
-from shelfsight.llm.encode import Encoder
+from shelfsight.llm.encode import encoder
 from shelfsight.llm.ranks import add_before, bucket_of
 from shelfsight.sources.scratch import materialize
 
@@ -142,11 +142,10 @@ def document_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer)
+            coder = encoder(tokenizer)
             for part in slices(batch, "text"):
-                ids, bounds = encoder.encode(part.column("text"))
+                ids, bounds = coder.encode(part.column("text"))
                 rows = []
                 for doc, low, high in zip(part.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
                     own = np.append(ids[low:high], np.uint32(end_id)).astype("<u4")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.llm.arrays import slices
-from shelfsight.llm.encode import Encoder
+from shelfsight.llm.encode import encoder
 from shelfsight.sources.scratch import materialize, scratch_path
 
 #: Added to a rotated checksum, so that checksums of data holding checksums stay apart.
@@ -81,14 +81,14 @@ def write_records(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         store, folder = _open(root)
-        name, encoder, out, at, start = f"part-{part:06d}-{uuid.uuid4().hex}.rec", None, None, 0, 0
+        name, coder, out, at, start = f"part-{part:06d}-{uuid.uuid4().hex}.rec", None, None, 0, 0
         try:
             for batch in batches:
                 for piece in slices(batch, "text"):
                     if out is None:
                         store.create_dir(folder, recursive=True)
-                        out, encoder = store.open_output_stream(f"{folder}/{name}"), Encoder(tokenizer)
-                    ids, bounds = encoder.encode(piece.column("text"))
+                        out, coder = store.open_output_stream(f"{folder}/{name}"), encoder(tokenizer)
+                    ids, bounds = coder.encode(piece.column("text"))
                     rows = []
                     for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                         own = np.append(ids[low:high], np.uint32(end_id))

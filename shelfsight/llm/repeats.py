@@ -44,7 +44,7 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 BLOCK = "block long, ids array<long>, sizes array<long>, hexes array<string>, text binary"
 MARKED = (
     "row long, doc_id long, n_bytes long, hex string, covered boolean, text binary, "
-    "lead binary, left binary, places array<long>, docs array<long>"
+    "context binary, before int, holders binary"
 )
 
 
@@ -193,7 +193,7 @@ def _nothing(n: int, kind: pa.DataType) -> pa.Array:
 
 _KINDS = {
     "row": pa.int64(), "doc_id": pa.int64(), "n_bytes": pa.int64(), "hex": pa.string(), "covered": pa.bool_(), "text": pa.binary(),
-    "lead": pa.binary(), "left": pa.binary(), "places": pa.list_(pa.int64()), "docs": pa.list_(pa.int64()),
+    "context": pa.binary(), "before": pa.int32(), "holders": pa.binary(),
 }
 
 
@@ -239,12 +239,13 @@ def _ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def repeated_spans(suffixes: pa.Table) -> pa.Table:
     """Spans of strings that a smaller id has, from suffixes that share leading bytes."""
-    context, offsets = buffers_of(suffixes.column("left"), suffixes.column("lead"))
+    context, offsets = buffers(suffixes.column("context"), binary=True)
     strings_of = np.diff(offsets) - (LENGTH - 1)
-    left = _sizes(suffixes.column("left"))
-    places, docs = (suffixes.column(c).combine_chunks() for c in ("places", "docs"))
-    holders = np.diff(places.offsets.to_numpy())
-    place, doc = places.flatten().to_numpy(), docs.flatten().to_numpy().view(np.uint64)
+    left = suffixes.column("before").to_numpy()
+    raw, bounds = buffers(suffixes.column("holders"), binary=True)
+    holders = np.diff(bounds) // 16
+    pairs = np.frombuffer(raw.tobytes(), dtype=np.uint64).reshape(-1, 2)
+    place, doc = pairs[:, 0].astype(np.int64), pairs[:, 1]
     owner, number = _ragged(strings_of)
     strings = np.lib.stride_tricks.sliding_window_view(context, LENGTH)[offsets[:-1][owner] + number]
     order, run = sort_strings(strings)
@@ -269,31 +270,23 @@ def repeated_spans(suffixes: pa.Table) -> pa.Table:
     return pa.table({"row": begin[heads] >> 32, "start": begin[heads] & low, "stop": (begin[lasts] & low) + LENGTH})
 
 
-def _sizes(column: pa.ChunkedArray) -> np.ndarray:
-    import pyarrow.compute as pc
-
-    return pc.binary_length(column).to_numpy().astype(np.int64)
-
-
-def buffers_of(left: pa.ChunkedArray, lead: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of `left` followed by `lead` per row, and where rows start."""
-    parts = [x for pair in zip(left.to_pylist(), lead.to_pylist()) for x in pair]
-    sizes = np.array([len(x) for x in parts], dtype=np.int64).reshape(-1, 2).sum(axis=1)
-    return np.frombuffer(b"".join(parts), dtype=np.uint8), np.concatenate([[0], np.cumsum(sizes)])
-
-
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Take a sorted bucket in runs of whole leading keys."""
     held: list[pa.RecordBatch] = []
 
+    def leading(rows: pa.RecordBatch) -> list[bytes]:
+        pairs = zip(rows.column("context").to_pylist(), rows.column("before").to_pylist())
+        return [text[at : at + GRAM] for text, at in pairs]
+
     def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = rows.column("key").to_pylist()
-        new = np.array([True, *[a != b for a, b in zip(key[1:], key)]], dtype=bool)
-        group = np.cumsum(new) - 1
-        holders = np.diff(rows.column("docs").combine_chunks().offsets.to_numpy())
+        context, offsets = buffers(rows.column("context"), binary=True)
+        heads = offsets[:-1] + rows.column("before").to_numpy()
+        key = np.lib.stride_tricks.sliding_window_view(context, GRAM)[heads]
+        group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1))])
+        holders = np.diff(buffers(rows.column("holders"), binary=True)[1]) // 16
         # A leading key that one text alone has repeats nothing.
         useful = np.flatnonzero(np.bincount(group, weights=holders)[group] > 1)
-        sizes = _sizes(rows.column("left")) + _sizes(rows.column("lead")) - (LENGTH - 1)
+        sizes = np.diff(offsets) - (LENGTH - 1)
         while len(useful):
             total = np.cumsum(sizes[useful])
             stop = int(np.searchsorted(total, SORTED)) + 1
@@ -307,8 +300,8 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        last = batch.column("key")[-1].as_py()
-        keys = batch.column("key").to_pylist()
+        keys = leading(batch)
+        last = keys[-1]
         whole = len(keys)
         while whole and keys[whole - 1] == last:
             whole -= 1
@@ -316,7 +309,7 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(batch.slice(0, whole))
             yield from work(pa.Table.from_batches(held))
             held = []
-        elif held and held[-1].column("key")[-1].as_py() != last:
+        elif held and leading(held[-1].slice(held[-1].num_rows - 1))[0] != last:
             yield from work(pa.Table.from_batches(held))
             held = []
         held.append(batch.slice(whole))
@@ -438,12 +431,14 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .cogroup(shared.filter("block >= 0").groupBy("block"))
         .applyInArrow(mark, MARKED),
         "marked",
+        compression="zstd",
     )
+    lead = F.expr(f"substring(context, before + 1, {GRAM})")
     spans = (
-        marked.filter("lead is not null")
-        .select(F.substring("lead", 1, GRAM).alias("key"), "lead", "left", "places", "docs")
-        .repartitionByRange("key")
-        .sortWithinPartitions("key")
+        marked.filter("context is not null")
+        .select("context", "before", "holders")
+        .repartitionByRange(lead)
+        .sortWithinPartitions(lead)
         .mapInArrow(_bucket, "row long, start long, stop long")
         .groupBy("row")
         .agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
@@ -466,7 +461,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def _suffix_rows(data: np.ndarray, offsets: np.ndarray, found: dict, first_row: int, ranks: np.ndarray) -> pa.Table:
-    """One row per distinct suffix with its context, holding all its places here."""
+    """One row per distinct suffix and what stands before it, with its holders: place and id of each."""
     begin, stop = found["first"], found["last"] + LENGTH
     # Equal contexts have equal sizes and equal grams at steps that leave no byte out.
     h = gram_hash(data)
@@ -480,12 +475,13 @@ def _suffix_rows(data: np.ndarray, offsets: np.ndarray, found: dict, first_row:
     heads = np.append(np.flatnonzero(new), len(order)).astype(np.int32)
     one = order[heads[:-1]]
     texts = found["text"]
-    places = ((first_row + texts) << 32) + (found["place"] - offsets[texts])
-    docs = ranks[texts].view(np.int64)
+    holders = np.empty((len(order), 2), dtype=np.uint64)
+    holders[:, 0] = (((first_row + texts) << 32) + (found["place"] - offsets[texts]))[order]
+    holders[:, 1] = ranks[texts][order]
+    raw = pa.py_buffer(np.ascontiguousarray(holders))
     return _rows(
         len(one),
-        lead=_binary(data, found["place"][one], stop[one]),
-        left=_binary(data, begin[one], found["place"][one]),
-        places=pa.ListArray.from_arrays(heads, pa.array(places[order])),
-        docs=pa.ListArray.from_arrays(heads, pa.array(docs[order])),
+        context=_binary(data, begin[one], stop[one]),
+        before=pa.array((found["place"] - begin)[one].astype(np.int32)),
+        holders=pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(heads * 16), raw]),
     )
