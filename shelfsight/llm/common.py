@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,3 +80,23 @@ def in_bloom(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     for place in (np.mod(keys, bits), np.mod(high, bits)):
         out &= (words[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
     return out
+
+
+def without(docs: DataFrame, dropped: DataFrame, same: Column, key: Column, dropped_key: Column) -> DataFrame:
+    """The rows of `docs` that no row of `dropped` matches.
+
+    Equal rows have equal keys. A filter of fixed size lets the rows through that may
+    match; only they are shuffled and joined, the others never move.
+    """
+    held = bloom(dropped.select(dropped_key.alias("_hash")).distinct(), "_hash")
+    schema = docs.schema
+    names = docs.columns
+
+    def part(batches, wanted: bool):
+        for batch in batches:
+            maybe = in_bloom(held.value, batch.column("_hash").to_numpy())
+            yield batch.select(names).filter(pa.array(maybe == wanted))
+
+    hashed = docs.withColumn("_hash", key)
+    suspects = hashed.mapInArrow(lambda b: part(b, True), schema)
+    return hashed.mapInArrow(lambda b: part(b, False), schema).unionByName(suspects.join(dropped, same, "left_anti"))

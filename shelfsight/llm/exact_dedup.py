@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shelfsight.llm import golomb
 from shelfsight.llm.arrays import LOWER, buffers, slices
-from shelfsight.llm.common import bloom, in_bloom, lowered, shuffle_partitions
+from shelfsight.llm.common import bloom, in_bloom, lowered, shuffle_partitions, without
 from shelfsight.sources.scratch import materialize
 
 #: Rows in one block, and fingerprints that one owner should hold.
@@ -159,9 +159,9 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         "decided",
     )
     same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_sha"))
-    chosen = docs.withColumn("_key", F.sha2(lowered(F.col(text_column)), 256)).join(
-        decided.filter("not _kept"), same, "left_anti"
-    )
+    keyed = docs.withColumn("_key", F.sha2(lowered(F.col(text_column)), 256))
+    dropped = decided.filter("not _kept").select("_id", "_sha")
+    chosen = without(keyed, dropped, same, F.xxhash64(F.col(id_column).cast("long"), "_key"), F.xxhash64("_id", "_sha"))
     repeats = decided.filter("_kept and _rows > 1")
     if repeats.isEmpty():
         return chosen.drop("_key")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.llm import arrays
-from shelfsight.llm.common import bloom, in_bloom
+from shelfsight.llm.common import bloom, in_bloom, without
 from shelfsight.llm.components import components
 from shelfsight.sources.scratch import materialize
 
@@ -263,8 +263,9 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         "decided",
     )
     same = (F.col(id_column) == F.col("_id")) & (F.col("_key") == F.col("_text"))
-    chosen = docs.withColumn("_key", F.xxhash64(text_column))
-    chosen = chosen.join(decided.filter("not _kept").distinct(), same, "left_anti")
+    keyed = docs.withColumn("_key", F.xxhash64(text_column))
+    dropped = decided.filter("not _kept").select("_id", "_text").distinct()
+    chosen = without(keyed, dropped, same, F.xxhash64(F.col(id_column).cast("long"), "_key"), F.xxhash64("_id", "_text"))
     repeats = decided.filter("_kept").groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_id")
     if repeats.isEmpty():
         return chosen.drop("_key")

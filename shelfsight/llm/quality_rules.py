@@ -12,7 +12,7 @@ most FALSE_REJECTION of the good texts are rejected in every stratum.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfsight.llm import arrays
 from shelfsight.llm.common import binomial_tail
@@ -44,17 +45,18 @@ class Risk:
     cutoffs: tuple[float, ...] = CUTOFFS
 
 
-def _rate(part: str, whole: str) -> Column:
-    return F.coalesce(F.col(part) / F.nullif(F.col(whole), F.lit(0)), F.lit(0.0))
+def _rate(part: str, whole: str) -> Callable[..., Column]:
+    """The rate as a column, its inputs named with a prefix."""
+    return lambda prefix="": F.coalesce(F.try_divide(F.col(prefix + part), F.col(prefix + whole)), F.lit(0.0))
 
 
 RULES = {
-    "symbols": lambda: _rate("n_symbols", "word_chars"),
-    "dup_lines": lambda: _rate("n_dup_lines", "n_lines"),
-    "repeats": lambda: _rate("n_repeat_words", "n_words"),
-    "shouting": lambda: _rate("n_upper", "word_chars"),
-    "stutters": lambda: _rate("n_stutters", "n_words"),
-    "marked": lambda: _rate("n_marked", "n_words"),
+    "symbols": _rate("n_symbols", "word_chars"),
+    "dup_lines": _rate("n_dup_lines", "n_lines"),
+    "repeats": _rate("n_repeat_words", "n_words"),
+    "shouting": _rate("n_upper", "word_chars"),
+    "stutters": _rate("n_stutters", "n_words"),
+    "marked": _rate("n_marked", "n_words"),
 }
 
 
@@ -109,12 +111,22 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _signals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in arrays.slices(batch, "text"):
-            found = measure(*arrays.buffers(piece.column("text")))
-            columns = [piece.column("doc_id"), piece.column("text_key"), piece.column("stratum"), *[pa.array(found[s].astype(np.int64)) for s in SIGNALS]]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "stratum", *SIGNALS])
+def with_signals(docs: DataFrame, text_column: str, keep: list[str], prefix: str = "") -> DataFrame:
+    """The columns `keep` of every row, its signals and whether it fails the base rule."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in arrays.slices(batch, text_column):
+                found = measure(*arrays.buffers(piece.column(text_column)))
+                columns = [piece.column(c) for c in keep] + [pa.array(found[s].astype(np.int64)) for s in SIGNALS]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *[prefix + s for s in SIGNALS]])
+
+    schema = T.StructType(docs.select(*keep).schema.fields)
+    for s in SIGNALS:
+        schema = schema.add(prefix + s, T.LongType())
+    words, again = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
+    failed = (words < 20) | (100 * again > 30 * words)
+    return docs.mapInArrow(add, schema).withColumn(f"{prefix}base_failed", failed)
 
 
 def stratum_of(column: str) -> Column:
@@ -162,18 +174,22 @@ def quality_verdicts(
     Repeated rows get equal verdicts. An empty table gives no rows. Other columns
     are not read. Starts Spark jobs.
     """
-    schema = "doc_id long, text_key long, stratum string, " + ", ".join(f"{s} long" for s in SIGNALS)
-    signals = materialize(
-        docs.select(
-            F.col(id_column).cast("long").alias("doc_id"),
-            F.xxhash64(text_column).alias("text_key"),
-            stratum_of(stratum_column).alias("stratum"),
-            F.col(text_column).alias("text"),
-        )
-        .mapInArrow(_signals, schema)
-        .withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")),
-        "signals",
+    signals = measured(docs, id_column, text_column, stratum_column)
+    return judged(signals, proven_cutoffs(signals, labels, risk)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules"
     )
+
+
+def measured(docs: DataFrame, id_column: str, text_column: str, stratum_column: str) -> DataFrame:
+    """The written signals of every row."""
+    chosen = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"), stratum_of(stratum_column).alias("stratum"), F.col(text_column).alias("text")
+    )
+    return materialize(with_signals(chosen, "text", ["doc_id", "stratum"]), "signals")
+
+
+def proven_cutoffs(signals: DataFrame, labels: DataFrame, risk: Risk) -> DataFrame:
+    """One row per stratum with the cutoff of each rule, null where none is proven."""
     good = (
         labels.filter("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -199,17 +215,33 @@ def quality_verdicts(
         found = choose_cutoffs(group, risk, tests)
         return pd.DataFrame([[group["stratum"].iloc[0], *found]], columns=["stratum", *[f"cut_{r}" for r in RULES]])
 
-    cutoffs = materialize(
+    return materialize(
         counts.groupBy("stratum").applyInPandas(
             per_stratum, "stratum string, " + ", ".join(f"cut_{r} double" for r in RULES)
         ),
         "cutoffs",
     )
-    over = [F.coalesce(f() > F.col(f"cut_{r}"), F.lit(False)) for r, f in RULES.items()]
+
+
+def judged(signals: DataFrame, cutoffs: DataFrame, prefix: str = "") -> DataFrame:
+    """Add kept and failed_rules to rows with signals and a stratum."""
+    over = [F.coalesce(f(prefix) > F.col(f"cut_{r}"), F.lit(False)) for r, f in RULES.items()]
     failed = F.array_compact(F.array(*[F.when(o, F.lit(r)) for o, r in zip(over, RULES)]))
+    stratum = F.col(f"{prefix}stratum") == F.col("_of")
     return (
-        signals.join(cutoffs, "stratum", "left")
-        .withColumn("failed_rules", failed)
-        .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules", "text_key", "stratum")
+        signals.join(cutoffs.withColumnRenamed("stratum", "_of"), stratum, "left")
+        .withColumn(f"{prefix}failed_rules", failed)
+        .withColumn(f"{prefix}kept", ~F.col(f"{prefix}base_failed") & (F.size(f"{prefix}failed_rules") == 0))
     )
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, risk: Risk = Risk(), id_column: str = "doc_id", text_column: str = "text", stratum_column: str = "lang"
+) -> DataFrame:
+    """The rows of `docs` that the rules keep, with all their columns.
+
+    A verdict follows from the row and a row of cutoffs, so texts are not shuffled.
+    """
+    cutoffs = proven_cutoffs(measured(docs, id_column, text_column, stratum_column), labels, risk)
+    own = docs.withColumn("_q_stratum", stratum_of(stratum_column))
+    return judged(with_signals(own, text_column, own.columns, "_q_"), cutoffs, "_q_").filter("_q_kept").select(*docs.columns)
