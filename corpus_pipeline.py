@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfsight.llm import curriculum, exact_dedup, ngram_join, packing, quality_rules
 from shelfsight.llm.common import table, tokenizer_file
@@ -23,17 +22,8 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the rows whose id the quality rules reject; rows that repeat an id are judged by text."""
-    verdicts = quality_rules.quality_verdicts(docs, table(spark, sf_dir, "labels"))
-    rejected = materialize(
-        verdicts.filter(~F.col("kept")).select(
-            F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), F.col("stratum").alias("_stratum")
-        ).distinct(),
-        "rejected",
-    )
-    keyed = docs.withColumn("_key", F.xxhash64("text")).withColumn("_lang", quality_rules.stratum_of("lang"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text")) & (F.col("_lang") == F.col("_stratum"))
-    return keyed.join(rejected, same, "left_anti").select(*docs.columns)
+    """Drop the rows that the quality rules reject."""
+    return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
