@@ -39,6 +39,8 @@ LENGTH, GRAM = 50, 24
 BLOCK_BYTES, STEP_BYTES, SORTED, SHORT_BITS = 6 << 20, 1 << 19, 1 << 18, 40
 OWNER_KEYS = 1 << 20
 _SIGN = 1 << 63
+#: Bytes of a holder (row, place of the anchor, id), and bits of a place within a text.
+HOLDER, PLACE_BITS = 24, 36
 _STEP = 0x9E3779B97F4A7C15 | 1
 EMPTY = hashlib.sha256(b"").hexdigest()
 BLOCK = "block long, ids array<long>, sizes array<long>, hexes array<string>, text binary"
@@ -243,9 +245,11 @@ def repeated_spans(suffixes: pa.Table) -> pa.Table:
     strings_of = np.diff(offsets) - (LENGTH - 1)
     left = suffixes.column("before").to_numpy()
     raw, bounds = buffers(suffixes.column("holders"), binary=True)
-    holders = np.diff(bounds) // 16
-    pairs = np.frombuffer(raw.tobytes(), dtype=np.uint64).reshape(-1, 2)
-    place, doc = pairs[:, 0].astype(np.int64), pairs[:, 1]
+    holders = np.diff(bounds) // HOLDER
+    held = np.frombuffer(raw.tobytes(), dtype=np.uint64).reshape(-1, 3)
+    rows, number_of = np.unique(held[:, 0].astype(np.int64), return_inverse=True)
+    # One ascending line for all places: the row's number here, then the place in its text.
+    place, doc = (number_of << PLACE_BITS) + held[:, 1].astype(np.int64), held[:, 2]
     owner, number = _ragged(strings_of)
     strings = np.lib.stride_tricks.sliding_window_view(context, LENGTH)[offsets[:-1][owner] + number]
     order, run = sort_strings(strings)
@@ -260,14 +264,13 @@ def repeated_spans(suffixes: pa.Table) -> pa.Table:
     which = head[owner[item]] + k
     gone = first_id[item] < doc[which]
     item, which = item[gone], which[gone]
-    # A place is the text's row times 2^32 plus the anchor's place in the text.
     begin = place[which] - left[owner[item]] + number[item]
     begin = np.unique(begin)
     new = np.concatenate([[True], begin[1:] != begin[:-1] + 1]) if len(begin) else np.zeros(0, bool)
     heads = np.flatnonzero(new)
     lasts = np.append(heads[1:], len(begin))[: len(heads)] - 1
-    low = (1 << 32) - 1
-    return pa.table({"row": begin[heads] >> 32, "start": begin[heads] & low, "stop": (begin[lasts] & low) + LENGTH})
+    low = (1 << PLACE_BITS) - 1
+    return pa.table({"row": rows[begin[heads] >> PLACE_BITS], "start": begin[heads] & low, "stop": (begin[lasts] & low) + LENGTH})
 
 
 def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +286,7 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads = offsets[:-1] + rows.column("before").to_numpy()
         key = np.lib.stride_tricks.sliding_window_view(context, GRAM)[heads]
         group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(axis=1))])
-        holders = np.diff(buffers(rows.column("holders"), binary=True)[1]) // 16
+        holders = np.diff(buffers(rows.column("holders"), binary=True)[1]) // HOLDER
         # A leading key that one text alone has repeats nothing.
         useful = np.flatnonzero(np.bincount(group, weights=holders)[group] > 1)
         sizes = np.diff(offsets) - (LENGTH - 1)
@@ -461,7 +464,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def _suffix_rows(data: np.ndarray, offsets: np.ndarray, found: dict, first_row: int, ranks: np.ndarray) -> pa.Table:
-    """One row per distinct suffix and what stands before it, with its holders: place and id of each."""
+    """One row per distinct suffix and what stands before it, with its holders: row, place and id of each."""
     begin, stop = found["first"], found["last"] + LENGTH
     # Equal contexts have equal sizes and equal grams at steps that leave no byte out.
     h = gram_hash(data)
@@ -475,13 +478,14 @@ def _suffix_rows(data: np.ndarray, offsets: np.ndarray, found: dict, first_row:
     heads = np.append(np.flatnonzero(new), len(order)).astype(np.int32)
     one = order[heads[:-1]]
     texts = found["text"]
-    holders = np.empty((len(order), 2), dtype=np.uint64)
-    holders[:, 0] = (((first_row + texts) << 32) + (found["place"] - offsets[texts]))[order]
-    holders[:, 1] = ranks[texts][order]
+    holders = np.empty((len(order), 3), dtype=np.uint64)
+    holders[:, 0] = (first_row + texts)[order]
+    holders[:, 1] = (found["place"] - offsets[texts])[order]
+    holders[:, 2] = ranks[texts][order]
     raw = pa.py_buffer(np.ascontiguousarray(holders))
     return _rows(
         len(one),
         context=_binary(data, begin[one], stop[one]),
         before=pa.array((found["place"] - begin)[one].astype(np.int32)),
-        holders=pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(heads * 16), raw]),
+        holders=pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(heads * HOLDER), raw]),
     )
