@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfsight.functions.columns import null_safe_join
 from shelfsight.operators.running import running_sums
 from shelfsight.settings import HOT_ROWS
 
@@ -87,12 +88,12 @@ def ranking_metrics(
 
     Equal scores are ordered by the `tie` columns. Values are means over groups.
     """
-    per_group = _group_quality(df, group, score, label, tie, ks, "", hot_rows).join(
-        _ideal(df, group, label, ks, hot_rows), group, "left"
+    per_group = null_safe_join(
+        _group_quality(df, group, score, label, tie, ks, "", hot_rows), _ideal(df, group, label, ks, hot_rows), [group]
     )
     if baseline is not None:
-        per_group = per_group.join(
-            _group_quality(df, group, baseline, label, tie, ks, "baseline_", hot_rows), group
+        per_group = null_safe_join(
+            per_group, _group_quality(df, group, baseline, label, tie, ks, "baseline_", hot_rows), [group], "inner"
         )
     means: list[Column] = []
     for k in ks:
@@ -124,8 +125,11 @@ def lift_curve(
     """(k, recall, baseline_recall, lift), each the mean over groups."""
     if missing := [c for c in (group, label, score, baseline) if c not in df.columns]:
         raise ValueError(f"lift curve needs the columns {missing}")
-    both = _group_quality(df, group, score, label, tie, ks, "", hot_rows).join(
-        _group_quality(df, group, baseline, label, tie, ks, "baseline_", hot_rows), group
+    both = null_safe_join(
+        _group_quality(df, group, score, label, tie, ks, "", hot_rows),
+        _group_quality(df, group, baseline, label, tie, ks, "baseline_", hot_rows),
+        [group],
+        "inner",
     )
     points = F.explode(
         F.array(

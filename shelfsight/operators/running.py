@@ -85,9 +85,12 @@ def running_sums(
         _SLICE, *by, *[F.sum(f"_t_{name}").over(earlier).alias(f"_o_{name}") for name in sums]
     )
     joined = null_safe_join(local, offsets, [_SLICE, *by])
-    return joined.withColumns(
-        {name: F.col(name) + F.coalesce(F.col(f"_o_{name}"), F.lit(0)) for name in sums}
-    ).drop(_SLICE, *[f"_o_{name}" for name in sums])
+    # As in the plain window: a sum is NULL only until the group's first value.
+    def added(name: str) -> Column:
+        here, before = F.col(name), F.col(f"_o_{name}")
+        return F.coalesce(here + before, here, before)
+
+    return joined.withColumns({name: added(name) for name in sums}).drop(_SLICE, *[f"_o_{name}" for name in sums])
 
 
 def rank_values(

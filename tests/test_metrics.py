@@ -107,3 +107,11 @@ def test_regression_metrics(spark):
     assert found["rmse"] == pytest.approx(math.sqrt(1.25 / 3)) and found["r2"] == pytest.approx(1 - 1.25 / 2)
     flat = spark.createDataFrame([(1.0, 1.5), (1.0, 1.0)], "y double, p double")
     assert values(regression_metrics(flat, "y", "p"))["r2"] is None
+
+
+def test_a_null_group_counts_like_any_other(spark):
+    rows = [(g, label, float(label), float(label)) for g in ("a", None) for label in (0, 1, 2)]
+    df = spark.createDataFrame(rows, "g string, y int, s double, b double")
+    for baseline in (None, "b"):
+        got = {r.metric: r.value for r in ranking_metrics(df, "g", "y", "s", baseline, ks=(1,)).collect()}
+        assert got["ndcg@1"] == 1.0

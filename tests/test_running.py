@@ -106,3 +106,12 @@ def test_size_counts_null_groups(spark):
     rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, v int")
     assert sorted(r["n"] for r in add_size(rows, ["g"], "n").collect()) == [1, 2, 2]
     assert {r["n"] for r in add_size(rows, [], "n").collect()} == {3}
+
+
+def test_null_sums_agree_in_both_paths(spark):
+    rows = [(k, "g", None if k % 3 else k) for k in range(40)] + [(k, "h", None) for k in range(40)]
+    df = spark.createDataFrame(rows, "id int, g string, v int")
+    sums = {"s": F.col("v")}
+    plain = running_sums(df, ["g"], [F.col("id")], sums)
+    sliced = running_sums(df, ["g"], [F.col("id")], sums, hot_rows=5)
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, sliced.select(plain.columns).collect()), key=str)
