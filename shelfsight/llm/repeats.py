@@ -475,7 +475,13 @@ def _suffix_rows(data: np.ndarray, offsets: np.ndarray, found: dict, first_row:
     order = np.argsort(sign, kind="stable")
     new = np.ones(len(order), dtype=bool)
     new[1:] = sign[order][1:] != sign[order][:-1]
-    heads = np.append(np.flatnonzero(new), len(order)).astype(np.int32)
+    # Rows go out in the order of the text, where neighbours overlap and compress well.
+    heads = np.flatnonzero(new)
+    turn = np.empty(len(heads), dtype=np.int64)
+    turn[np.argsort(order[heads])] = np.arange(len(heads))
+    own = turn[np.cumsum(new) - 1]
+    order = order[np.argsort(own, kind="stable")]
+    heads = np.concatenate([[0], np.cumsum(np.bincount(own))]).astype(np.int32)
     one = order[heads[:-1]]
     texts = found["text"]
     holders = np.empty((len(order), 3), dtype=np.uint64)
