@@ -126,12 +126,15 @@ def exchange(
         blocks = group.column("block").to_numpy()
         counts = group.column("n").to_numpy()
         rices = group.column("rice").to_numpy()
-        blobs = group.column("keys").to_pylist()
-        extras = [unpack_numbers(x) for x in group.column("extra").to_pylist() if x]
-        keys = np.concatenate([decode(n, r, b) for n, r, b in zip(counts, rices, blobs)])
-        sender = np.repeat(np.arange(len(blocks)), counts)
-        value, tally = answer(keys, sender, np.concatenate(extras) if extras else None)
         ends = np.cumsum(counts)
+        keys = np.empty(int(ends[-1]), dtype=np.uint64)
+        extra = np.empty(len(keys), dtype=np.int64) if len(group.column("extra")[0].as_py()) else None
+        for n, end, rice, blob, more in zip(counts, ends, rices, group.column("keys"), group.column("extra")):
+            keys[end - n : end] = decode(n, rice, blob.as_py())
+            if extra is not None:
+                extra[end - n : end] = unpack_numbers(more.as_py())
+        sender = np.repeat(np.arange(len(blocks), dtype=np.int32), counts)
+        value, tally = answer(keys, sender, extra)
         code = (lambda v: np.packbits(v).tobytes()) if bitmap else pack_numbers
         replies = [code(value[e - n : e]) for n, e in zip(counts, ends)] + [str(tally).encode()]
         owner = group.column("owner").to_pylist()

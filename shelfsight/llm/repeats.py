@@ -36,7 +36,7 @@ from shelfsight.sources.scratch import materialize
 
 LENGTH, GRAM = 50, 24
 #: Text of a block, of an array step, strings sorted at once, and bits of an anchor's short hash.
-BLOCK_BYTES, STEP_BYTES, SORTED, SHORT_BITS = 6 << 20, 1 << 19, 1 << 18, 40
+BLOCK_BYTES, STEP_BYTES, SORTED, SHORT_BITS = 4 << 20, 1 << 19, 1 << 18, 40
 OWNER_KEYS = 1 << 20
 _SIGN = 1 << 63
 #: Bytes of a holder (row, place of the anchor, id), and bits of a place within a text.
@@ -159,9 +159,14 @@ def _first_holder(keys: np.ndarray, sender: np.ndarray, extra: np.ndarray | None
 
 def _shared(keys: np.ndarray, sender: np.ndarray, extra: np.ndarray | None) -> tuple[np.ndarray, int]:
     """Sent by two blocks, or by one that has it in two texts?"""
-    distinct, inverse, times = np.unique(keys, return_inverse=True, return_counts=True)
-    several = np.bincount(inverse, weights=extra, minlength=len(distinct)) > 0
-    return (several | (times > 1))[inverse], len(distinct)
+    order = np.argsort(keys)
+    keys = keys[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else order
+    times = np.diff(np.append(heads, len(keys)))
+    several = (np.maximum.reduceat(extra[order], heads) > 0) | (times > 1) if len(keys) else times > 1
+    out = np.empty(len(keys), dtype=bool)
+    out[order] = np.repeat(several, times)
+    return out, len(heads)
 
 
 def _block_anchors(row: dict, covered: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, dict]]:
@@ -397,7 +402,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     def ask_anchors(batches):
         for batch in batches:
             for row in block_rows(batch):
-                runs = [(a, f) for a, _, _, f in _block_anchors(row, np.array(row["covered"], dtype=bool))]
+                found = _block_anchors(row, np.array(row["covered"], dtype=bool))
+                runs = [(a, {c: f[c] for c in ("hash", "text")}) for a, _, _, f in found]
                 keys, several = short_keys([f for _, f in runs], [a for a, _ in runs])
                 yield golomb.request_batch(golomb.requests(row["block"], keys, owners[1], several))
 
