@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from shelfsight.functions.columns import (
 from shelfsight.operators.asof import asof_join
 from shelfsight.operators.running import rank_values
 from shelfsight.schemas import ensure_columns
-from shelfsight.settings import HOT_ROWS, LabelThresholds, LabelWindows, TimeSplit
+from shelfsight.settings import HOT_ROWS, LABEL_SPAN, SPLIT_SHARES, LabelThresholds
 from shelfsight.sources.scratch import materialize
 
 KEY = ["asin", "site"]
@@ -32,7 +33,7 @@ BSR_COLUMNS = (
 TRAIN_TABLES = {"bin": "y_bin", "rank": "y_rank", "reg": "y_reg"}
 
 
-def sample_windows(mart: DataFrame, windows: LabelWindows | None = None) -> DataFrame:
+def sample_windows(mart: DataFrame, span: tuple[int, int] = LABEL_SPAN) -> DataFrame:
     """One row per (asin, site, t_ref) with its past and future aggregates.
 
     Reference days are the days with rows that leave a full observation and
@@ -40,7 +41,9 @@ def sample_windows(mart: DataFrame, windows: LabelWindows | None = None) -> Data
     key and day (map-side combined), so the calendar-range frames run over a
     history no longer than the calendar, however many rows a key has.
     """
-    windows = windows or LabelWindows()
+    back, ahead = span
+    if min(span) < 1:
+        raise ValueError(f"a label needs a day on each side, not {span}")
     absent = [c for c in ("asin", "site", "dt") if c not in mart.columns]
     if absent:
         raise KeyError(f"mart is missing required columns: {', '.join(absent)}")
@@ -69,8 +72,8 @@ def sample_windows(mart: DataFrame, windows: LabelWindows | None = None) -> Data
     offset = F.col("s_avg") - F.col("centre")
     days = days.withColumns({"d1": F.col("s_n") * offset, "d2": F.col("s_m2") + F.col("s_n") * offset * offset})
     by_day = Window.partitionBy(*KEY).orderBy("day")
-    past = by_day.rangeBetween(-(windows.observation_days - 1), 0)
-    future = by_day.rangeBetween(1, windows.forecast_days)
+    past = by_day.rangeBetween(-(back - 1), 0)
+    future = by_day.rangeBetween(1, ahead)
 
     def mean(total: str, count: str, frame) -> Column:
         return F.try_divide(F.sum(total).over(frame), F.sum(count).over(frame))
@@ -83,8 +86,8 @@ def sample_windows(mart: DataFrame, windows: LabelWindows | None = None) -> Data
             "last_day": F.max("day").over(whole),
             "past_sales": F.coalesce(F.sum("s_sum").over(past), F.lit(0.0)),
             "future_sales": F.coalesce(F.sum("s_sum").over(future), F.lit(0.0)),
-            "past_coverage": F.count(F.lit(1)).over(past) / windows.observation_days,
-            "future_coverage": F.count(F.lit(1)).over(future) / windows.forecast_days,
+            "past_coverage": F.count(F.lit(1)).over(past) / back,
+            "future_coverage": F.count(F.lit(1)).over(future) / ahead,
             "past_bsr_percentile": mean("bsr_percentile_sum", "bsr_percentile_n", past),
             "future_bsr_percentile": mean("bsr_percentile_sum", "bsr_percentile_n", future),
             "past_bsr_rank": mean("bsr_rank_sum", "bsr_rank_n", past),
@@ -94,8 +97,8 @@ def sample_windows(mart: DataFrame, windows: LabelWindows | None = None) -> Data
             "future_mean_sales": mean("s_sum", "s_n", future),
         }
     )
-    inside = (F.col("day") >= F.col("first_day") + windows.observation_days - 1) & (
-        F.col("day") <= F.col("last_day") - windows.forecast_days
+    inside = (F.col("day") >= F.col("first_day") + back - 1) & (
+        F.col("day") <= F.col("last_day") - ahead
     )
     return out.where(inside).select(
         *KEY,
@@ -204,35 +207,37 @@ def derive_targets(
     return rows.withColumn("y_bin", binary_target(thresholds))
 
 
-def split_cutoffs(samples: DataFrame, config: TimeSplit | None = None) -> DataFrame:
-    """One row with the last train day and the last validation day."""
-    config = config or TimeSplit()
-    shares = [r / sum(config.ratios) for r in config.ratios]
+def split_cutoffs(samples: DataFrame, shares: Mapping[str, float] = SPLIT_SHARES) -> DataFrame:
+    """One row with the last day of every split but the last, named `<split>_until`.
+
+    Days that the shares leave over go one each to the first splits.
+    """
+    total = sum(max(share, 0.0) for share in shares.values())
+    if total == 0 or total != sum(shares.values()):
+        raise ValueError(f"no split of days has the shares {dict(shares)}")
     # The set of distinct days is bounded by the calendar.
     days = samples.agg(F.sort_array(F.collect_set("t_ref")).alias("days"))
     count = F.size("days")
-    whole = [F.floor(F.lit(s) * count).cast("int") for s in shares]
+    whole = [F.floor(F.lit(share / total) * count).cast("int") for share in shares.values()]
     rest = count - sum(whole)
-    train = whole[0] + F.when(rest > 0, 1).otherwise(0)
-    valid = train + whole[1] + F.when(rest > 1, 1).otherwise(0)
+    ends = list(accumulate(days_of + F.when(rest > n, 1).otherwise(0) for n, days_of in enumerate(whole)))
 
     def day_at(cursor: Column) -> Column:
         return F.try_element_at("days", F.greatest(F.least(cursor, count), F.lit(1)).cast("int"))
 
-    return days.select(day_at(train).alias("train_until"), day_at(valid).alias("valid_until"))
+    return days.select(*[day_at(end).alias(f"{name}_until") for name, end in list(zip(shares, ends))[:-1]])
 
 
-def assign_splits(samples: DataFrame, config: TimeSplit | None = None) -> DataFrame:
-    """Label rows train/valid/test by where `t_ref` falls among the distinct days."""
-    config = config or TimeSplit()
-    cutoffs = split_cutoffs(samples, config).select(F.struct("*").alias("cutoffs")).scalar()
-    train, valid, test = config.names
-    split = (
-        F.when(cutoffs["train_until"].isNull() | (F.col("t_ref") <= cutoffs["train_until"]), train)
-        .when(F.col("t_ref") <= cutoffs["valid_until"], valid)
-        .otherwise(test)
-    )
-    return samples.withColumn("split", split)
+def assign_splits(samples: DataFrame, shares: Mapping[str, float] = SPLIT_SHARES) -> DataFrame:
+    """Label rows by where `t_ref` falls among the distinct days; without days all are of the first split."""
+    *earlier, last = shares
+    if not earlier:
+        return samples.withColumn("split", F.lit(last))
+    cutoffs = split_cutoffs(samples, shares).select(F.struct("*").alias("cutoffs")).scalar()
+    split = F.when(cutoffs[f"{earlier[0]}_until"].isNull(), earlier[0])
+    for name in earlier:
+        split = split.when(F.col("t_ref") <= cutoffs[f"{name}_until"], name)
+    return samples.withColumn("split", split.otherwise(last))
 
 
 def add_target_means(samples: DataFrame) -> DataFrame:
@@ -297,9 +302,9 @@ def build_labels(
     mart: DataFrame,
     features: DataFrame | None = None,
     facts: DataFrame | None = None,
-    windows: LabelWindows | None = None,
+    span: tuple[int, int] = LABEL_SPAN,
     thresholds: LabelThresholds | None = None,
-    split: TimeSplit | None = None,
+    shares: Mapping[str, float] = SPLIT_SHARES,
     report_callback: Callable[[str, DataFrame], None] | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> LabelSet:
@@ -308,16 +313,15 @@ def build_labels(
     The labelled samples feed a dozen outputs, so they are written once and each of
     these reads back only the columns it needs.
     """
-    split = split or TimeSplit()
-    enriched = attach_facts(attach_features(sample_windows(mart, windows), features), facts)
-    samples = assign_splits(derive_targets(enriched, thresholds, hot_rows), split)
+    enriched = attach_facts(attach_features(sample_windows(mart, span), features), facts)
+    samples = assign_splits(derive_targets(enriched, thresholds, hot_rows), shares)
     samples = materialize(add_target_means(samples), "labels")
     reports = label_reports(samples)
     if report_callback is not None:
         for name, frame in reports.items():
             report_callback(name, frame)
     tables = {
-        f"train_samples_{task}": train_table(samples, column, split.names[0])
+        f"train_samples_{task}": train_table(samples, column, next(iter(shares)))
         for task, column in TRAIN_TABLES.items()
     }
     return LabelSet(samples=samples, reports=reports, **tables)

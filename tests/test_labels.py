@@ -12,7 +12,7 @@ from shelfsight.operators.labels import (
     derive_targets,
     sample_windows,
 )
-from shelfsight.settings import LabelThresholds, LabelWindows, TimeSplit
+from shelfsight.settings import LabelThresholds
 
 
 def day(n):
@@ -28,7 +28,7 @@ def frame(spark, rows, columns):
 
 
 def run(spark, rows, columns, windows, limits=None, **options):
-    result = build_labels(mart(spark, rows, columns), windows=LabelWindows(*windows), thresholds=limits, **options)
+    result = build_labels(mart(spark, rows, columns), span=windows, thresholds=limits, **options)
     return result, result.samples.orderBy("t_ref", "site", "asin").collect()
 
 
@@ -54,13 +54,13 @@ def test_sparse_days(spark):
 
 def test_equal_sales_have_zero_spread(spark):
     rows = [("A", "US", day(n), 0.1, None, None) for n in range(1, 12)]
-    out = sample_windows(mart(spark, rows), LabelWindows(7, 1)).collect()
+    out = sample_windows(mart(spark, rows), (7, 1)).collect()
     assert out and all(r["past_std_sales"] == pytest.approx(0.0, abs=1e-12) for r in out)
 
 
 def test_several_rows_a_day(spark):
     rows = [("A", "US", day(1), 1.0, None, None), ("A", "US", day(1), 5.0, None, None), ("A", "US", day(2), None, None, None)]
-    out = sample_windows(mart(spark, rows), LabelWindows(1, 1)).collect()
+    out = sample_windows(mart(spark, rows), (1, 1)).collect()
     assert len(out) == 1
     assert out[0]["past_sales"] == 6.0 and out[0]["past_coverage"] == 1.0
     assert out[0]["past_std_sales"] == pytest.approx(2.0)
@@ -96,7 +96,7 @@ def test_price_band_only_if_any_row_has_one(spark):
 @pytest.mark.parametrize("hot_rows", [2, 1000])
 def test_ties_share_rank(spark, hot_rows):
     rows = [("A", "US", day(1), 1.0, 200.0), ("A", "US", day(2), 5.0, 150.0), ("B", "US", day(1), 2.0, 220.0), ("B", "US", day(2), 5.0, 150.0)]
-    samples = sample_windows(mart(spark, rows, "sales double, bsr_rank double"), LabelWindows(1, 1))
+    samples = sample_windows(mart(spark, rows, "sales double, bsr_rank double"), (1, 1))
     out = derive_targets(samples, hot_rows=hot_rows).collect()
     assert [r["y_rank"] for r in out] == [0.75, 0.75]
 
@@ -119,7 +119,7 @@ def test_ties_share_rank(spark, hot_rows):
 )
 def test_binary_target(spark, rows, columns, windows, limits, ratio, y_bin):
     data = [("A", "US", day(n + 1), *values) for n, values in enumerate(rows)]
-    samples = sample_windows(mart(spark, data, columns), LabelWindows(*windows))
+    samples = sample_windows(mart(spark, data, columns), windows)
     out = derive_targets(samples, LabelThresholds(*limits) if limits else None).collect()
     assert len(out) == 1
     assert out[0]["sales_ratio"] == ratio and out[0]["y_bin"] == y_bin
@@ -177,7 +177,7 @@ def test_asof_takes_whole_rows(spark):
 )
 def test_time_splits(spark, count, ratios, expected):
     rows = frame(spark, [(day(n + 1),) for n in range(count)], "t_ref date")
-    found = {r["split"]: r["count"] for r in assign_splits(rows, TimeSplit(ratios)).groupBy("split").count().collect()}
+    found = {r["split"]: r["count"] for r in assign_splits(rows, dict(zip(("train", "valid", "test"), ratios))).groupBy("split").count().collect()}
     assert [found.get(s, 0) for s in ("train", "valid", "test")] == expected
 
 
