@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text handled at once; a longer single text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240917))
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -60,7 +60,11 @@ def buffers(column: pa.Array | pa.ChunkedArray, binary: bool = False) -> tuple[n
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows of at most `limit` text bytes, or one row."""
+    """Cut a batch into runs of rows of at most `limit` text bytes, or one row.
+
+    After a batch, what Arrow still holds of it goes back to the system, as a worker
+    lives on through many tasks.
+    """
     if batch.num_rows == 0:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
@@ -70,6 +74,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         stop = max(int(np.searchsorted(ends, before + limit, side="right")), start + 1)
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

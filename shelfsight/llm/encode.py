@@ -18,6 +18,8 @@ from shelfsight.llm.arrays import buffers, span_hashes
 
 #: Distinct stretches a Python worker remembers, over all its tasks, before it starts anew.
 MEMO = 3 << 19
+#: Stretches handed to the tokenizer at once: its answers hold far more than the ids.
+LEARN = 1 << 13
 
 _VISIBLE = np.zeros(256, dtype=bool)
 _VISIBLE[0x21:0x7F] = True
@@ -70,11 +72,14 @@ class Encoder:
         self.ids = np.zeros(0, dtype=np.uint32)
 
     def _learn(self, hashes: np.ndarray, texts: list[str]):
-        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        count = np.array([len(x) for x in found], dtype=np.int64)
+        counts, flats = [], [self.ids]
+        for low in range(0, len(texts), LEARN):
+            found = [e.ids for e in self.tokenizer.encode_batch(texts[low : low + LEARN], add_special_tokens=False)]
+            counts.append(np.array([len(x) for x in found], dtype=np.int64))
+            flats.append(np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(counts[-1].sum())))
+        count = np.concatenate(counts)
         begin = len(self.ids) + np.cumsum(count) - count
-        flat = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(count.sum()))
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate(flats)
         known = np.concatenate([self.known, hashes])
         order = np.argsort(known, kind="stable")
         self.known = known[order]
