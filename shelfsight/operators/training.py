@@ -109,6 +109,17 @@ def _fit(estimators: dict, kind: str, label: str, options: dict[str, Any], **ext
     return estimators[kind](featuresCol=FEATURES, labelCol=label, **extra, **options)
 
 
+def _fit_pipeline(rows: DataFrame, features: list[str], learner: Estimator, watches: bool) -> PipelineModel:
+    """Means and model from the training rows; a learner that `watches` also sees the held-out ones.
+
+    Boosting needs them to know when to stop, but no column mean may come from them.
+    """
+    training = rows.where(~F.col(HELD))
+    assembly = Pipeline(stages=_assembly(features)).fit(training)
+    model = learner.fit(assembly.transform(rows if watches else training))
+    return PipelineModel([*assembly.stages, model])
+
+
 def train_classifier(
     df: DataFrame,
     target: str,
@@ -134,12 +145,9 @@ def train_classifier(
     extra: dict[str, Any] = {"weightCol": WEIGHT}
     if kind in TREE_MODELS:
         extra["seed"] = seed
-    fit_rows = rows.where(~F.col(HELD))
     if kind == "gbt":
         extra["validationIndicatorCol"] = HELD
-        fit_rows = rows
-    pipeline = Pipeline(stages=[*_assembly(features), _fit(CLASSIFIERS, kind, target, options, **extra)])
-    model = pipeline.fit(fit_rows)
+    model = _fit_pipeline(rows, features, _fit(CLASSIFIERS, kind, target, options, **extra), kind == "gbt")
     scored = model.transform(rows).select(
         *keys, HELD, F.col(target).alias("label"), vector_to_array("probability")[1].alias("prediction")
     )
@@ -174,12 +182,9 @@ def train_regressor(
     rows = random_holdout(df.select(*keys, target, *features), keys, fraction, seed)
     rows = materialize(_as_double(rows, [*features, target]), "train")
     extra: dict[str, Any] = {"seed": seed} if kind in TREE_MODELS else {}
-    fit_rows = rows.where(~F.col(HELD))
     if kind == "gbt":
         extra["validationIndicatorCol"] = HELD
-        fit_rows = rows
-    pipeline = Pipeline(stages=[*_assembly(features), _fit(REGRESSORS, kind, target, options, **extra)])
-    model = pipeline.fit(fit_rows)
+    model = _fit_pipeline(rows, features, _fit(REGRESSORS, kind, target, options, **extra), kind == "gbt")
     scored = model.transform(rows).select(*keys, HELD, F.col(target).alias("label"), "prediction")
     parts = {"train": scored.where(~F.col(HELD)), "validation": scored.where(F.col(HELD))}
     metrics = _by_part({p: regression_metrics(d, "label", "prediction") for p, d in parts.items()})
@@ -214,12 +219,9 @@ def train_ranker(
     extra: dict[str, Any] = {"seed": seed} if kind in TREE_MODELS else {}
     if weight:
         extra["weightCol"] = weight
-    fit_rows = rows.where(~F.col(HELD))
     if kind == "gbt":
         extra["validationIndicatorCol"] = HELD
-        fit_rows = rows
-    pipeline = Pipeline(stages=[*_assembly(features), _fit(REGRESSORS, kind, label, options, **extra)])
-    model = pipeline.fit(fit_rows)
+    model = _fit_pipeline(rows, features, _fit(REGRESSORS, kind, label, options, **extra), kind == "gbt")
     scored = model.transform(rows.where(F.col(HELD))).select(
         *dict.fromkeys([*keys, group, *([baseline] if baseline else [])]),
         F.col(label).alias("label"),

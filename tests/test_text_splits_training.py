@@ -167,3 +167,14 @@ def test_class_balance(spark):
     rows = spark.createDataFrame([(1,), (0,), (0,)], "y int")
     assert training.class_balance(rows, "y") == 2.0
     assert training.class_balance(rows.where("y = 0"), "y") is None
+
+
+def test_column_means_come_from_training_rows_only(spark):
+    rows = spark.createDataFrame(
+        [(i, float(i), 1.0 if i < 8 else 1e6, i >= 8) for i in range(10)], "id int, y double, x double, is_validation boolean"
+    )
+    learner = training.GBTRegressor(
+        featuresCol=training.FEATURES, labelCol="y", maxIter=2, validationIndicatorCol=training.HELD
+    )
+    fitted = training._fit_pipeline(rows, ["x"], learner, True)
+    assert fitted.stages[0].surrogateDF.first()["x"] == 1.0
