@@ -253,6 +253,17 @@ def test_stretches_encode_like_whole_texts(name, rows):
         assert ids[bounds[k] : bounds[k + 1]].tolist() == coder.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_runs_of_white_space_encode_like_whole_texts(name):
+    rng = random.Random(11)
+    texts = ["a\n\nb", "a \nb", "a\r\nb", "a\n\n\nb", "\n\nb", "\nb", "é\n\né", "a\u00a0\nb", "a\n", "\n", "b\n\n"]
+    texts += ["".join(rng.choice("ab1.,'s \n\n\r\té×\u00a0\u2003字") for _ in range(rng.randint(1, 12))) for _ in range(5000)]
+    coder = Encoder(tokenizer_file(name))
+    ids, bounds = coder.encode(pa.array(texts, pa.string()))
+    for k, text in enumerate(texts):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_records_round_trip(docs, empty, rows):
     path = tokenizer_file("word_bpe_49k.json")
     index = records.write_records(docs, path, 1)
