@@ -5,7 +5,8 @@ runs the text through transducers that emit normalised characters together with
 the source span of each: homoglyphs and full-width forms become ASCII, invisible
 characters vanish, spelled digits become digits, and at/dot disguises become `@`
 and `.`. Identifiers found there are mapped back to source characters and added
-where they touch no base span. Nothing in a base span ever changes.
+unless a base span of their kind holds them whole: of a disguise in one part of an
+identifier, the base pattern may have found the rest. Nothing in a base span ever changes.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -195,21 +197,23 @@ def suspicious(text: str) -> bool:
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
-    """Identifiers that only the normalised text shows, as source spans clear of base spans."""
+    """Identifiers that the normalised text shows, as source spans that no base span of their kind holds."""
     t = Transduced(text)
     for step in (_letters, _numbers, _marks):
         step(t)
     if t.text == text:
         return []
-    taken = sorted((a, b) for _, a, b in base)
-    heads = [a for a, _ in taken]
+    taken = {kind: sorted((a, b) for k, a, b in base if k == kind) for kind in KINDS}
     out = []
     for kind, a, b in plain(t.text):
         start, end = t.source(a, b)
-        if kind == "email" and not re.search(r"\.[A-Za-z]{2,24}$", t.text[a:b]):
+        # Base spans of a kind are disjoint: the last that starts before `end` is the last to touch.
+        near = bisect_left(taken[kind], (end, 0))
+        touched = near > 0 and taken[kind][near - 1][1] > start
+        if kind == "email" and not touched and not re.search(r"\.[A-Za-z]{2,24}$", t.text[a:b]):
             continue
-        near = int(np.searchsorted(heads, end)) if heads else 0
-        if any(x < end and start < y for x, y in taken[max(0, near - 3) : near + 1]):
+        holder = bisect_left(taken[kind], (start + 1, 0))
+        if holder and taken[kind][holder - 1][1] >= end:
             continue
         out.append((kind, start, end))
     return out

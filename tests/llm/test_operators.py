@@ -213,6 +213,23 @@ def test_disguises_map_back_to_the_source(text, kind, shown):
     assert [(k, text[a:b]) for k, a, b in pii.find(text)[1]] == [(kind, shown)]
 
 
+@pytest.mark.parametrize(
+    "text, base, every",
+    [
+        ("j\u043ehn@example.com", [("email", 2, 16)], [("email", 0, 16), ("email", 2, 16)]),
+        ("jo\u200bhn@example.com", [("email", 3, 17)], [("email", 0, 17), ("email", 3, 17)]),
+        ("john@example.c\u043em", [("email", 0, 14)], [("email", 0, 14), ("email", 0, 16)]),
+        ("j\u043ehn@example.com-", [("email", 2, 17)], [("email", 0, 17), ("email", 2, 17)]),
+        ("john [dot] smith@example.com", [("email", 11, 28)], [("email", 0, 28), ("email", 11, 28)]),
+        ("+1 4155550 l23", [("phone", 0, 10)], [("phone", 0, 10), ("phone", 0, 14)]),
+        ("a@b.com and j\u043ehn@example.com, a@b.com", None, [("email", 0, 7), ("email", 12, 28), ("email", 14, 28), ("email", 30, 37)]),
+    ],
+)
+def test_an_identifier_disguised_in_one_part_is_covered_whole(text, base, every):
+    found = pii.find(text)
+    assert found[1] == every and (base is None or found[0] == base)
+
+
 def test_clean_text_has_no_spans():
     assert pii.find("look at example.com and at dot one of nine, café at 12.5")[1] == []
 
