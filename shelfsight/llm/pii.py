@@ -95,9 +95,13 @@ DIGIT_WORDS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "
 _SPELLED = "|".join([*DIGIT_WORDS, "oh"])
 _AT = r"[\[({<]\s*at\s*[\])}>]"
 _DOT = r"[\[({<]\s*(?:dot|\.)\s*[\])}>]"
-# What makes the second pass worth its time; anything it could change matches here.
+# What makes the second pass worth its time; anything it could change matches here. One
+# alternative per rewrite: brackets, a bare dot (a bare `at` needs either), two spelled
+# digits, one beside a digit or dot as in `_beside_digit`, plus before a digit, lookalikes.
 _TRIGGER = re.compile(
-    rf"(?i)[\[({{<]\s*(?:at|dot|@|\.)\s*[\])}}>]|\bdot\b|(?:\b(?:{_SPELLED})\b[\s,.-]*+){{2}}|[0-9][oOlI|]|[oOlI|][0-9]"
+    rf"(?i)[\[({{<]\s*(?:at|dot|@|\.)\s*[\])}}>]|\bdot\b|(?:\b(?:{_SPELLED})\b[\s,.-]*+){{2}}|"
+    rf"[0-9.][ -]?\n?\b(?:{_SPELLED})\b|\b(?:{_SPELLED})\b[ -]?[0-9.]|"
+    rf"\bplus\s+(?:[0-9]|(?:{_SPELLED})\b)|[0-9][oOlI|]|[oOlI|][0-9]"
 )
 _DISGUISED_AT = re.compile(rf"(?i)\s*(?:{_AT}|[\[({{<]\s*@\s*[\])}}>])\s*")
 _DISGUISED_DOT = re.compile(rf"(?i)\s*{_DOT}\s*|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9])")

@@ -230,6 +230,35 @@ def test_an_identifier_disguised_in_one_part_is_covered_whole(text, base, every)
     assert found[1] == every and (base is None or found[0] == base)
 
 
+@pytest.mark.parametrize(
+    "text, kind, shown",
+    [
+        ("plus 44 20 7946 0958", "phone", "plus 44 20 7946 0958"),
+        ("+1 415 five 550123", "phone", "+1 415 five 550123"),
+        ("192.168.one.7", "ip", "192.168.one.7"),
+    ],
+)
+def test_one_spelled_part_is_enough(text, kind, shown):
+    assert (kind, 0, len(shown)) in pii.find(text)[1]
+
+
+def test_the_gate_passes_all_that_the_transducers_change():
+    rng = random.Random(9)
+    parts = [*pii.DIGIT_WORDS, "oh", "Five", "plus", "Plus", "at", "dot", "(at)", "[ dot ]", "<@>", "{.}", "john", "example", "com", "a@b.com"]
+    parts += [*"0123456789.+-@|olI", "192.168", "4155550123", "\u043e", "\u200b", "\uff11", "\u0131", "\u0130", "f\u0131ve", "é", "字"]
+    rewritten = 0
+    for _ in range(30000):
+        text = "".join(rng.choice(parts) + rng.choice(["", "", " ", " ", "\n", "\u00a0", "-", "."]) for _ in range(rng.randint(1, 7)))
+        t = pii.Transduced(text)
+        for step in (pii._letters, pii._numbers, pii._marks):
+            step(t)
+        rewritten += t.text != text
+        assert t.text == text or pii.suspicious(text), text
+        base, every = pii.find(text)
+        assert Counter(every) == Counter(base + pii.disguised(text, base)), text
+    assert rewritten > 1000
+
+
 def test_clean_text_has_no_spans():
     assert pii.find("look at example.com and at dot one of nine, café at 12.5")[1] == []
 
