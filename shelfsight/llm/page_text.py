@@ -1,7 +1,9 @@
 """Main text of web pages by differencing against the nearest page of the same host.
 
 A page becomes lines, one per block. What stands in menus, headers, footers,
-sidebars, notices, adverts, forms or comments by its element or class goes at once.
+sidebars, notices, adverts, forms or comments by its element goes at once, and so it
+does by its class, id or role where one of them is such a word as a whole and no
+article stands inside; names that only contain such a word are left to the differencing.
 Each page is paired with the page of its host whose URL path is nearest and whose
 lines differ; both are aligned by a longest common subsequence, and lines that they
 share go. Lines inside a marked article are exempt from that (`trust_articles`):
@@ -37,41 +39,52 @@ _INLINE = set(
 #: These end an open one of their kind, up to the container they are in.
 _IMPLIED = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _HOLDERS = {"div", "section", "article", "main", "ul", "ol", "dl", "table", "body", "html", "blockquote", "figure", *_DROPPED}
-_BOILER = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ad|ads|advert|advertisement|advertising|banner|sponsor(?:ed)?|promo|nav|navbar|navigation|menu|"
-    r"header|masthead|footer|sidebar|aside|complementary|contentinfo|cookies?|consent|gdpr|notice|alert|popup|modal|"
-    r"comments?|comment-list|disqus|reply|replies|share|sharing|social|related|recommended|newsletter|subscribe|signup|"
-    r"breadcrumbs?|pagination|pager|toolbar|skip|search)(?:$|[\s_-])"
+_BOILER_WORDS = (
+    "ad|ads|advert|advertisement|advertising|banner|sponsor(?:ed)?|promo|nav|navbar|navigation|menu|"
+    "header|masthead|footer|sidebar|aside|complementary|contentinfo|cookies?|consent|gdpr|notice|alert|popup|modal|"
+    "comments?|comment-list|disqus|reply|replies|share|sharing|social|related|recommended|newsletter|subscribe|signup|"
+    "breadcrumbs?|pagination|pager|toolbar|skip|search"
 )
+_BOILER = re.compile(rf"(?i)(?<!\S)(?:{_BOILER_WORDS})(?!\S)")
+_BOILER_PART = re.compile(rf"(?i)(?:^|[_-])(?:{_BOILER_WORDS})(?:$|[_-])")
+_MAIN = re.compile(r"\bmain\b")
 #: Bits of row history that an alignment keeps at once; larger ones are split in two.
 ALIGN_BITS = 1 << 28
 
 
+def _is_main(marks: str) -> bool:
+    """Does a class, id or role tell of the main part, and not of something like a main menu?"""
+    return "main" in marks and any(_MAIN.search(m) and not _BOILER_PART.search(m) for m in marks.split())
+
+
 def page_lines(html: str) -> tuple[list[str], list[int]]:
     """Lines of a page in order, without dropped elements, and the zone of each."""
-    lines, zones, held = [], [], []
-    stack: list[tuple[str, bool, bool]] = []  # name, dropped, article
-    dropped = article = 0
+    blocks: list[tuple[list[tuple[str, tuple[int, ...]]], int]] = []
+    held: list[tuple[str, tuple[int, ...]]] = []  # text, and the elements marked by class around it
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, dropped, marked, article
+    dropped = article = marked = 0
+    around: tuple[int, ...] = ()
+    holding: set[int] = set()  # marked elements with an article inside, which stay
 
     def flush():
-        text = " ".join(references.unescape("".join(held)).split())
-        if text:
-            lines.append(text)
-            zones.append(ARTICLE if article else OPEN)
+        if held:
+            blocks.append((held.copy(), ARTICLE if article else OPEN))
         held.clear()
 
     def pop():
-        nonlocal dropped, article
-        _, d, a = stack.pop()
+        nonlocal dropped, article, around
+        _, d, c, a = stack.pop()
         dropped -= d
         article -= a
+        if c:
+            around = around[:-1]
 
     at, n = 0, len(html)
     while at < n:
         m = _TAG.search(html, at)
         stop = m.start() if m else n
         if stop > at and not dropped:
-            held.append(html[at:stop])
+            held.append((html[at:stop], around))
         if m is None:
             break
         at = m.end()
@@ -87,12 +100,12 @@ def page_lines(html: str) -> tuple[list[str], list[int]]:
                 end = re.compile(rf"(?i)</{name}\b[^>]*+>?").search(html, at)
                 at = n if end is None else end.end()
             if not dropped:
-                held.append(" ")
+                held.append((" ", around))
             continue
         if name not in _INLINE and name != "br":
             flush()
         elif name == "br" and not dropped:
-            held.append(" ")
+            held.append((" ", around))
         if name in _VOID:
             continue
         if closing:
@@ -113,12 +126,25 @@ def page_lines(html: str) -> tuple[list[str], list[int]]:
         if m[3].endswith("/"):
             continue
         marks = " ".join(x or y or z for x, y, z in _CLASS.findall(m[3])) if m[3] else ""
-        gone = name in _DROPPED or (marks != "" and name not in ("body", "html", "article", "main") and _BOILER.search(marks) is not None)
-        inside = name in ("article", "main") or bool(re.search(r"\bmain\b", marks)) and name not in ("body", "html")
-        stack.append((name, gone, inside))
+        gone = name in _DROPPED
+        boiler = marks != "" and _BOILER.search(marks) is not None
+        inside = name in ("article", "main") or name not in ("body", "html") and _is_main(marks)
+        if inside and not boiler and not dropped and not gone:
+            holding.update(around)
+        by_class = boiler and not gone and name not in ("body", "html", "article", "main")
+        if by_class:
+            marked += 1
+            around = (*around, marked)
+        stack.append((name, gone, by_class, inside))
         dropped += gone
         article += inside
     flush()
+    lines, zones = [], []
+    for pieces, zone in blocks:
+        text = " ".join(references.unescape("".join(t for t, c in pieces if holding.issuperset(c))).split())
+        if text:
+            lines.append(text)
+            zones.append(zone)
     if any(zones):  # with a marked article, what stands outside it is not the article
         lines = [t for t, z in zip(lines, zones) if z]
         zones = [ARTICLE] * len(lines)

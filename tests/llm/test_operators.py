@@ -371,6 +371,24 @@ def test_alignment_is_longest():
             assert len(common) == best[-1][-1] and all(any(x == y for y in rest) for x in common)
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<div class='layout no-sidebar'><article><p>a</p></article></div>", ["a"]),
+        ("<div class='layout sidebar'>x<article><p>a</p></article>y</div>", ["a"]),
+        ("<div id=search><div class=header>x</div><main>a</main></div>", ["a"]),
+        ("<article><div class='section-header'>h</div><p class='table-header'>t</p><p class='share'>s</p>a</article>", ["h", "t", "a"]),
+        ("<article>a <span class=ad>x</span>b</article><div class=comments><article class='comment'>c</article></div>", ["a b"]),
+        ("<div class='main-nav'>m</div><p>a</p>", ["m", "a"]),
+        ("<div class='main-content'>a</div><p>x</p>", ["a"]),
+        ("<div class='sidebar'>x<nav><article>n</article></nav></div><p>a</p>", ["a"]),
+        ("<div class='ad'><div>x</div></div><p>a</p><div role='navigation'>n</div>", ["a"]),
+    ],
+)
+def test_marks_drop_no_article(html, want):
+    assert page_text.page_lines(html)[0] == want
+
+
 def test_pages(spark):
     frame = "<html><body><nav><a>menu</a></nav><div>{top}</div><p>{own}</p><p>Sign up &amp; win</p><footer>f</footer></body></html>"
     pages = [(k, f"http://h.example/a/{k}", frame.format(top="Site name", own=f"Story {k} &lt;b&gt;  told")) for k in range(6)]
