@@ -135,7 +135,7 @@ BINDINGS = {
         FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
     """,
     "comments": """
-        SELECT conv_id, turn, text FROM {conversations} c WHERE role = 'user'
+        SELECT conv_id, turn, text FROM {conversations} c
     """,
 }
 

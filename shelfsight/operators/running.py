@@ -65,11 +65,12 @@ def running_sums(
     """Add inclusive running sums of `sums` within `by`, in the total order `order`.
 
     `order` must be unique within a group; `F.lit(1)` as a sum gives positions.
-    Pass `sizes` if the groups have been measured already.
+    Pass `sizes` if the groups have been measured already. Without `by` the one group
+    is the whole table, which is sliced at any size.
     """
     by = list(by)
     sizes = sizes or group_sizes(df, by)
-    if sizes.largest <= hot_rows:
+    if by and sizes.largest <= hot_rows:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*_UP_TO_HERE)
         return df.withColumns({name: F.sum(expr).over(window) for name, expr in sums.items()})
 

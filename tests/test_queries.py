@@ -27,6 +27,12 @@ def test_query_without_twin_has_rows(merged, name):
     assert contract.queries()[name](merged, SF).count() > 0
 
 
+def test_comment_batches_hold_all_turns(merged):
+    turns = merged.read.parquet(f"{SF}/conversations.parquet").count()
+    for name in ("comment_batches", "comment_summaries"):
+        assert contract.queries()[name](merged, SF).agg({"n": "sum"}).first()[0] == turns
+
+
 def test_flagship(merged):
     rows = contract.entry(merged)
     assert rows.columns[:3] == ["asin", "site", "dt"] and rows.count() > 0

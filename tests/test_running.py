@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfsight.operators import running
 from shelfsight.operators.running import (
     add_size,
     group_sizes,
     group_medians,
+    range_slices,
     rank_values,
     running_sums,
     tile_of,
@@ -54,6 +56,15 @@ def test_running_sums_match_window(rows, by):
     assert same(running_sums(rows, by, order, sums).select(expected.columns), expected)
 
 
+def test_a_whole_table_is_always_sliced(rows, monkeypatch):
+    cut = []
+    monkeypatch.setattr(running, "range_slices", lambda df, by, *rest: cut.append(list(by)) or range_slices(df, by, *rest))
+    assert running_sums(rows, [], [F.col("id").asc()], {"pos": F.lit(1)}).where("pos = id + 1").count() == 3000
+    assert running_sums(rows, ["g"], [F.col("id").asc()], {"pos": F.lit(1)}).count() == 3000
+    assert running_sums(rows.limit(0), [], [F.col("id").asc()], {"pos": F.lit(1)}).count() == 0
+    assert cut == [[], []]
+
+
 def test_sliced_path_really_cuts_a_group(rows):
     ranged = rows.repartitionByRange(30, "g", F.col("v").desc_nulls_last(), "id")
     slices = ranged.where("g = 'hot'").select(F.spark_partition_id().alias("s")).distinct().count()
