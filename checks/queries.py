@@ -1051,7 +1051,7 @@ def _document_features(spark, sf):
 @query
 def train_classifier(spark, sf):
     fitted = training.train_classifier(
-        _document_features(spark, sf), "quality", ["doc_id", "query"], drop=["relevance"], maxIter=10, maxDepth=4
+        _document_features(spark, sf), "quality", ["doc_id", "query"], drop=["relevance"]
     )
     return fitted.metrics
 
@@ -1075,7 +1075,6 @@ def train_regressor(spark, sf):
     )
     fitted = training.train_regressor(
         rows, "l_extendedprice", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "forest",
-        numTrees=10, maxDepth=5,
     )
     return fitted.metrics
 
@@ -1084,7 +1083,7 @@ def train_regressor(spark, sf):
 def train_ranker(spark, sf):
     fitted = training.train_ranker(
         _document_features(spark, sf), ["doc_id"], group="query", label="relevance", baseline="n_chars",
-        drop=["quality"], maxIter=10, maxDepth=4,
+        drop=["quality"],
     )
     return fitted.metrics
 
@@ -1101,7 +1100,7 @@ def feature_importances(spark, sf):
 @query
 def tune_ranker(spark, sf):
     _, trials = training.tune_ranker(
-        _document_features(spark, sf), ["doc_id"], group="query", label="relevance", folds=2, trials=2,
-        drop=["quality"], maxIter=3,
+        _document_features(spark, sf), ["doc_id"], group="query", label="relevance",
+        drop=["quality"],
     )
     return trials

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+import checks.queries
 from checks.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -33,6 +34,23 @@ def test_comment_batches_hold_all_turns(merged):
         assert contract.queries()[name](merged, SF).agg({"n": "sum"}).first()[0] == turns
 
 
+@pytest.mark.parametrize("name", ["train_classifier", "train_regressor", "train_ranker", "tune_ranker"])
+def test_model_queries_run_the_whole_job(merged, monkeypatch, name):
+    given = {}
+
+    class Reached(Exception):
+        pass
+
+    def stop(*args, **options):
+        given.update(options)
+        raise Reached
+
+    monkeypatch.setattr(checks.queries.training, name, stop)
+    with pytest.raises(Reached):
+        contract.queries()[name](merged, SF)
+    assert not {"trials", "folds", "maxIter", "maxDepth", "numTrees"} & set(given)
+
+
 def test_flagship(merged):
     rows = contract.entry(merged)
     assert rows.columns[:3] == ["asin", "site", "dt"] and rows.count() > 0
