@@ -7,6 +7,7 @@ UTF-8 character, words can be cut on bytes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,8 +63,8 @@ def buffers(column: pa.Array | pa.ChunkedArray, binary: bool = False) -> tuple[n
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of at most `limit` text bytes, or one row.
 
-    After a batch, what Arrow still holds of it goes back to the system, as a worker
-    lives on through many tasks.
+    After a batch, what Arrow and the C heap still hold of it goes back to the system,
+    as a worker lives on through many tasks.
     """
     if batch.num_rows == 0:
         return
@@ -74,7 +75,15 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         stop = max(int(np.searchsorted(ends, before + limit, side="right")), start + 1)
         yield batch.slice(start, stop - start)
         start = stop
+    release()
+
+
+def release() -> None:
+    """Hand freed memory back to the system."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

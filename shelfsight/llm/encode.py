@@ -17,10 +17,12 @@ import numpy as np
 
 from shelfsight.llm.arrays import buffers, span_hashes
 
-#: Distinct stretches a Python worker remembers, over all its tasks, before it starts anew.
-MEMO = 3 << 19
+#: Bytes of remembered stretches (hash, place, count, ids) at which a worker starts anew.
+MEMO_BYTES = 24 << 20
 #: Stretches handed to the tokenizer at once: its answers hold far more than the ids.
-LEARN = 1 << 13
+LEARN = 1 << 10
+#: Text encoded at once: the arrays of one slice take some thirty times its bytes.
+SLICE_BYTES = 1 << 19
 
 _VISIBLE = np.zeros(256, dtype=bool)
 _VISIBLE[0x21:0x7F] = True
@@ -65,6 +67,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Stretches are remembered here, as plain arrays; a second memory would only grow.
+        self.tokenizer.model._resize_cache(0)
         self._forget()
 
     def _forget(self):
@@ -76,7 +80,7 @@ class Encoder:
     def _learn(self, hashes: np.ndarray, texts: list[str]):
         counts, flats = [], [self.ids]
         for low in range(0, len(texts), LEARN):
-            found = [e.ids for e in self.tokenizer.encode_batch(texts[low : low + LEARN], add_special_tokens=False)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[low : low + LEARN], add_special_tokens=False)]
             counts.append(np.array([len(x) for x in found], dtype=np.int64))
             flats.append(np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(counts[-1].sum())))
         count = np.concatenate(counts)
@@ -95,7 +99,7 @@ class Encoder:
         starts, ends = bounds[:-1], bounds[1:]
         keys = span_hashes(data, starts, ends)
         distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > MEMO:
+        if self.known.nbytes + self.begin.nbytes + self.count.nbytes + self.ids.nbytes > MEMO_BYTES:
             self._forget()
         place = np.searchsorted(self.known, distinct)
         new = np.ones(len(distinct), dtype=bool)

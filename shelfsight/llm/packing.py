@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.llm.arrays import slices
-from shelfsight.llm.encode import encoder
+from shelfsight.llm.encode import SLICE_BYTES, encoder
 from shelfsight.llm.ranks import add_before, bucket_of
 from shelfsight.sources.scratch import materialize
 
@@ -144,7 +144,7 @@ def document_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             coder = encoder(tokenizer)
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids, bounds = coder.encode(part.column("text"))
                 rows = []
                 for doc, low, high in zip(part.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):

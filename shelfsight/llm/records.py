@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.llm.arrays import slices
-from shelfsight.llm.encode import encoder
+from shelfsight.llm.encode import SLICE_BYTES, encoder
 from shelfsight.sources.scratch import materialize, scratch_path
 
 #: Added to a rotated checksum, so that checksums of data holding checksums stay apart.
@@ -84,7 +84,7 @@ def write_records(
         name, coder, out, at, start = f"part-{part:06d}-{uuid.uuid4().hex}.rec", None, None, 0, 0
         try:
             for batch in batches:
-                for piece in slices(batch, "text"):
+                for piece in slices(batch, "text", SLICE_BYTES):
                     if out is None:
                         store.create_dir(folder, recursive=True)
                         out, coder = store.open_output_stream(f"{folder}/{name}"), encoder(tokenizer)
