@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.functions.columns import calendar_date, group_key, number, top_by_size, value_map
+from shelfsight.operators.contributions import explained
 from shelfsight.operators.running import rank_values, top_ranks
 from shelfsight.schemas import ensure_columns, with_fields
 from shelfsight.settings import HOT_ROWS, ScoringSettings
@@ -63,17 +64,16 @@ class LinearScorer:
 
 @dataclass(frozen=True)
 class PipelineScorer:
-    """A fitted Spark ML pipeline; it offers no contributions."""
+    """A fitted Spark ML pipeline (imputer, assembler, model) with exact contributions.
+
+    Classifiers are scored by log odds or probability, as `contributions.explained` says.
+    """
 
     model: PipelineModel
     features: list[str]
 
     def __call__(self, df: DataFrame, features: list[str]) -> DataFrame:
-        scored = self.model.transform(df.withColumns({c: F.col(c).cast("double") for c in features}))
-        none = F.create_map().cast("map<string,double>")
-        return scored.select(
-            *df.columns, F.col("prediction").alias("lgbm_score"), none.alias(CONTRIBUTIONS)
-        )
+        return explained(df, self.model, features, "lgbm_score", CONTRIBUTIONS, "_base").drop("_base")
 
 
 @dataclass(frozen=True)

@@ -17,6 +17,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfsight.operators.boosting import Boosting, fit_listwise
 from shelfsight.operators.metrics import (
     binary_metrics,
     lift_curve,
@@ -34,6 +35,8 @@ RANK_KS = (5, 10, 20, 50)
 
 FEATURES, WEIGHT, HELD = "_features", "_weight", "is_validation"
 TREE_MODELS = ("gbt", "forest")
+# The source's rounds and step; boosting stops early on the held-out rows.
+FULL_RUNS: dict[str, dict[str, Any]] = {"gbt": {"maxIter": 500, "stepSize": 0.05}, "forest": {"numTrees": 500}, "linear": {}}
 
 CLASSIFIERS: dict[str, Callable[..., Estimator]] = {
     "gbt": GBTClassifier,
@@ -106,7 +109,7 @@ def importance_table(spark: SparkSession, model: Model, features: list[str]) ->
 def _fit(estimators: dict, kind: str, label: str, options: dict[str, Any], **extra) -> Estimator:
     if kind not in estimators:
         raise ValueError(f"unsupported model type: {kind}")
-    return estimators[kind](featuresCol=FEATURES, labelCol=label, **extra, **options)
+    return estimators[kind](featuresCol=FEATURES, labelCol=label, **extra, **(FULL_RUNS[kind] | options))
 
 
 def _fit_pipeline(rows: DataFrame, features: list[str], learner: Estimator, watches: bool) -> PipelineModel:
@@ -199,16 +202,17 @@ def train_ranker(
     label: str | None = None,
     baseline: str | None = None,
     weight: str | None = None,
-    kind: str = "gbt",
+    kind: str = "listwise",
     drop: Sequence[str] = (),
     fraction: float = 0.2,
     seed: int = 42,
     ks: Sequence[int] = RANK_KS,
     **options: Any,
 ) -> TrainedModel:
-    """Pointwise ranker: regression on relevance, judged by ranking metrics per group.
+    """Ranker judged by ranking metrics per group; whole groups are held out.
 
-    Whole groups are held out. Spark ML has no pairwise or listwise objective.
+    `listwise` boosts trees on lambda gradients and stops on the held-out groups' NDCG;
+    its options are those of `Boosting`. The other kinds regress on the relevance alone.
     """
     group = first_present(df, GROUP_CANDIDATES, group)
     label = first_present(df, LABEL_CANDIDATES, label)
@@ -221,7 +225,13 @@ def train_ranker(
         extra["weightCol"] = weight
     if kind == "gbt":
         extra["validationIndicatorCol"] = HELD
-    model = _fit_pipeline(rows, features, _fit(REGRESSORS, kind, label, options, **extra), kind == "gbt")
+    if kind == "listwise":
+        assembly = Pipeline(stages=_assembly(features)).fit(rows.where(~F.col(HELD)))
+        settings = Boosting(**({"seed": seed} | options))
+        ranker = fit_listwise(assembly.transform(rows), group, label, HELD, FEATURES, settings, weight)
+        model = PipelineModel([*assembly.stages, ranker])
+    else:
+        model = _fit_pipeline(rows, features, _fit(REGRESSORS, kind, label, options, **extra), kind == "gbt")
     scored = model.transform(rows.where(F.col(HELD))).select(
         *dict.fromkeys([*keys, group, *([baseline] if baseline else [])]),
         F.col(label).alias("label"),
