@@ -25,8 +25,8 @@ from shelfsight.llm.components import components
 from shelfsight.sources.scratch import materialize
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.9999
-#: Hash functions at most, classes in one block of a comparison, and n-grams compared at once.
-MOST_HASHES, BLOCK_CLASSES, COLUMNS = 128, 64, 1 << 14
+#: Hash functions at most, classes and n-grams in one block of a comparison, and n-grams compared at once.
+MOST_HASHES, BLOCK_CLASSES, BLOCK_GRAMS, COLUMNS = 128, 256, 1 << 19, 1 << 13
 
 
 def choose_bands(similarity: float = SIMILARITY, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -96,7 +96,12 @@ def _as_long(sign: bytes) -> int:
 
 
 def compare_block(group: pa.Table, similarity: float) -> pa.Table:
-    """Links among the classes of one block, or between the classes of two."""
+    """Links among the classes of one block, or between the classes of two, with a forest of them.
+
+    What hangs together within a block hangs on one root there. Only the task of the
+    block itself returns these edges; a task of two blocks links roots to roots, so its
+    edges do not grow with the classes that a root stands for.
+    """
     signs = group.column("sign").to_pylist()
     copies, block = group.column("copies").to_numpy(), group.column("block").to_numpy()
     sets = [np.frombuffer(s, dtype=np.uint64) for s in group.column("grams").to_pylist()]
@@ -118,8 +123,8 @@ def compare_block(group: pa.Table, similarity: float) -> pa.Table:
     union = sizes[:, None] + sizes[None, :] - both
     linked = both >= similarity * union - 1e-9
     np.fill_diagonal(linked, False)
-    if len(set(block.tolist())) > 1 or group.column("i")[0] != group.column("j")[0]:
-        linked &= block[:, None] != block[None, :]
+    cross = group.column("i")[0].as_py() != group.column("j")[0].as_py()
+    same_block = block[:, None] == block[None, :]
     root = list(range(len(sets)))
 
     def top(k: int) -> int:
@@ -128,11 +133,19 @@ def compare_block(group: pa.Table, similarity: float) -> pa.Table:
             k = root[k]
         return k
 
-    for a, b in zip(*np.nonzero(np.triu(linked))):
-        x, y = top(int(a)), top(int(b))
-        if signs[x] > signs[y]:
-            x, y = y, x
-        root[y] = x
+    def join(pairs: np.ndarray):
+        for a, b in zip(*np.nonzero(np.triu(pairs))):
+            x, y = top(int(a)), top(int(b))
+            if signs[x] > signs[y]:
+                x, y = y, x
+            root[y] = x
+
+    join(linked & same_block)
+    if cross:
+        inside = [top(k) for k in range(len(sets))]
+        linked &= ~same_block
+        join(linked)
+        root = [top(k) if inside[k] == k else k for k in range(len(sets))]
     return pa.table(
         {
             "sign": pa.array(signs, pa.binary()),
@@ -169,19 +182,24 @@ def near_classes(
             for piece in arrays.slices(batch, "text"):
                 grams, bounds = shingles(*arrays.buffers(piece.column("text")), words)
                 signs, keys = _signs(grams, bounds), iter(arrays.signed(band_keys(grams, bounds, bands, rows)).tolist())
-                columns = [piece.column("doc_id"), piece.column("text_key"), pa.array(signs, pa.binary())]
+                columns = [piece.column("doc_id"), piece.column("text_key"), pa.array(signs, pa.binary()), pa.array(np.diff(bounds))]
                 columns.append(pa.array([next(keys) if s else None for s in signs], pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "sign", "bands"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "sign", "n_grams", "bands"])
 
     signed = materialize(
         docs.withColumn("text_key", F.xxhash64("text"))
-        .mapInArrow(sign, "doc_id long, text_key long, sign binary, bands array<long>"),
+        .mapInArrow(sign, "doc_id long, text_key long, sign binary, n_grams long, bands array<long>"),
         "signed",
     )
     classes = materialize(
         signed.filter("sign is not null")
         .groupBy("sign")
-        .agg(F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("copies"), F.any_value("bands").alias("bands")),
+        .agg(
+            F.min("doc_id").alias("copy_id"),
+            F.count(F.lit(1)).alias("copies"),
+            F.max("n_grams").alias("n_grams"),
+            F.any_value("bands").alias("bands"),
+        ),
         "classes",
     )
     keyed = classes.select("sign", F.explode("bands").alias("key"))
@@ -190,9 +208,11 @@ def near_classes(
     candidates = components(materialize(stars.distinct(), "stars"))
 
     # Blocks by hash, so that no group is ordered or counted in one task.
-    sizes = candidates.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).cast("int").alias("blocks"))
-    members = candidates.withColumnRenamed("node", "sign").join(sizes, "label").join(classes.drop("bands", "copy_id"), "sign")
-    members = materialize(members.withColumn("block", F.pmod(F.xxhash64("sign"), F.col("blocks")).cast("int")), "members")
+    nodes = materialize(candidates.withColumnRenamed("node", "sign").join(classes.drop("bands", "copy_id"), "sign"), "nodes")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_CLASSES, F.sum("n_grams") / BLOCK_GRAMS)).cast("int")
+    members = nodes.join(nodes.groupBy("label").agg(blocks.alias("blocks")), "label")
+    members = members.withColumn("block", F.pmod(F.xxhash64("sign"), F.col("blocks")).cast("int"))
+    members = materialize(members.drop("n_grams"), "members")
     first_half = F.conv(F.hex(F.substring("sign", 1, 8)), 16, -10).cast("long").alias("half")
     wanted = bloom(members.select(first_half), "half")
 
@@ -228,7 +248,7 @@ def near_classes(
     )
     joined = components(found.filter("sign <> root").select(F.col("sign").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("sign").agg(F.sum("links").alias("links"), F.sum("linked_docs").alias("linked_docs"))
-    named = classes.drop("bands").join(joined.withColumnRenamed("node", "sign"), "sign", "left")
+    named = classes.drop("bands", "n_grams").join(joined.withColumnRenamed("node", "sign"), "sign", "left")
     named = named.withColumn("label", F.coalesce("label", "sign"))
     names = named.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     info = materialize(
@@ -248,7 +268,7 @@ def near_classes(
             "n_links": F.lit(0).cast("long"), "n_text_links": F.lit(0).cast("long"),
         }
     )
-    return signed.drop("bands").join(info, "sign").select(*columns).unionByName(alone.select(*columns))
+    return signed.drop("bands", "n_grams").join(info, "sign").select(*columns).unionByName(alone.select(*columns))
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:

@@ -435,3 +435,37 @@ def test_plan_fills_exactly_where_it_can():
             used[n] += times
     assert all(used[n] == counts[n] for n in range(2049))
     assert sum(t for p, t in patterns if 2000 in p and sum(p) == 2048) == 10
+
+
+@pytest.mark.parametrize("classes", [4, 300])
+def test_classes_are_the_components_of_all_links(spark, monkeypatch, classes):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", classes)
+    rng = random.Random(4)
+    texts = []
+    for base in range(6):
+        own = [f"b{base}w{k}" for k in range(70)]
+        for _ in range(25):  # a chain: each text changes one more word of the one before it
+            at = rng.randrange(70)
+            own = own[:at] + [f"n{rng.randrange(10**6)}"] + own[at + 1 :]
+            texts.append(" ".join(own))
+    texts += texts[:5] + ["lone words here", None]
+    sets = [frozenset(tuple((t or "").split()[k : k + 5]) for k in range(max(len((t or "").split()) - 4, 1))) if t else frozenset() for t in texts]
+    label = list(range(len(texts)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and len(a & b) >= 0.8 * len(a | b) and label[j] < label[i]:
+                    label[i], changed = label[j], True
+    copies = Counter(sets)
+    want = Counter()
+    for k, s in enumerate(sets):
+        near = {x for x in copies if s and x != s and len(x & s) >= 0.8 * len(x | s)}
+        links = (copies[s] - 1 if s else 0) + sum(copies[x] for x in near)
+        want[k, label[k], sets.index(s), copies[s] if s else 1, links, len(near)] += 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = ngram_join.near_classes(docs)
+    assert listed(found, "doc_id", "class_id", "copy_id", "copies", "n_links", "n_text_links") == want
+    kept = {r.doc_id for r in ngram_join.keep_one(docs).collect()}
+    assert kept == set(label)
