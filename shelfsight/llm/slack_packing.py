@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.llm.arrays import slices
+from shelfsight.llm.common import bloom, in_bloom
 from shelfsight.llm.encode import SLICE_BYTES, encoder
 from shelfsight.llm.ranks import add_before, bucket_of
 from shelfsight.llm.records import pack_ids, unpack_ids
@@ -252,9 +253,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """
     pieces = materialize(pieces, "pieces")
     slim = pieces.drop("ids")
-    sizes = materialize(slim.groupBy("length").agg(F.count(F.lit(1)).alias("rows")), "lengths")
+    sizes = materialize(slim.groupBy("length").agg(F.count(F.lit(1)).alias("rows")).coalesce(1), "lengths")  # at most `capacity` rows
     counts = np.zeros(capacity + 1, dtype=np.int64)
-    for size in sizes.collect():  # one row per length: at most `capacity`
+    for size in sizes.collect():
         counts[size["length"]] = size["rows"]
     found = pieces.sparkSession.sparkContext.broadcast(places(plan(counts, capacity), capacity))
     unit = F.shiftrightunsigned(F.xxhash64("row"), 11).cast("double") / 2**53
@@ -275,8 +276,16 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     names = ("row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank")
     laid = materialize(ranked.select(*names).mapInArrow(place, PLACED), "places")
-    # Only pieces that the plan cut need their ids again; as files, the few rows have a known size.
-    cut = materialize(laid.filter("ids_crc32 is null"), "cut").join(pieces.select("row", "ids"), "row")
+    # Only pieces that the plan cut need their ids again; a filter of fixed size keeps most others from moving.
+    again = laid.filter("ids_crc32 is null")
+    held = bloom(again.select(F.xxhash64("row").alias("key")).distinct(), "key")
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maybe = in_bloom(held.value, batch.column("key").to_numpy())
+            yield batch.select(["row", "ids"]).filter(pa.array(maybe))
+
+    ids = pieces.select("row", "ids", F.xxhash64("row").alias("key")).mapInArrow(wanted, "row long, ids binary")
 
     def checksum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,7 +296,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             columns = [pa.array(crcs, pa.int64()) if c == "ids_crc32" else batch.column(c) for c in NAMES]
             yield pa.RecordBatch.from_arrays(columns, names=NAMES)
 
-    return laid.filter("ids_crc32 is not null").unionByName(cut.select(*NAMES, "ids").mapInArrow(checksum, PLACED))
+    return laid.filter("ids_crc32 is not null").unionByName(again.join(ids, "row").select(*NAMES, "ids").mapInArrow(checksum, PLACED))
 
 
 NAMES = [field.split()[0] for field in PLACED.split(", ")]
