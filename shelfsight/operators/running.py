@@ -1,4 +1,4 @@
-"""Running sums, ranks and medians that do not need a whole group in one task.
+"""Running sums and ranks that do not need a whole group in one task.
 
 A window over a group sorts the group in one task, which is fine until one
 group holds a large part of the table. Every function here measures the largest
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.functions.columns import null_safe_join
-from shelfsight.settings import HOT_ROWS, MEDIAN_ROWS
+from shelfsight.settings import HOT_ROWS
 from shelfsight.sources.scratch import materialize
 
 _SLICE = "_slice"
@@ -160,15 +160,18 @@ def top_ranks(
 ) -> DataFrame:
     """Add the descending rank of `value` within `by`, NULL beyond `cutoff`.
 
-    Only the `cutoff` best distinct values of a group can carry a rank, so the
-    rows are counted by value (map-side combined), the group limit trims each
-    map task's share, and the short table is written and joined back: as a file
-    its true size is known, so the rows are shuffled only if it is not small.
+    Only the `cutoff` best distinct values of a group can carry a rank. Each map task
+    keeps its rows with those (a group limit per salted part, so ties spread, too), equal
+    values are counted, and the few counts are ranked per group. The short table is
+    written and joined back: as a file its true size is known, so the rows are shuffled
+    only if it is not small.
     """
     by = list(by)
-    counted = (
-        df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = df.where(F.col(value).isNotNull()).select(*by, value, F.pmod(F.monotonically_increasing_id(), F.lit(parts)).alias("_part"))
+    inside = Window.partitionBy(*by, "_part").orderBy(F.col(value).desc())
+    leading = salted.withColumn("_d", F.dense_rank().over(inside)).where(F.col("_d") <= cutoff)
+    counted = leading.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     window = Window.partitionBy(*by).orderBy(F.col(value).desc())
     best = counted.withColumn("_d", F.row_number().over(window)).where(F.col("_d") <= cutoff)
     if dense:
@@ -189,40 +192,3 @@ def tile_of(position: Column, size: Column, tiles: int) -> Column:
     # Past the wide blocks `small` is at least 1: were it 0, every row is in one.
     later = wide + F.floor((position - 1 - in_wide) / F.greatest(small, F.lit(1))) + 1
     return F.when(position <= in_wide, F.floor((position - 1) / (small + 1)) + 1).otherwise(later)
-
-
-def group_medians(
-    df: DataFrame,
-    by: Sequence[str],
-    columns: Sequence[str],
-    hot_rows: int = MEDIAN_ROWS,
-    sizes: GroupSizes | None = None,
-) -> DataFrame:
-    """Exact medians of `columns` per group, ignoring NULL.
-
-    `median` keeps a value table per group in memory. Past `hot_rows` the values
-    are counted, ordered in range slices, and the middle ranks picked.
-    """
-    by = list(by)
-    if (sizes or group_sizes(df, by)).largest <= hot_rows:
-        return df.groupBy(*by).agg(*[F.median(c).alias(c) for c in columns])
-
-    parts = F.array(*[F.struct(F.lit(c).alias("_m"), F.col(c).cast("double").alias("_v")) for c in columns])
-    long = df.select(*by, F.explode(parts).alias("_p")).select(*by, "_p.*")
-    counted = long.where(F.col("_v").isNotNull()).groupBy(*by, "_m", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    running = running_sums(counted, [*by, "_m"], [F.col("_v").asc()], {"_upto": F.col("_c")}, hot_rows)
-    known = counted.groupBy(*by, "_m").agg(F.sum("_c").alias("_n"))
-    placed = null_safe_join(running, known, [*by, "_m"], "inner")
-    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-
-    def covers(rank: Column) -> Column:
-        return (F.col("_upto") >= rank) & (F.col("_upto") - F.col("_c") < rank)
-
-    middle = placed.where(covers(lower) | covers(upper))
-    found = middle.groupBy(*by).agg(
-        *[
-            ((F.min(F.when(F.col("_m") == c, F.col("_v"))) + F.max(F.when(F.col("_m") == c, F.col("_v")))) / 2).alias(c)
-            for c in columns
-        ]
-    )
-    return null_safe_join(df.select(*by).distinct(), found, by) if by else found

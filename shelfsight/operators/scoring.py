@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfsight.functions.columns import null_safe_join, number
-from shelfsight.operators.running import group_medians, group_sizes, top_ranks
+from shelfsight.operators.running import top_ranks
+from shelfsight.operators.selection import group_medians
 from shelfsight.schemas import ensure_columns
-from shelfsight.settings import MEDIAN_ROWS, RANK_MIN, SCORE_WEIGHTS
+from shelfsight.settings import RANK_MIN, SCORE_WEIGHTS
 from shelfsight.sources.scratch import materialize
 
 GROUP = ["site", "category"]
@@ -16,20 +17,17 @@ GROUP = ["site", "category"]
 INVERTED = "price_vol_30"
 
 
-def robust_stats(
-    df: DataFrame, by: list[str], columns: list[str], hot_rows: int = MEDIAN_ROWS
-) -> DataFrame:
+def robust_stats(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """Add `<column>_med` and `<column>_mad` (1e-9 where the spread is zero).
 
     The statistics are written before they are joined back: as files their true
     size is known, so the rows are shuffled only if there are very many groups.
     """
-    sizes = group_sizes(df, by)
-    centre = group_medians(df.select(*by, *columns), by, columns, hot_rows, sizes)
+    centre = group_medians(df.select(*by, *columns), by, columns)
     centre = materialize(centre.withColumnsRenamed({c: f"{c}_med" for c in columns}), "medians")
     centred = null_safe_join(df, centre, by)
     distance = centred.select(*by, *[F.abs(F.col(c) - F.col(f"{c}_med")).alias(c) for c in columns])
-    spread = group_medians(distance, by, columns, hot_rows, sizes)
+    spread = group_medians(distance, by, columns)
     spread = spread.select(
         *by, *[F.when(F.col(c) == 0, 1e-9).otherwise(F.col(c)).alias(f"{c}_mad") for c in columns]
     )
@@ -41,7 +39,6 @@ def score(
     weights: dict[str, float] | None = None,
     rank_min: int = RANK_MIN,
     keep_z: bool = False,
-    hot_rows: int = MEDIAN_ROWS,
 ) -> DataFrame:
     """Weighted robust z-score over each (site, category), all dates together.
 
@@ -57,7 +54,7 @@ def score(
     ).select("asin", "site", "dt", "category", *[number(m).alias(m) for m in metrics])
     # Medians, spreads and scores each pass over these few columns: write them once.
     rows = materialize(rows, "score-input")
-    rows = robust_stats(rows, GROUP, metrics, hot_rows)
+    rows = robust_stats(rows, GROUP, metrics)
     z = {}
     for m in metrics:
         value = (F.col(m) - F.col(f"{m}_med")) / F.col(f"{m}_mad")

@@ -20,9 +20,6 @@ MIN_PERIOD_SHARE = 0.7
 # Groups up to this many rows are sorted by one task; larger ones are cut into
 # range slices (see operators/running.py).
 HOT_ROWS = 4_000_000
-# A median keeps the distinct values of its group in memory, so fewer fit one task.
-MEDIAN_ROWS = 500_000
-
 
 # Days before and after a label's day, and the splits in time order.
 LABEL_SPAN = (28, 30)

@@ -96,14 +96,13 @@ def scored_rows(spark, rows):
     return spark.createDataFrame(rows, f"asin string, site string, dt date, category string, {METRICS}")
 
 
-@pytest.mark.parametrize("hot_rows", [2, 1000])
-def test_score_by_hand(spark, hot_rows):
+def test_score_by_hand(spark):
     rows = [
         ("A", "US", DAY, "c", 1.0, 10.0, 5.0, 0.2, 0.5),
         ("B", "US", DAY, "c", 3.0, 10.0, 7.0, 0.4, 0.5),
         ("C", "US", DAY, "c", 8.0, 10.0, 6.0, 0.8, 0.9),
     ]
-    out = {r["asin"]: r for r in score(scored_rows(spark, rows), hot_rows=hot_rows).collect()}
+    out = {r["asin"]: r for r in score(scored_rows(spark, rows)).collect()}
     # Medians 3, 10, 6, 0.4, 0.5; spreads 2, 0 -> 1e-9, 1, 0.2, 0 -> 1e-9.
     assert out["A"]["explosive_score"] == pytest.approx(0.35 * -1 + 0 + 0.2 * -1 + 0.1 * -1)
     assert out["B"]["explosive_score"] == pytest.approx(0.2)

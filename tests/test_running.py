@@ -10,7 +10,6 @@ from shelfsight.operators import running
 from shelfsight.operators.running import (
     add_size,
     group_sizes,
-    group_medians,
     range_slices,
     rank_values,
     running_sums,
@@ -91,20 +90,6 @@ def test_top_ranks_match_window(rows, dense):
     assert same(top_ranks(rows, ["g"], "v", 9, "k", dense).select(expected.columns), expected)
 
 
-def test_medians_match_on_both_paths(rows):
-    both = rows.withColumn("u", F.col("w").cast("double"))
-    plain = group_medians(both, ["g"], ["v", "u"])
-    sliced = group_medians(both, ["g"], ["v", "u"], ALWAYS_SLICED)
-    assert same(plain, sliced.select(plain.columns))
-
-
-def test_median_of_missing_values_is_missing(spark):
-    rows = spark.createDataFrame([("a", None), ("a", None), ("b", 2.0), ("b", 4.0)], "g string, v double")
-    for hot in (1, 100):
-        found = {r["g"]: r["v"] for r in group_medians(rows, ["g"], ["v"], hot).collect()}
-        assert found == {"a": None, "b": 3.0}
-
-
 def test_tiles_match_ntile(spark):
     rows = spark.range(1, 48).withColumn("n", F.lit(47).cast("bigint"))
     for tiles in (1, 5, 46, 47, 100):

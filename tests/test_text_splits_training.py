@@ -87,28 +87,25 @@ def items(spark, n=200):
     return spark.createDataFrame(data, "id int, g string, y int")
 
 
-@pytest.mark.parametrize("hot_rows", [3, 1000])
-def test_group_holdout(spark, hot_rows):
-    out = splits.group_holdout(items(spark), "g", 0.25, hot_rows=hot_rows)
+def test_group_holdout(spark):
+    out = splits.group_holdout(items(spark), "g", 0.25)
     sides = {r["g"]: r["s"] for r in out.groupBy("g").agg(F.collect_set("is_validation").alias("s")).collect()}
     assert all(len(s) == 1 for s in sides.values())
     assert sum(s[0] for s in sides.values()) == 3 and out.count() == 200
 
 
-@pytest.mark.parametrize("hot_rows", [3, 1000])
-def test_stratified_and_random_sizes(spark, hot_rows):
+def test_stratified_and_random_sizes(spark):
     rows = items(spark)
     sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
-    out = splits.stratified_holdout(rows, "y", ["id"], 0.15, hot_rows=hot_rows).where("is_validation")
+    out = splits.stratified_holdout(rows, "y", ["id"], 0.15).where("is_validation")
     held = {r["y"]: r["count"] for r in out.groupBy("y").count().collect()}
     assert held == {y: -(-n * 15 // 100) for y, n in sizes.items()}
-    assert splits.random_holdout(rows, ["id"], 0.001, hot_rows=hot_rows).where("is_validation").count() == 1
-    assert splits.random_holdout(rows, ["id"], 0.1, hot_rows=hot_rows).where("is_validation").count() == 20
+    assert splits.random_holdout(rows, ["id"], 0.001).where("is_validation").count() == 1
+    assert splits.random_holdout(rows, ["id"], 0.1).where("is_validation").count() == 20
 
 
-@pytest.mark.parametrize("hot_rows", [3, 1000])
-def test_folds(spark, hot_rows):
-    out = splits.group_folds(items(spark), "g", 4, hot_rows=hot_rows)
+def test_folds(spark):
+    out = splits.group_folds(items(spark), "g", 4)
     groups = {r["fold"]: r["n"] for r in out.groupBy("fold").agg(F.countDistinct("g").alias("n")).collect()}
     assert sorted(groups.items()) == [(0, 3), (1, 3), (2, 3), (3, 2)]
     with pytest.raises(ValueError):
