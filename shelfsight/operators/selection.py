@@ -21,7 +21,7 @@ from shelfsight.sources.scratch import materialize
 #: Values (or digests) of one group that are gathered at the end.
 GATHERED = 100_000
 #: The sketch's rank error is 1 / ACCURACY of the values; brackets are wider than that.
-ACCURACY = 10_000
+ACCURACY = 1_000
 _FIRST = (0.5 - 5 / ACCURACY, 0.5 + 5 / ACCURACY)
 _STEPS = 100
 #: Hexadecimal digits counted at a time: 4096 prefixes.
@@ -44,19 +44,15 @@ def group_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str], gath
         brackets = brackets.drop(*[f"_in_{c}" for c in columns])
         if inside >= before:
             break
-    joined = _beside(df.select(*by, *columns), brackets, by)
+    joined = _beside(df.select(*by, *columns), brackets.drop(*[f"_n_{c}" for c in columns]), by)
     parts = []
     for c in columns:
         value, lo, hi = F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
         parts += [
-            F.max(f"_n_{c}").alias(f"_n_{c}"),
-            F.max(lo).alias(f"_lo_{c}"),
-            F.max(hi).alias(f"_hi_{c}"),
-            F.count_if(value < lo).alias(f"_below_{c}"),
-            F.count_if(value == lo).alias(f"_at_{c}"),
+            F.count_if(value <= lo).alias(f"_low_{c}"),
             F.collect_list(F.when((value > lo) & (value < hi), value)).alias(f"_in_{c}"),
         ]
-    counted = joined.groupBy(*by).agg(*parts)
+    counted = _beside(joined.groupBy(*by).agg(*parts), brackets, by)
     return counted.select(*by, *[_middle(c).alias(c) for c in columns])
 
 
@@ -70,7 +66,7 @@ def _beside(df: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
 
 def _middle(c: str) -> Column:
     """The mean of the two middle values (the same one twice where the number is odd)."""
-    n, low = F.col(f"_n_{c}"), F.col(f"_below_{c}") + F.col(f"_at_{c}")
+    n, low = F.col(f"_n_{c}"), F.col(f"_low_{c}")
     ordered = F.array_sort(f"_in_{c}")
 
     def ranked(rank: Column) -> Column:
