@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfsight.schemas import PRODUCT_PAYLOAD, SERIES_POINTS
 
@@ -35,6 +33,9 @@ DOCUMENT = ["asin", "site", "_ingested_at", "_document"]
 
 # metric -> divisor of its series values; the seller series holds text.
 SCALES = {"price": 100, "bsr": 1, "rating": 100, "reviews_count": 1, "stock_est": 1}
+METRICS = (*SCALES, "buybox_seller")
+#: Elements of an array that are added up one by one.
+RUN = 8
 
 
 def site_of(domain: Column) -> Column:
@@ -115,10 +116,38 @@ def _listed_points(points: Column) -> Column:
     return F.filter(stamped, lambda p: p["seconds"].isNotNull() & p["value"].isNotNull())
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def running_total(steps: pd.Series) -> pd.Series:
-    """Running sum inside each array; Spark SQL has no array function for it."""
-    return steps.map(lambda a: None if a is None else np.cumsum(a))
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, also where `use` names it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running_total(steps: Column) -> Column:
+    """Running sum inside an array of doubles.
+
+    Sums of whole runs of `RUN` elements are folded first; an element then adds up only
+    the part of its own run, so a long array costs no more per element than a run.
+    """
+    zero = F.lit(0.0)
+
+    def summed(array: Column, run: Column, size: Column | int) -> Column:
+        return F.aggregate(F.slice(array, run * RUN + 1, size), zero, lambda a, x: a + x)
+
+    def totals(array: Column) -> Column:
+        runs = F.sequence(F.lit(0), F.floor(F.greatest(F.size(array) - 1, F.lit(0)) / RUN).cast("int"))
+        ends = F.aggregate(
+            runs, F.array(zero), lambda e, run: F.concat(e, F.array(F.element_at(e, -1) + summed(array, run, RUN)))
+        )
+
+        def until(e: Column) -> Column:
+            def one(_: Column, i: Column) -> Column:
+                run = F.floor(i / RUN).cast("int")
+                return F.get(e, run) + summed(array, run, i % RUN + 1)
+
+            return F.transform(array, one)
+
+        return bound(ends, until)
+
+    return bound(steps, totals)
 
 
 def _flat_points(minutes: Column, values: Column) -> Column:
@@ -133,56 +162,83 @@ def _flat_points(minutes: Column, values: Column) -> Column:
     return F.filter(points, lambda p: p["value"].isNotNull())
 
 
-def series_points(products: DataFrame) -> DataFrame:
-    """Long table (document key, metric, pos, dt, value) of all series points.
+def decoded_series(products: DataFrame) -> DataFrame:
+    """The document key and one array of (seconds, value) per metric, decoded inside the row.
 
-    Both encodings are decoded inside the row, so a document is parsed once and
-    its points stay in the task that read it.
+    Both encodings are read: lists of point objects, and flat lists in which minutes are
+    steps from the point before.
     """
     ready = products.withColumn("_ranks", F.col("history")["salesRanks"])
-    series = F.array(
-        *[F.struct(F.lit(m).alias("metric"), s.alias("text")) for m, s in _series_columns().items()]
-    )
-    texts = ready.select(*DOCUMENT, F.explode(series).alias("s")).select(*DOCUMENT, "s.*")
-    text = F.col("text")
-    parsed = texts.where("text IS NOT NULL").select(
-        *DOCUMENT,
-        "metric",
-        F.from_json(F.when(F.regexp_like(text, F.lit(POINT_LIST)), text), SERIES_POINTS).alias("points"),
-        F.from_json(F.when(F.regexp_like(text, F.lit(NUMBER_LIST)), text), "array<double>").alias("numbers"),
-    )
-    numbers = F.when(~F.exists("numbers", lambda x: x.isNull()), F.col("numbers"))
-    split = parsed.select(
-        *DOCUMENT,
-        "metric",
-        "points",
-        F.transform(F.filter(numbers, lambda _, i: i % 2 == 0), lambda m: m.cast("bigint").cast("double")).alias("steps"),
-        F.filter(numbers, lambda _, i: i % 2 == 1).alias("values"),
+    texts = ready.select(*DOCUMENT, *[s.alias(f"_text_{m}") for m, s in _series_columns().items()])
+    columns = {}
+    for m in METRICS:
+        text = F.col(f"_text_{m}")
+        columns[f"_points_{m}"] = F.from_json(F.when(F.regexp_like(text, F.lit(POINT_LIST)), text), SERIES_POINTS)
+        columns[f"_list_{m}"] = F.from_json(F.when(F.regexp_like(text, F.lit(NUMBER_LIST)), text), "array<double>")
+    parsed = texts.withColumns(columns).drop(*[f"_text_{m}" for m in METRICS])
+    split = {}
+    for m in METRICS:
+        numbers = F.when(~F.exists(f"_list_{m}", lambda x: x.isNull()), F.col(f"_list_{m}"))
+        minutes = F.filter(numbers, lambda _, i: i % 2 == 0)
+        split[f"_steps_{m}"] = F.transform(minutes, lambda x: x.cast("bigint").cast("double"))
+        split[f"_values_{m}"] = F.filter(numbers, lambda _, i: i % 2 == 1)
+    flat = {m: _flat_points(running_total(F.col(f"_steps_{m}")), F.col(f"_values_{m}")) for m in METRICS}
+    return parsed.withColumns(split).select(
+        *DOCUMENT, *[F.coalesce(_listed_points(F.col(f"_points_{m}")), flat[m]).alias(m) for m in METRICS]
     )
-    flat = _flat_points(running_total("steps"), F.col("values"))
-    decoded = F.coalesce(_listed_points(F.col("points")), flat)
-    points = split.select(*DOCUMENT, "metric", F.posexplode(decoded).alias("pos", "p"))
-    day = F.to_date(F.timestamp_seconds("p.seconds"))
-    return points.select(*DOCUMENT, "metric", "pos", day.alias("dt"), F.col("p.value").alias("value"))
 
 
 def timeseries_rows(products: DataFrame) -> DataFrame:
     """Daily panel per document: of each metric the last point of a day, in series order.
 
-    One aggregation over the exploded points replaces a full outer join of six
-    series; the points of a document combine in the task that read it.
+    The points of all metrics are sorted by day within the row and cut where the day
+    changes, so a document's days come out of one explode: nothing is shuffled and no
+    point leaves the task that read it.
     """
-    points = series_points(products)
-    metrics = [*SCALES, "buybox_seller"]
-    last = {}
-    for m in metrics:
-        mine = F.col("metric") == m
-        value = F.col("value") if m == "buybox_seller" else F.col("value").try_cast("double")
-        picked = F.max_by(F.when(mine, value), F.when(mine, F.col("pos")))
-        last[m] = picked / SCALES[m] if SCALES.get(m, 1) != 1 else picked
-    daily = points.groupBy(*DOCUMENT, "dt").agg(*[c.alias(m) for m, c in last.items()])
-    return daily.select(
-        "asin", "site", "dt", *metrics, F.lit(SOURCE_TAG).alias("_source"), "_ingested_at"
+    def dated(number: int, m: str) -> Column:
+        points = F.coalesce(F.col(m), F.array().cast("array<struct<seconds:bigint,value:string>>"))
+        return F.transform(
+            points,
+            lambda p, i: F.struct(
+                F.to_date(F.timestamp_seconds(p["seconds"])).alias("dt"), F.lit(number).alias("metric"), i.alias("pos"),
+                p["value"].alias("value"),
+            ),
+        )
+
+    series = decoded_series(products)
+    every = series.select(*DOCUMENT, F.array_sort(F.flatten(F.array(*[dated(k, m) for k, m in enumerate(METRICS)]))).alias("_all"))
+
+    def last_of_day(points: Column) -> Column:
+        def last(p: Column, i: Column) -> Column:
+            later = F.get(points, i + 1)
+            return later.isNull() | (later["dt"] != p["dt"]) | (later["metric"] != p["metric"])
+
+        return F.filter(points, last)
+
+    def by_day(points: Column) -> Column:
+        places = F.when(F.size(points) > 0, F.sequence(F.lit(0), F.size(points) - 1))
+        begins = F.filter(places, lambda i: (i == 0) | (F.get(points, i)["dt"] != F.get(points, i - 1)["dt"]))
+
+        def cut(starts: Column) -> Column:
+            return F.transform(
+                starts, lambda b, j: F.slice(points, b + 1, F.coalesce(F.get(starts, j + 1), F.size(points)) - b)
+            )
+
+        return bound(begins, cut)
+
+    days = bound(bound(F.col("_all"), last_of_day), by_day)
+    daily = every.select(*DOCUMENT, F.explode(days).alias("_day"))
+
+    pairs = F.transform("_day", lambda p: F.struct(p["metric"], p["value"]))
+    picked = daily.select("asin", "site", "_ingested_at", F.col("_day")[0]["dt"].alias("dt"), F.map_from_entries(pairs).alias("_last"))
+
+    def value(number: int, m: str) -> Column:
+        text = F.try_element_at("_last", F.lit(number))
+        found = text if m == "buybox_seller" else text.try_cast("double")
+        return (found / SCALES[m] if SCALES.get(m, 1) != 1 else found).alias(m)
+
+    return picked.select(
+        "asin", "site", "dt", *[value(k, m) for k, m in enumerate(METRICS)], F.lit(SOURCE_TAG).alias("_source"), "_ingested_at"
     )
 
 
