@@ -36,7 +36,7 @@ from shelfsight.sources.scratch import materialize
 #: Prior weight of each order above the first; one entry is a bigram model.
 PRIOR = (300.0,)
 #: Text in one block, and n-grams that one owner should hold.
-BLOCK_BYTES, OWNER_KEYS = 6 << 20, 1 << 21
+BLOCK_BYTES, BLOCK_ROWS, OWNER_KEYS = 6 << 20, 1 << 16, 1 << 21
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 BLOCK = "block long, ids array<long>, held array<boolean>, lengths array<int>, n long, rice int, words binary, ranks binary, codes binary"
@@ -114,7 +114,7 @@ def _make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids += piece.column("doc_id").to_pylist()
             held += piece.column("held_out").to_pylist()
             size += len(data)
-            if size >= BLOCK_BYTES:
+            if size >= BLOCK_BYTES or len(ids) >= BLOCK_ROWS:
                 yield flush()
                 number, size = number + 1, 0
                 ids, held, streams, lengths = [], [], [], []

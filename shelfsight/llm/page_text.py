@@ -47,6 +47,13 @@ _BOILER_WORDS = (
 )
 _BOILER = re.compile(rf"(?i)(?<!\S)(?:{_BOILER_WORDS})(?!\S)")
 _BOILER_PART = re.compile(rf"(?i)(?:^|[_-])(?:{_BOILER_WORDS})(?:$|[_-])")
+#: Inside an article only whole words of this list drop an element, so alerts and search hints of the text stay,
+#: and words of the second list as parts of compound names, too.
+_INSIDE = re.compile(rf"(?i)(?<!\S)(?!(?:alert|search)(?!\S))(?:{_BOILER_WORDS})(?!\S)")
+_ADDED_WORDS = "ads?|advert|advertisement|sponsor(?:ed)?|promo|comments?|disqus|reply|replies|share|sharing|social|related|recommended|newsletter|subscribe"
+_ADDED = re.compile(rf"(?i)(?:^|[\s_-])(?:{_ADDED_WORDS})(?:$|[\s_-])")
+#: An article that names itself so only points to another page.
+_TEASER = re.compile(rf"(?i)(?:^|[\s_-])(?:teaser|card|{_ADDED_WORDS})(?:$|[\s_-])")
 _MAIN = re.compile(r"\bmain\b")
 #: Bits of row history that an alignment keeps at once; larger ones are split in two.
 ALIGN_BITS = 1 << 28
@@ -65,6 +72,7 @@ def page_lines(html: str) -> tuple[list[str], list[int]]:
     dropped = article = marked = 0
     around: tuple[int, ...] = ()
     holding: set[int] = set()  # marked elements with an article inside, which stay
+    heads: list[tuple[bool, tuple[int, ...]]] = []  # of each h1: is it in an article, and the marked elements around it
 
     def flush():
         if held:
@@ -127,11 +135,15 @@ def page_lines(html: str) -> tuple[list[str], list[int]]:
             continue
         marks = " ".join(x or y or z for x, y, z in _CLASS.findall(m[3])) if m[3] else ""
         gone = name in _DROPPED
-        boiler = marks != "" and _BOILER.search(marks) is not None
-        inside = name in ("article", "main") or name not in ("body", "html") and _is_main(marks)
+        words = (_INSIDE, _ADDED) if article else (_BOILER,)
+        boiler = marks != "" and any(w.search(marks) for w in words)
+        teaser = name == "article" and _TEASER.search(marks) is not None
+        inside = name in ("article", "main") and not teaser or name not in ("body", "html", "article", "main") and _is_main(marks)
+        if name == "h1" and not dropped:
+            heads.append((article > 0, around))
         if inside and not boiler and not dropped and not gone:
             holding.update(around)
-        by_class = boiler and not gone and name not in ("body", "html", "article", "main")
+        by_class = teaser or boiler and not gone and name not in ("body", "html", "article", "main")
         if by_class:
             marked += 1
             around = (*around, marked)
@@ -145,9 +157,11 @@ def page_lines(html: str) -> tuple[list[str], list[int]]:
         if text:
             lines.append(text)
             zones.append(zone)
-    if any(zones):  # with a marked article, what stands outside it is not the article
-        lines = [t for t, z in zip(lines, zones) if z]
-        zones = [ARTICLE] * len(lines)
+    if any(zones):  # with a marked article, what stands outside it is not the article, unless only the outside has a headline
+        shown = [z for z, c in heads if holding.issuperset(c)]
+        kept = OPEN if shown and not any(shown) else ARTICLE
+        lines = [t for t, z in zip(lines, zones) if z == kept]
+        zones = [kept] * len(lines)
     return lines, zones
 
 

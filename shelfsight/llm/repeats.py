@@ -38,6 +38,8 @@ LENGTH, GRAM = 50, 24
 #: Text of a block, of an array step, strings sorted at once, and bits of an anchor's short hash.
 BLOCK_BYTES, STEP_BYTES, SORTED, SHORT_BITS = 4 << 20, 1 << 19, 1 << 18, 40
 OWNER_KEYS = 1 << 20
+#: Rows of one block; a row's number is its block's number and its place in 20 bits.
+BLOCK_ROWS = 1 << 16
 _SIGN = 1 << 63
 #: Bytes of a holder (row, place of the anchor, id), and bits of a place within a text.
 HOLDER, PLACE_BITS = 24, 36
@@ -123,14 +125,14 @@ def _make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array([row[c]], kinds[c]) for c in kinds], names=list(kinds))
 
     for batch in batches:
-        for piece in slices(batch, "text", STEP_BYTES):
+        for piece in (part.slice(low, BLOCK_ROWS) for part in slices(batch, "text", STEP_BYTES) for low in range(0, part.num_rows, BLOCK_ROWS)):
             data, offsets = buffers(piece.column("text"))
             raw = memoryview(np.ascontiguousarray(data))
             held["text"].append(raw.tobytes())
             held["ids"] += piece.column("doc_id").to_pylist()
             held["sizes"] += np.diff(offsets).tolist()
             held["hexes"] += [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            if sum(map(len, held["text"])) >= BLOCK_BYTES:
+            if sum(map(len, held["text"])) >= BLOCK_BYTES or len(held["ids"]) >= BLOCK_ROWS:
                 yield flush()
                 number += 1
                 held = {c: [] for c in held}

@@ -469,3 +469,29 @@ def test_classes_are_the_components_of_all_links(spark, monkeypatch, classes):
     assert listed(found, "doc_id", "class_id", "copy_id", "copies", "n_links", "n_text_links") == want
     kept = {r.doc_id for r in ngram_join.keep_one(docs).collect()}
     assert kept == set(label)
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<div id=content><h1>Title</h1><p>Main story..</p></div><div><article>Other teaser</article></div>", ["Title", "Main story.."]),
+        ("<p>Intro main</p><article class='related-card'>Teaser</article>", ["Intro main"]),
+        ("<article><h1>T</h1>a</article><article class='teaser'>b</article><article>c</article>", ["T", "a", "c"]),
+        ("<article>a<div class='comment-body'>x</div><div id='comments-area'>y</div><p class='share-buttons'>z</p></article>", ["a"]),
+        ("<article><p class='alert'>a</p><div class=search>b</div><div class='notice'>x</div></article>", ["a", "b"]),
+        ("<div class=banner><h1>Site</h1></div><article>a</article>", ["a"]),
+    ],
+)
+def test_teasers_do_not_silence_the_article(html, want):
+    assert page_text.page_lines(html)[0] == want
+
+
+def test_blocks_of_repeats_close_on_rows(spark):
+    passage = "a passage that two documents share, long enough to be taken out of the later one"
+    rows = spark.range(0, (1 << 20) + 2000, 1, 1).selectExpr("id as doc_id", "'' as text")
+    late = [(1 << 21, passage + " one"), ((1 << 21) + 1, "two " + passage)]
+    docs = rows.union(spark.createDataFrame(late, "doc_id long, text string").coalesce(1)).coalesce(1)
+    found = repeats.remove_repeats(docs).filter("n_bytes > 0 or n_removed > 0").collect()
+    assert {g.doc_id: (g.n_bytes, g.n_removed, g.n_spans) for g in found} == {
+        1 << 21: (len(passage) + 4, 0, 0), (1 << 21) + 1: (len(passage) + 4, len(passage), 1),
+    }
