@@ -412,7 +412,7 @@ oracle(
 )
 
 
-def _uplift(roas: str, roas_z: str) -> str:
+def _uplift(roas: str, roas_z: str, z_digits: int = 6) -> str:
     sums = ", ".join(
         f"sum({c})::DOUBLE AS {c}"
         for c in ("impressions", "clicks", "conversions", "gmv", "gmv_sq", "spend", "roas", "roas_sq")
@@ -435,7 +435,7 @@ def _uplift(roas: str, roas_z: str) -> str:
     return f"""WITH a AS ({ASSIGN.replace('{source}', '{ab_log}')}),
         s AS (SELECT variant, {sums} FROM a GROUP BY variant), c AS (SELECT * FROM s WHERE variant = 'control') """ + " UNION ALL ".join(
         f"""SELECT t.variant, '{m}' AS metric, {r(v.format('t'), 'value')},
-            {r(f"({v.format('t')} - {v.format('c')}) / ({v.format('c')})", 'lift_vs_control')}, {r(z, 'z')}
+            {r(f"({v.format('t')} - {v.format('c')}) / ({v.format('c')})", 'lift_vs_control')}, {r(z, 'z', z_digits)}
             FROM s t, c"""
         for m, v, z in rows
     )
@@ -444,6 +444,18 @@ def _uplift(roas: str, roas_z: str) -> str:
 oracle("ab_uplift", _uplift("{0}.roas / {0}.impressions", "yes"))
 oracle("ab_uplift_spend", _uplift("{0}.gmv / {0}.spend", ""))
 
+
+def _p_values() -> str:
+    """Normal tails of the unrounded z: a fine midpoint sum of the bell curve from 0 to |z|."""
+    steps = 20000
+    area = f"""list_sum(list_transform(range({steps}), lambda i: exp(-power(least(abs(z), 12.0) * (i + 0.5) / {steps}, 2) / 2)))
+        * least(abs(z), 12.0) / {steps} / sqrt(2 * pi())"""
+    return f"""SELECT variant, metric, round(greatest(1 - 2 * {area}, 0.0), 6) AS p_value
+        FROM ({_uplift("{0}.roas / {0}.impressions", "yes", 15)})"""
+
+
+oracle("ab_p_values", _p_values())
+
 # --- views -------------------------------------------------------------------
 
 oracle(

@@ -11,6 +11,7 @@ from shelfsight.operators.standardize import union_all
 
 TEXT_PATTERN = "*.{csv,txt}"
 PARQUET_PATTERN = "*.parquet"
+SNAPSHOT_KINDS = ("csv", "json", "parquet")
 # JSON text keeps microseconds only with an explicit format.
 EXACT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -76,30 +77,65 @@ def write_snapshot(df: DataFrame, root: str, snapshot_date: dt.date) -> None:
     )
 
 
+def snapshots(spark: SparkSession, root: str) -> dict[dt.date, list[str]]:
+    """The catalogue of a snapshot folder: for each date the folder or files that hold it.
+
+    A snapshot is a partition `snapshot_date=2024-01-05` or a file or folder `2024-01-05.csv`,
+    `.json` or `.parquet`. Spark's own file system lists the root, once; no data are read.
+    A missing root has no snapshots.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[dt.date, list[str]] = {}
+    if not system.exists(place):
+        return found
+    for status in system.listStatus(place):
+        name = status.getPath().getName()
+        text, _, kind = name.removeprefix("snapshot_date=").partition(".")
+        try:
+            day = dt.date.fromisoformat(text)
+        except ValueError:
+            continue
+        if name.startswith("snapshot_date=") and not kind or kind in SNAPSHOT_KINDS:
+            found.setdefault(day, []).append(status.getPath().toString())
+    return found
+
+
 def latest_snapshot_date(spark: SparkSession, root: str, as_of: dt.date | None = None) -> dt.date | None:
-    """Newest snapshot date at or before `as_of`; answered from the partition list."""
-    snapshots = spark.read.parquet(root).select(F.col("snapshot_date").cast("date").alias("d"))
-    if as_of is not None:
-        snapshots = snapshots.where(F.col("d") <= F.lit(as_of))
-    return snapshots.agg(F.max("d").alias("d")).first()["d"]
+    """Newest snapshot date at or before `as_of`, from the folder list alone."""
+    return max((day for day in snapshots(spark, root) if as_of is None or day <= as_of), default=None)
 
 
 def load_latest(
-    spark: SparkSession, root: str, as_of: dt.date | None = None
+    spark: SparkSession, root: str, as_of: dt.date | None = None, schema: str | None = None
 ) -> tuple[DataFrame | None, dt.date | None]:
-    """The newest snapshot at or before `as_of`, reading only its partition."""
-    found = latest_snapshot_date(spark, root, as_of)
+    """The newest snapshot at or before `as_of`, reading only its files; (None, None) where there is none.
+
+    Give `schema` for CSV and JSON snapshots of any size; without it their types are
+    inferred by an extra pass. Several files of one date are one snapshot.
+    """
+    held = snapshots(spark, root)
+    found = max((day for day in held if as_of is None or day <= as_of), default=None)
     if found is None:
         return None, None
-    rows = spark.read.parquet(root).where(F.col("snapshot_date") == F.lit(found))
-    return rows.drop("snapshot_date"), found
+    by_kind: dict[str, list[str]] = {}
+    for path in held[found]:
+        by_kind.setdefault(path.rpartition(".")[2] if path.endswith(SNAPSHOT_KINDS) else "parquet", []).append(path)
+    frames = [_read_snapshot(spark, kind, paths, schema) for kind, paths in sorted(by_kind.items())]
+    return (frames[0] if len(frames) == 1 else union_all(frames)), found
+
+
+def _read_snapshot(spark: SparkSession, kind: str, paths: list[str], schema: str | None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema else spark.read
+    if kind == "csv":
+        reader = reader.option("header", True) if schema else reader.options(header=True, inferSchema=True)
+    return reader.format(kind).load(paths)
 
 
 def export_view(df: DataFrame, root: str, name: str, run_date: dt.date) -> DataFrame:
     """Write a run's export partition and expose that run as a temp view."""
     write_snapshot(df, root, run_date)
-    exported = df.sparkSession.read.parquet(root)
-    exported = exported.where(F.col("snapshot_date") == F.lit(run_date)).drop("snapshot_date")
+    exported = df.sparkSession.read.schema(df.schema).parquet(f"{root.rstrip('/')}/snapshot_date={run_date.isoformat()}")
     exported.createOrReplaceTempView(name)
     return exported
 

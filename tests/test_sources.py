@@ -191,6 +191,39 @@ def test_snapshots(spark):
     assert found == dt.date(2024, 1, 5) and rows.count() == 4 and rows.columns == ["id"]
     assert datasets.load_latest(spark, root)[1] == dt.date(2024, 1, 9)
     assert datasets.load_latest(spark, root, dt.date(2023, 1, 1)) == (None, None)
+    assert "snapshot_date" not in rows._jdf.queryExecution().toString().replace("snapshot_date=", "")
+
+
+def test_a_first_run_has_no_snapshots(spark, tmp_path):
+    assert datasets.load_latest(spark, str(tmp_path / "absent")) == (None, None)
+    assert datasets.load_latest(spark, str(tmp_path)) == (None, None)
+    (tmp_path / "notes.csv").write_text("a\n1\n")
+    assert datasets.load_latest(spark, str(tmp_path)) == (None, None)
+    run = inference.run_batch(spark, str(tmp_path / "absent"), {}, SCORER, as_of=dt.date(2024, 1, 3))
+    assert run.items is None and run.run_date == dt.date(2024, 1, 3)
+
+
+def test_text_snapshots(spark, tmp_path):
+    (tmp_path / "2024-01-02.csv").write_text("asin,x\nA,1.5\nB,\n")
+    (tmp_path / "2024-01-04.json").write_text('{"asin": "C", "x": 2.5}\n')
+    spark.range(3).write.parquet(str(tmp_path / "2024-01-06.parquet"))
+    rows, found = datasets.load_latest(spark, str(tmp_path), dt.date(2024, 1, 3), "asin string, x double")
+    assert found == dt.date(2024, 1, 2) and sorted(map(tuple, rows.collect())) == [("A", 1.5), ("B", None)]
+    rows, found = datasets.load_latest(spark, str(tmp_path), dt.date(2024, 1, 5))
+    assert found == dt.date(2024, 1, 4) and [tuple(r) for r in rows.select("asin", "x").collect()] == [("C", 2.5)]
+    rows, found = datasets.load_latest(spark, str(tmp_path))
+    assert found == dt.date(2024, 1, 6) and rows.count() == 3
+
+
+def test_reports_are_one_file(spark, tmp_path):
+    table = spark.createDataFrame([("ndcg@5", 0.5), ("map", 0.25)], "metric string, value double").repartition(2)
+    for kind in ("csv", "json"):
+        datasets.write_report(table, str(tmp_path / kind), kind)
+        back = spark.read.option("header", True).format(kind).load(str(tmp_path / kind))
+        assert {(r["metric"], float(r["value"])) for r in back.collect()} == {("ndcg@5", 0.5), ("map", 0.25)}
+        assert len(list((tmp_path / kind).glob("part-*"))) == 1
+    with pytest.raises(ValueError, match="csv"):
+        datasets.write_report(table, str(tmp_path / "x"), "xlsx")
 
 
 SCORER = inference.LinearScorer({"x": 2.0, "y": -3.0, "a": 1.0, "b": 0.5, "c": 0.1, "d": 0.01}, {"x": 1.0}, 10.0)
