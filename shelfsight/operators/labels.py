@@ -33,6 +33,24 @@ BSR_COLUMNS = (
 TRAIN_TABLES = {"bin": "y_bin", "rank": "y_rank", "reg": "y_reg"}
 
 
+# Daily sums that spans add up, and the two parts of each.
+SUMMED = ("s_sum", "d1", "d2", "bsr_percentile_sum", "bsr_rank_sum")
+PARTS = ("_whole", "_rest")
+UNIT = float(1 << 20)
+
+
+def _split_value(column: str) -> dict[str, Column]:
+    """A value as a multiple of 1 / UNIT and the rest.
+
+    Running totals of the multiples are exact up to 2^33, and those of the small rests err
+    far below a double's last digit, so differences of totals do not show other days' rounding.
+    """
+    value = F.col(column)
+    small = F.abs(value) < 2.0**42
+    whole = F.when(small, F.floor(value * UNIT).cast("double") / UNIT).otherwise(value)
+    return {f"{column}_whole": whole, f"{column}_rest": F.when(small, value - whole)}
+
+
 def sample_windows(mart: DataFrame, span: tuple[int, int] = LABEL_SPAN) -> DataFrame:
     """One row per (asin, site, t_ref) with its past and future aggregates.
 
@@ -71,32 +89,46 @@ def sample_windows(mart: DataFrame, span: tuple[int, int] = LABEL_SPAN) -> DataF
     )
     offset = F.col("s_avg") - F.col("centre")
     days = days.withColumns({"d1": F.col("s_n") * offset, "d2": F.col("s_m2") + F.col("s_n") * offset * offset})
+    days = days.withColumns({name: part for c in SUMMED for name, part in _split_value(c).items()})
     by_day = Window.partitionBy(*KEY).orderBy("day")
-    past = by_day.rangeBetween(-(back - 1), 0)
-    future = by_day.rangeBetween(1, ahead)
-
-    def mean(total: str, count: str, frame) -> Column:
-        return F.try_divide(F.sum(total).over(frame), F.sum(count).over(frame))
-
-    shift = mean("d1", "s_n", past)
-    variance = mean("d2", "s_n", past) - shift * shift
-    out = days.withColumns(
-        {
-            "first_day": F.min("day").over(whole),
-            "last_day": F.max("day").over(whole),
-            "past_sales": F.coalesce(F.sum("s_sum").over(past), F.lit(0.0)),
-            "future_sales": F.coalesce(F.sum("s_sum").over(future), F.lit(0.0)),
-            "past_coverage": F.count(F.lit(1)).over(past) / back,
-            "future_coverage": F.count(F.lit(1)).over(future) / ahead,
-            "past_bsr_percentile": mean("bsr_percentile_sum", "bsr_percentile_n", past),
-            "future_bsr_percentile": mean("bsr_percentile_sum", "bsr_percentile_n", future),
-            "past_bsr_rank": mean("bsr_rank_sum", "bsr_rank_n", past),
-            "future_bsr_rank": mean("bsr_rank_sum", "bsr_rank_n", future),
-            "past_mean_sales": mean("s_sum", "s_n", past),
-            "past_std_sales": F.sqrt(F.when(variance > 0, variance).when(variance <= 0, 0.0)),
-            "future_mean_sales": mean("s_sum", "s_n", future),
-        }
-    )
+    # Frames that start at the key's first day are summed as they grow, once per row; a
+    # sliding frame would be summed anew for each row. A span is a difference of two.
+    upto = {
+        name: by_day.rangeBetween(Window.unboundedPreceding, end)
+        for name, end in (("before", -back), ("now", 0), ("ahead", ahead))
+    }
+    spans = {"past": ("before", "now"), "future": ("now", "ahead")}
+    totals = [*[f"{c}{part}" for c in SUMMED for part in PARTS], "s_n", "bsr_percentile_n", "bsr_rank_n"]
+    running = {f"{c}_{name}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in totals for name, w in upto.items()}
+    running |= {f"rows_{name}": F.count(F.lit(1)).over(w) for name, w in upto.items()}
+    days = days.withColumns(running | {"first_day": F.min("day").over(whole), "last_day": F.max("day").over(whole)})
+
+    def count(column: str, span: str) -> Column:
+        low, high = spans[span]
+        return F.col(f"{column}_{high}") - F.col(f"{column}_{low}")
+
+    def total(column: str, span: str) -> Column:
+        return sum((count(f"{column}{part}", span) for part in PARTS), F.lit(0.0))
+
+    def mean(column: str, n: str, span: str) -> Column:
+        return F.try_divide(total(column, span), F.nullif(count(n, span), F.lit(0)))
+
+    shift = mean("d1", "s_n", "past")
+    variance = mean("d2", "s_n", "past") - shift * shift
+    out = days.select(
+        *KEY, "t_ref", "day", "first_day", "last_day",
+        total("s_sum", "past").alias("past_sales"),
+        total("s_sum", "future").alias("future_sales"),
+        (count("rows", "past") / back).alias("past_coverage"),
+        (count("rows", "future") / ahead).alias("future_coverage"),
+        *[
+            mean(f"{c}_sum", f"{c}_n", span).alias(f"{span}_{c}")
+            for c in ("bsr_percentile", "bsr_rank") for span in spans
+        ],
+        mean("s_sum", "s_n", "past").alias("past_mean_sales"),
+        F.sqrt(F.when(variance > 0, variance).when(variance <= 0, 0.0)).alias("past_std_sales"),
+        mean("s_sum", "s_n", "future").alias("future_mean_sales"),
+    )
     inside = (F.col("day") >= F.col("first_day") + back - 1) & (
         F.col("day") <= F.col("last_day") - ahead
     )

@@ -15,6 +15,8 @@ from shelfsight.operators.standardize import KEY, keep_last, standardize
 from shelfsight.sources.scratch import materialize
 
 DAY = "day"
+#: Files of one day at most.
+DAY_FILES = 4
 
 
 def _stored(spark: SparkSession, schema: T.StructType, target: str) -> DataFrame | None:
@@ -27,12 +29,32 @@ def _stored(spark: SparkSession, schema: T.StructType, target: str) -> DataFrame
         raise
 
 
-def merge_batch(batch: DataFrame, target: str, tie_break: Sequence[str] = ()) -> None:
+def _contents(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per day: how many rows there are and an order-free sum of their digests."""
+    digest = F.xxhash64(F.to_json(F.struct(*columns))).cast("decimal(38,0)")
+    return rows.groupBy(DAY).agg(F.count(F.lit(1)).alias("rows"), F.sum(digest).alias("digest"))
+
+
+def changed_days(kept: DataFrame, stored: DataFrame) -> DataFrame:
+    """The rows of `kept` on days whose stored rows differ."""
+    columns = kept.columns
+    new, old = _contents(kept, columns), _contents(stored.select(*columns), columns)
+    same = new.join(old.withColumnRenamed(DAY, "_d"), F.col(DAY).eqNullSafe(F.col("_d")), "left").where(
+        new["rows"].eqNullSafe(old["rows"]) & new["digest"].eqNullSafe(old["digest"])
+    )
+    same = materialize(same.select(F.col("_d"), F.lit(True).alias("_same")), "same-days")
+    joined = kept.join(same.withColumnRenamed("_d", "_day"), F.col(DAY).eqNullSafe(F.col("_day")), "left_anti")
+    return joined.select(*columns)
+
+
+def merge_batch(batch: DataFrame, target: str, tie_break: Sequence[str] = (), files: int = DAY_FILES) -> None:
     """Merge one micro-batch into the day partitions it touches, keeping the last arrival.
 
     The merged rows are written to the scratch folder before the partitions are
     replaced, so a lost executor never re-reads a partition that is being
-    overwritten. Replaying a batch gives the same partitions.
+    overwritten. Replaying a batch gives the same partitions, and a day whose rows do
+    not change is not written again. Rows are dealt by day and key, so a day has at
+    most `files` files however many tasks there are.
     """
     spark = batch.sparkSession
     arrived = batch.withColumn(DAY, calendar_date("dt"))
@@ -41,17 +63,24 @@ def merge_batch(batch: DataFrame, target: str, tie_break: Sequence[str] = ()) ->
     days = [r[DAY] for r in arrived.select(DAY).distinct().collect()]
     if not days:
         return
-    merged = arrived
+    merged, held = arrived, None
     stored = _stored(spark, arrived.schema, target)
     if stored is not None:
         touched = F.col(DAY).isin([d for d in days if d is not None])
         if None in days:
             touched = touched | F.col(DAY).isNull()
-        merged = merged.unionByName(stored.where(touched))
+        held = stored.where(touched)
+        merged = merged.unionByName(held)
     # Keys and arrivals decide, so the day column rides along unchanged.
     kept = materialize(keep_last(merged, KEY, tie_break=tie_break), "merged")
+    if held is not None:
+        kept = materialize(changed_days(kept, held), "changed")
+        if kept.isEmpty():
+            return
+    part = F.pmod(F.xxhash64(*KEY), F.lit(files)).alias("part")
     (
-        kept.write.mode("overwrite")
+        kept.repartition(F.col(DAY), part)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(target)

@@ -9,7 +9,7 @@ from shelfsight.operators.standardize import standardize
 from shelfsight.settings import ScoringSettings
 from shelfsight.sources import datasets, payload, vendors
 from shelfsight.sources.scratch import materialize, scratch_path
-from shelfsight.streaming.incremental import read_mart, stream_raw
+from shelfsight.streaming.incremental import DAY_FILES, merge_batch, read_mart, stream_raw
 
 BASE = dt.datetime(2023, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -322,3 +322,30 @@ def test_stream_keeps_the_last_delivery(spark):
     assert found == {("A", "2024-01-01"): 2.0, ("B", "2024-01-02"): 8.0, ("C", "2024-01-03"): 7.0}
     whole = standardize(spark.createDataFrame(everything, schema)).collect()
     assert {(r["asin"], str(r["dt"])): r["price"] for r in whole} == found
+
+
+def test_a_redelivery_rewrites_only_changed_days(spark, tmp_path):
+    schema = "asin string, site string, dt string, price string, bsr string, rating string, reviews_count bigint, stock_est bigint, buybox_seller string, _ingested_at timestamp"
+
+    def rows(day, price, hour, n=50):
+        stamp = dt.datetime(2024, 2, 1, hour)
+        return [(f"A{k}", "US", day, price, "5", "4", 1, 1, None, stamp) for k in range(n)]
+
+    def files():
+        return {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in target.glob("day=*")}
+
+    target = tmp_path / "mart"
+    first = rows("2024-01-01", "1", 1) + rows("2024-01-02", "1", 1) + rows("not a day", "1", 1)
+    merge_batch(spark.createDataFrame(first, schema).repartition(16), str(target))
+    before = files()
+    assert len(before) == 3 and all(1 <= len(f) <= DAY_FILES for f in before.values())
+    # The same rows again, and for one day a later price for one product.
+    again = first + [("A7", "US", "2024-01-02", "2", "5", "4", 1, 1, None, dt.datetime(2024, 2, 2, 1))]
+    merge_batch(spark.createDataFrame(again, schema).repartition(16), str(target))
+    after = files()
+    assert {d for d in after if after[d] != before[d]} == {"day=2024-01-02"}
+    assert len(after["day=2024-01-02"]) <= DAY_FILES
+    merge_batch(spark.createDataFrame(first, schema), str(target))
+    assert files() == after
+    kept = spark.read.parquet(str(target))
+    assert kept.count() == 150 and [r["price"] for r in kept.where("asin = 'A7' and dt = '2024-01-02'").collect()] == ["2"]
