@@ -1074,7 +1074,7 @@ def train_regressor(spark, sf):
         "p_retailprice", "p_size",
     )
     fitted = training.train_regressor(
-        rows, "l_extendedprice", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "forest",
+        rows, "l_extendedprice", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
     )
     return fitted.metrics
 
@@ -1099,8 +1099,8 @@ def feature_importances(spark, sf):
 
 @query
 def tune_ranker(spark, sf):
-    _, trials = training.tune_ranker(
+    tuned = training.tune_ranker(
         _document_features(spark, sf), ["doc_id"], group="query", label="relevance",
         drop=["quality"],
     )
-    return trials
+    return tuned.trials

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +21,7 @@ from shelfsight.operators.metrics import (
     ranking_metrics,
     regression_metrics,
 )
+from shelfsight.operators.search import Range, adaptive_search
 from shelfsight.operators.splits import group_folds, group_holdout, random_holdout, stratified_holdout
 from shelfsight.schemas import first_present, numeric_columns
 from shelfsight.sources.scratch import materialize
@@ -243,37 +241,36 @@ def train_ranker(
     return TrainedModel(model, features, metrics, table, scored, lift)
 
 
-class NdcgEvaluator(Evaluator):
-    """Mean NDCG@k over groups, for cross validation."""
+# Search ranges of the boosted ranker.
+SEARCH_SPACE: dict[str, Range] = {
+    "stepSize": Range(0.01, 0.2, log=True),
+    "maxDepth": Range(3, 7, whole=True),
+    "minInstancesPerNode": Range(10, 100, whole=True),
+    "subsamplingRate": Range(0.5, 1.0),
+}
 
-    def __init__(self, group: str, label: str, tie: Sequence[str], k: int = 20) -> None:
-        super().__init__()
-        self.group, self.label, self.tie, self.k = group, label, list(tie), k
 
-    def _evaluate(self, dataset: DataFrame) -> float:
-        metrics = ranking_metrics(dataset, self.group, self.label, "prediction", ks=(self.k,), tie=self.tie)
-        found = metrics.where(F.col("metric") == f"ndcg@{self.k}").first()["value"]
-        return float(found or 0.0)
+class TunedRanker(NamedTuple):
+    """The best setting, all trials, and the best setting's model fitted on all rows."""
 
-    def isLargerBetter(self) -> bool:
-        return True
+    best: dict[str, Any]
+    trials: DataFrame
+    model: PipelineModel
 
 
-def sample_grid(
-    choices: dict[str, Callable[[random.Random], Any]], trials: int, seed: int = 42
-) -> list[dict[str, Any]]:
-    """Seeded random draws of parameter settings."""
-    draw = random.Random(seed)
-    return [{name: pick(draw) for name, pick in choices.items()} for _ in range(trials)]
+def _mean_ndcg(scored: DataFrame, group: str, label: str, tie: Sequence[str], k: int = 20) -> float:
+    metrics = ranking_metrics(scored, group, label, "prediction", ks=(k,), tie=tie)
+    return float(metrics.where(F.col("metric") == f"ndcg@{k}").first()["value"] or 0.0)
 
 
-# Search ranges of the boosted ranker.
-SEARCH_SPACE: dict[str, Callable[[random.Random], Any]] = {
-    "stepSize": lambda r: 10 ** r.uniform(-2, -0.7),
-    "maxDepth": lambda r: r.randint(3, 7),
-    "minInstancesPerNode": lambda r: r.randint(10, 100),
-    "subsamplingRate": lambda r: r.uniform(0.5, 1.0),
-}
+def prepared_folds(rows: DataFrame, features: list[str], folds: int) -> list[DataFrame]:
+    """For each fold all rows with their vectors, written once; missing values are means of the other folds' rows."""
+    out = []
+    for fold in range(folds):
+        held = rows.withColumn(HELD, F.col("fold") == fold)
+        assembly = Pipeline(stages=_assembly(features)).fit(held.where(~F.col(HELD)))
+        out.append(materialize(assembly.transform(held).drop(*[f"_filled_{c}" for c in features]), "fold"))
+    return out
 
 
 def tune_ranker(
@@ -286,30 +283,31 @@ def tune_ranker(
     drop: Sequence[str] = (),
     seed: int = 42,
     parallelism: int = 4,
-    space: dict[str, Callable[[random.Random], Any]] | None = None,
+    space: dict[str, Range] | None = None,
     **options: Any,
-) -> tuple[dict[str, Any], DataFrame]:
-    """Best sampled setting by mean NDCG@20 over group folds, and all trials."""
+) -> TunedRanker:
+    """Adaptive search for the setting with the best mean NDCG@20 over group folds."""
     group = first_present(df, GROUP_CANDIDATES, group)
     label = first_present(df, LABEL_CANDIDATES, label)
     features = feature_columns(df, [label, group, *keys, *drop])
     rows = group_folds(df.select(*dict.fromkeys([*keys, group, label, *features])), group, folds, seed)
     rows = materialize(_as_double(rows, [*features, label]), "tune")
-    assembled = Pipeline(stages=_assembly(features)).fit(rows).transform(rows)
-    estimator = GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed, **options)
-    settings = sample_grid(space or SEARCH_SPACE, trials, seed)
-    grid = [{estimator.getParam(n): v for n, v in s.items()} for s in settings]
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=grid,
-        evaluator=NdcgEvaluator(group, label, keys),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
-    means = search.fit(assembled).avgMetrics
-    best = max(range(len(means)), key=lambda i: means[i])
-    table = [(i, float(m), {n: float(v) for n, v in settings[i].items()}) for i, m in enumerate(means)]
+    prepared = prepared_folds(rows, features, folds)
+
+    def learner(setting: dict[str, Any]) -> GBTRegressor:
+        return GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed, **(options | setting))
+
+    def score(setting: dict[str, Any]) -> float:
+        found = []
+        for part in prepared:
+            model = learner(setting).fit(part.where(~F.col(HELD)))
+            found.append(_mean_ndcg(model.transform(part.where(F.col(HELD))), group, label, keys))
+        return sum(found) / len(found)
+
+    tried = adaptive_search(space or SEARCH_SPACE, score, trials, seed, parallelism)
+    best = max(tried, key=lambda t: t[1])[0]
+    table = [(i, m, {n: float(v) for n, v in setting.items()}) for i, (setting, m) in enumerate(tried)]
     trials_table = df.sparkSession.createDataFrame(table, "trial int, ndcg double, setting map<string,double>")
-    return settings[best], trials_table
+    assembly = Pipeline(stages=_assembly(features)).fit(rows)
+    model = PipelineModel([*assembly.stages, learner(best).fit(assembly.transform(rows))])
+    return TunedRanker(best, trials_table, model)

@@ -1,8 +1,10 @@
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfsight.operators.search import Range, adaptive_search
 from shelfsight.operators import splits, text, training
 
 
@@ -152,10 +154,11 @@ def test_regressor_and_errors(spark):
 
 def test_ranker_and_tuning(spark):
     rows = learnable(spark).withColumn("label", F.round("label"))
-    fitted = training.train_ranker(rows, ["id"], baseline="noise", drop=["y"], maxIter=5)
+    fitted = training.train_ranker(rows, ["id"], baseline="noise", drop=["y"], kind="gbt", maxIter=5)
     found = {r["metric"]: r["value"] for r in fitted.metrics.collect()}
     assert found["ndcg@20"] > 0.8 and "lift@5" in found and fitted.lift.count() == 4
-    best, trials = training.tune_ranker(rows, ["id"], folds=2, trials=2, drop=["y"], maxIter=2, parallelism=2)
+    best, trials, model = training.tune_ranker(rows, ["id"], folds=2, trials=2, drop=["y"], maxIter=2, parallelism=2)
+    assert model.transform(rows.withColumns({c: F.col(c).cast("double") for c in ("x", "noise", "z")})).count() == 300
     scores = [r["ndcg"] for r in trials.orderBy("trial").collect()]
     assert len(scores) == 2 and best["maxDepth"] in (3, 4, 5, 6, 7)
 
@@ -175,3 +178,31 @@ def test_column_means_come_from_training_rows_only(spark):
     )
     fitted = training._fit_pipeline(rows, ["x"], learner, True)
     assert fitted.stages[0].surrogateDF.first()["x"] == 1.0
+
+
+def test_a_fold_does_not_see_its_outliers(spark):
+    rows = spark.createDataFrame(
+        [(k, k % 3, 1e6 if k == 0 else None if k < 6 else float(k % 3)) for k in range(60)], "id int, fold int, x double"
+    )
+    means = []
+    for part in training.prepared_folds(rows, ["x"], 3):
+        filled = part.where("x is null").select(training.vector_to_array(training.FEATURES)[0].alias("v")).distinct().collect()
+        means.append(filled[0]["v"])
+    assert means[0] < 3 and means[1] > 1e4 and means[2] > 1e4
+
+
+def test_adaptive_search_beats_random_draws():
+    space = {"a": Range(0.001, 10.0, log=True), "b": Range(-5.0, 5.0), "n": Range(1, 9, whole=True)}
+
+    def score(s):
+        return -((math.log10(s["a"]) + 1) ** 2) - (s["b"] - 2) ** 2 / 4 - (s["n"] - 7) ** 2 / 8
+
+    adaptive, plain = [], []
+    for seed in range(12):
+        adaptive.append(max(v for _, v in adaptive_search(space, score, 50, seed, parallelism=4)))
+        rng = random.Random(seed)
+        plain.append(max(score({n: r.value(rng.random()) for n, r in space.items()}) for _ in range(50)))
+    assert sum(adaptive) / 12 > sum(plain) / 12 + 0.05
+    tried = adaptive_search(space, score, 7, 1)
+    assert len(tried) == 7 and all(0.001 <= s["a"] <= 10 and -5 <= s["b"] <= 5 and s["n"] in range(1, 10) for s, _ in tried)
+    assert adaptive_search(space, score, 7, 1) == tried
