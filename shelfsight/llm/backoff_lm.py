@@ -2,20 +2,22 @@
 
 States are word histories that training has seen, shortest first the empty one.
 An arc reads a word that training has seen after the history; where none fits, the
-failure arc leads to the shorter history. Weights are interpolated (a Dirichlet
-prior on the shorter history's distribution):
+failure arc leads to the history without its first word. Weights are interpolated (a
+Dirichlet prior on the shorter history's distribution):
 
     p(w | h) = (c(h w) + mu * p(w | shorter h)) / (c(h) + mu),
 
 so an arc weighs its own share plus the rest, and the failure arc of a state weighs
 mu / (c(h) + mu). Every distribution sums to one. The empty state is the add-one
-unigram model.
+unigram model and has an arc for every word.
 
 The whole automaton never is in one place. Blocks of documents send their distinct
 n-grams and counts to owners of hash ranges, owners answer with corpus counts, and
-each block builds the part of the automaton that its own texts can reach. A state
-is determined by the words before it, so the left-to-right traversal of all texts of
-a block is taken as array steps.
+each block builds the states and arcs that its own texts can reach (`Automaton`), then
+reads all its texts from left to right, a state in hand for each. Long texts are read
+as several lanes: a state holds at most `order - 1` words, so a lane that first reads
+that many words before its own start, from the empty state, is in the very state that
+reading from the text's start leads to.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ from shelfsight.sources.scratch import materialize
 PRIOR = (300.0,)
 #: Text in one block, and n-grams that one owner should hold.
 BLOCK_BYTES, BLOCK_ROWS, OWNER_KEYS = 6 << 20, 1 << 16, 1 << 21
+#: Tokens that a lane reads of a text beyond its first words.
+LANE = 256
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 BLOCK = "block long, ids array<long>, held array<boolean>, lengths array<int>, n long, rice int, words binary, ranks binary, codes binary"
@@ -57,20 +61,18 @@ def token_stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def grams(tokens: np.ndarray, lengths: np.ndarray, order: int) -> list[np.ndarray]:
-    """For orders 1 to `order`, the key of the n-gram that ends at each token, and last the
-    keys of the histories of lengths 1 to `order - 1`. The lowest bit is 0 for words."""
+    """For orders 1 to `order`, the key of the n-gram that ends at each token; before a text
+    stand start marks. The lowest bit is 0 for words."""
     place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    history = [np.zeros(len(tokens), dtype=np.uint64)]
-    ending = [tokens]
+    history, one = np.zeros(len(tokens), dtype=np.uint64), np.uint64(1)
+    keys = [tokens & ~one]
     for k in range(1, order):
         back = np.full(len(tokens), START, dtype=np.uint64)
         back[k:] = tokens[:-k] if k < len(tokens) else back[k:]
         back[place < k] = START
-        history.append(mix(history[-1] * _STEP + back + np.uint64(k)))
-        ending.append(mix(history[-1] + mix(tokens)))
-    one = np.uint64(1)
-    keys = [ending[0] & ~one, *[e | one for e in ending[1:]]]
-    return keys + [h | one for h in history[1:]]
+        history = mix(history * _STEP + back + np.uint64(k))
+        keys.append(mix(history + mix(tokens)) | one)
+    return keys
 
 
 def _block_keys(tokens, lengths, held, order):
@@ -83,6 +85,84 @@ def _block_keys(tokens, lengths, held, order):
     return keys, counts, inverse.reshape(len(found), -1)
 
 
+class Automaton:
+    """The part of the model that one block's texts can reach.
+
+    State 0 is the empty history, state 1 + k the history that is the block's k-th n-gram,
+    and the last `order - 1` states are histories of start marks alone. Arcs are sorted by
+    (state, word); `fail_to` and `fail_weight` are the failure arc of each state.
+    """
+
+    def __init__(self, codes, lengths, places, counts, all_tokens: int, vocabulary: int, prior: Sequence[float]):
+        self.order = order = len(prior) + 1
+        self.words = int(codes.max()) + 1
+        n, states = len(counts), len(counts) + order
+        heads = np.cumsum(lengths) - lengths
+        ends = heads + lengths - 1
+        # Each training text ends once, so the count of the end is that of the start marks.
+        texts = int(counts[places[0][ends[0]]])
+        self.start = n + order - 1 if texts else 0
+        self.fail_to = np.zeros(states, dtype=np.int64)
+        self.fail_weight = np.zeros(states)
+
+        _, first = np.unique(codes, return_index=True)
+        p = (counts[places[0]] + 1.0) / (all_tokens + vocabulary + 1.0)
+        to = np.where(counts[places[0]] > 0, 1 + places[0], 0) if order > 1 else np.zeros_like(places[0])
+        arcs = [(codes[first], np.log10(p[first]), to[first])]
+        for k in range(1, order):
+            # The history of k words before a token is the n-gram that ends at the token before it.
+            source = np.empty(len(codes), dtype=np.int64)
+            source[1:] = 1 + places[k - 1][:-1]
+            source[heads] = n + k
+            seen = np.append(counts, [texts] * (order - 1))[source - 1]
+            p = (counts[places[k]] + prior[k - 1] * p) / (seen + prior[k - 1])
+            kept, first = np.unique(places[k], return_index=True)
+            first = first[counts[kept] > 0]
+            reached = 1 + places[min(k + 1, order - 1) - 1][first]
+            arcs.append((source[first] * self.words + codes[first], np.log10(p[first]), reached))
+            own, at = np.unique(source, return_index=True)
+            self.fail_weight[own] = np.log10(prior[k - 1] / (seen[at] + prior[k - 1]))
+            self.fail_to[own] = shorter[at] if k > 1 else 0
+            shorter = source
+        found = [np.concatenate(part) for part in zip(*arcs)]
+        by_arc = np.argsort(found[0], kind="stable")
+        self.arc, self.weight, self.to = (part[by_arc] for part in found)
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Read one word in each state: the log10 weight and the state reached."""
+        weight, reached = np.zeros(len(state)), np.zeros(len(state), dtype=np.int64)
+        rest = np.arange(len(state))
+        while len(rest):
+            wanted = state * self.words + word
+            at = np.minimum(np.searchsorted(self.arc, wanted), len(self.arc) - 1)
+            hit = self.arc[at] == wanted
+            weight[rest[hit]] += self.weight[at[hit]]
+            reached[rest[hit]] = self.to[at[hit]]
+            rest, state, word = rest[~hit], state[~hit], word[~hit]
+            weight[rest] += self.fail_weight[state]
+            state = self.fail_to[state]
+        return weight, reached
+
+    def read(self, codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The log10 probability of each text, read from left to right."""
+        heads = np.cumsum(lengths) - lengths
+        many = -(-lengths // LANE)
+        text = np.repeat(np.arange(len(lengths)), many)
+        skipped = (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)) * LANE
+        warm = np.minimum(skipped, self.order - 1)
+        steps = np.minimum(lengths[text] - skipped, LANE) + warm
+        by_steps = np.argsort(-steps, kind="stable")
+        text, warm, steps = text[by_steps], warm[by_steps], steps[by_steps]
+        at = heads[text] + skipped[by_steps] - warm
+        state = np.where(skipped[by_steps] == 0, self.start, 0)
+        total = np.zeros(len(text))
+        live = np.searchsorted(-steps, -np.arange(int(steps[0])), side="left")
+        for t, n in enumerate(live.tolist()):
+            weight, state[:n] = self.step(state[:n], codes[at[:n] + t])
+            total[:n] += np.where(t >= warm[:n], weight, 0.0)
+        return np.bincount(text, weights=total, minlength=len(lengths))
+
+
 def _make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, number, size = TaskContext.get().partitionId(), 0, 0
     ids, held, streams, lengths = [], [], [], []
@@ -122,10 +202,12 @@ def _make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The code of each token within the block, its hash, the lengths and the held-out flags."""
     words = golomb.decode(row["n"], row["rice"], row["words"])
-    tokens = words[golomb.unpack_numbers(row["ranks"])][golomb.unpack_numbers(row["codes"])]
-    return tokens, np.array(row["lengths"], dtype=np.int64), np.array(row["held"], dtype=bool)
+    codes = golomb.unpack_numbers(row["codes"])
+    tokens = words[golomb.unpack_numbers(row["ranks"])][codes]
+    return codes, tokens, np.array(row["lengths"], dtype=np.int64), np.array(row["held"], dtype=bool)
 
 
 def _rows(source: pa.RecordBatch | pa.Table) -> Iterator[dict]:
@@ -140,16 +222,6 @@ def _sum_counts(keys: np.ndarray, sender: np.ndarray, extra: np.ndarray | None)
     return total[inverse], int(((distinct & np.uint64(1) == 0) & (total > 0)).sum())
 
 
-def step_probabilities(counts: np.ndarray, all_tokens: int, vocabulary: int, prior: Sequence[float]) -> np.ndarray:
-    """Probability of each step, from the counts of its n-grams (order 1 up) and histories."""
-    order = len(prior) + 1
-    p = (counts[0] + 1.0) / (all_tokens + vocabulary + 1.0)
-    for k in range(1, order):
-        # Where a history is unseen both counts are 0: the failure arc is free.
-        p = (counts[k] + prior[k - 1] * p) / (counts[order - 1 + k] + prior[k - 1])
-    return p
-
-
 def lm_scores(
     docs: DataFrame, prior: Sequence[float] = PRIOR, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -174,7 +246,7 @@ def lm_scores(
     def ask(batches):
         for batch in batches:
             for row in _rows(batch):
-                keys, counts, _ = _block_keys(*_unpack(row), order)
+                keys, counts, _ = _block_keys(*_unpack(row)[1:], order)
                 yield golomb.request_batch(golomb.requests(row["block"], keys, owners, counts))
 
     replies = materialize(golomb.exchange(blocks.mapInArrow(ask, golomb.REQUEST), _sum_counts, partitions), "replies")
@@ -183,16 +255,16 @@ def lm_scores(
     def score(sent: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         for row in _rows(sent):
-            tokens, lengths, held_out = _unpack(row)
+            codes, tokens, lengths, held_out = _unpack(row)
             keys, _, places = _block_keys(tokens, lengths, held_out, order)
-            counts = golomb.replies_of(answers, keys, owners)[places]
-            heads = np.cumsum(lengths) - lengths
-            base = np.log10((counts[0] + 1.0) / (all_tokens + vocabulary + 1.0))
-            model = np.log10(step_probabilities(counts, all_tokens, vocabulary, prior))
-            sums = [np.add.reduceat(x, heads) for x in ((counts[0] > 0).astype(np.int64), base, model)]
+            counts = golomb.replies_of(answers, keys, owners)
+            model = Automaton(codes, lengths, places, counts, all_tokens, vocabulary, prior).read(codes, lengths)
+            heads, own = np.cumsum(lengths) - lengths, counts[places[0]]
+            base = np.add.reduceat(np.log10((own + 1.0) / (all_tokens + vocabulary + 1.0)), heads)
+            known = np.add.reduceat((own > 0).astype(np.int64), heads)
             names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
-            columns = [pa.array(row["ids"], pa.int64()), pa.array(held_out), pa.array(lengths), pa.array(sums[0])]
-            columns += [pa.array(np.full(len(lengths), all_tokens)), pa.array(sums[1]), pa.array(sums[2])]
+            columns = [pa.array(row["ids"], pa.int64()), pa.array(held_out), pa.array(lengths), pa.array(known)]
+            columns += [pa.array(np.full(len(lengths), all_tokens)), pa.array(base), pa.array(model)]
             out.append(pa.table(dict(zip(names, columns))))
         return pa.concat_tables(out)
 

@@ -178,24 +178,41 @@ def test_curriculum(docs, empty, rows):
     assert carried.columns == docs.columns and carried.count() == sum(len(g.positions) for g in got)
 
 
-def test_lm_scores(docs, empty, rows):
+@pytest.mark.parametrize("prior", [backoff_lm.PRIOR, (300.0, 7.0), ()])
+def test_lm_scores(docs, empty, rows, prior):
     streams = [[w.translate(LOW) for w in words(r[1])] + [None] for r in rows]
     held = [zlib.crc32(str(r[0]).encode() if r[0] is not None else b"") % 7 == 2 for r in rows]
-    one, two, ctx = Counter(), Counter(), Counter()
-    for s, h in zip(streams, held):
-        if not h:
-            one.update(s)
-            two.update(zip(["<s>", *s], s))
-            ctx.update(["<s>", *s[:-1]])
-    n, v, mu = sum(one.values()), len(one), backoff_lm.PRIOR[0]
+    order, seen, context = len(prior) + 1, Counter(), Counter()
+    steps = [[tuple((["<s>"] * order + s)[k + 1 : k + order + 1]) for k in range(len(s))] for s in streams]
+    for s, h in zip(steps, held):
+        for gram in s if not h else ():
+            seen.update(gram[-j:] for j in range(1, order + 1))
+            context.update(gram[-j:-1] for j in range(2, order + 1))
+    n, v = sum(len(s) for s, h in zip(streams, held) if not h), sum(len(g) == 1 for g in seen)
     want = []
-    for r, s, h in zip(rows, streams, held):
-        base = [(one[w] + 1) / (n + v + 1) for w in s]
-        full = [(two[p, w] + mu * b) / (ctx[p] + mu) for p, w, b in zip(["<s>", *s], s, base)]
-        want.append((str(r[0]), h, len(s), sum(one[w] > 0 for w in s), n, round(sum(map(math.log10, base)), 6), round(sum(map(math.log10, full)), 6)))
-    got = [(str(g[0]), *g[1:5], round(g[5], 6), round(g[6], 6)) for g in backoff_lm.lm_scores(docs).collect()]
+    for r, s, h in zip(rows, steps, held):
+        base, full = 0.0, 0.0
+        for gram in s:
+            p = (seen[gram[-1:]] + 1) / (n + v + 1)
+            base += math.log10(p)
+            for j, mu in enumerate(prior, 2):
+                p = (seen[gram[-j:]] + mu * p) / (context[gram[-j:-1]] + mu)
+            full += math.log10(p)
+        want.append((str(r[0]), h, len(s), sum(seen[g[-1:]] > 0 for g in s), n, round(base, 6), round(full, 6)))
+    got = [(str(g[0]), *g[1:5], round(g[5], 6), round(g[6], 6)) for g in backoff_lm.lm_scores(docs, prior).collect()]
     assert sorted(got) == sorted(want)
-    assert backoff_lm.lm_scores(empty).count() == 0
+    assert backoff_lm.lm_scores(empty, prior).count() == 0
+
+
+def test_automaton_fails_to_shorter_histories():
+    # Two training texts "a b", one held-out text "c b": c is unknown, so b is read in the empty state.
+    codes, lengths = np.array([0, 1, 2, 0, 1, 2, 3, 1, 2]), np.array([3, 3, 3])
+    tokens = np.array([1 << 20, 2 << 20, backoff_lm.END, 4 << 20], dtype=np.uint64)[codes]
+    _, counts, places = backoff_lm._block_keys(tokens, lengths, np.array([False, False, True]), 2)
+    model = backoff_lm.Automaton(codes, lengths, places, counts, 6, 3, (1.0,))
+    weight, state = model.step(np.array([model.start, model.start, 0]), np.array([0, 3, 3]))
+    assert np.allclose(10**weight, [(2 + 0.3) / 3, 0.1 / 3, 0.1]) and state[0] > 0 and state[1] == state[2] == 0
+    assert math.isclose(10 ** model.read(codes, lengths)[2], 0.1 / 3 * 0.3 * ((2 + 0.3) / 3))
 
 
 @pytest.mark.parametrize(
