@@ -83,21 +83,26 @@ def unpack_numbers(blob: bytes) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
-def cuts(keys: np.ndarray, owners: int) -> np.ndarray:
-    """Where each owner's range starts in ascending uint64 keys, with the end at last."""
-    bounds = np.array([(o << 64) // owners for o in range(owners)], dtype=np.uint64)
-    return np.append(np.searchsorted(keys, bounds), len(keys))
+def owner_of(keys: np.ndarray, owners: int) -> np.ndarray:
+    """The owner of each uint64 key: the high word of key * owners, below 2^31 owners."""
+    half, share = np.uint64(32), np.uint64(owners)
+    low = ((keys & np.uint64(0xFFFFFFFF)) * share) >> half
+    return (((keys >> half) * share + low) >> half).astype(np.int64)
+
+
+def cuts(keys: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
+    """The owners that ascending keys have, and where the keys of each start."""
+    return np.unique(owner_of(keys, owners), return_index=True)
 
 
 def requests(block: int, keys: np.ndarray, owners: int, extra: np.ndarray | None = None) -> list[tuple]:
-    """The rows by which one block asks every owner about its ascending, distinct keys."""
-    at, out = cuts(keys, owners), []
-    for owner in range(owners):
-        low, high = at[owner], at[owner + 1]
-        if high > low:
-            rice, blob = encode(keys[low:high])
-            more = b"" if extra is None else pack_numbers(extra[low:high])
-            out.append((owner, block, int(high - low), rice, blob, more))
+    """The rows by which one block asks the owners of its ascending, distinct keys."""
+    present, at = cuts(keys, owners)
+    out = []
+    for owner, low, high in zip(present.tolist(), at.tolist(), [*at[1:].tolist(), len(keys)]):
+        rice, blob = encode(keys[low:high])
+        more = b"" if extra is None else pack_numbers(extra[low:high])
+        out.append((owner, block, high - low, rice, blob, more))
     return out
 
 
@@ -147,10 +152,11 @@ def exchange(
 
 def replies_of(group: pa.Table, keys: np.ndarray, owners: int, bitmap: bool = False) -> np.ndarray:
     """The answers to one block's ascending `keys`."""
-    at = cuts(keys, owners)
+    present, at = cuts(keys, owners)
+    ends = np.append(at[1:], len(keys))
     out = np.zeros(len(keys), dtype=bool if bitmap else np.int64)
-    for owner, blob in zip(group.column("owner").to_pylist(), group.column("reply").to_pylist()):
-        low, high = at[owner], at[owner + 1]
+    answered = np.searchsorted(present, group.column("owner").to_numpy())
+    for low, high, blob in zip(at[answered].tolist(), ends[answered].tolist(), group.column("reply").to_pylist()):
         out[low:high] = np.unpackbits(np.frombuffer(blob, np.uint8))[: high - low] if bitmap else unpack_numbers(blob)
     return out
 

@@ -70,6 +70,20 @@ def test_golomb_round_trip():
         assert (golomb.unpack_numbers(golomb.pack_numbers(keys >> np.uint64(9))) == (keys >> np.uint64(9)).view(np.int64)).all()
 
 
+def test_owners_split_the_keys_in_ranges():
+    rng = np.random.default_rng(4)
+    keys = np.unique(np.append(rng.integers(0, 2**64, 3000, dtype=np.uint64), [np.uint64(0), np.uint64(2**64 - 1)]))
+    for owners in (1, 3, 1000, 2**31 - 1):
+        assert golomb.owner_of(keys, owners).tolist() == [int(k) * owners >> 64 for k in keys]
+        asked = golomb.requests(7, keys, owners, np.arange(len(keys)))
+        assert len({r[0] for r in asked}) == len(asked) <= min(owners, len(keys))
+        assert np.concatenate([golomb.decode(r[2], r[3], r[4]) for r in asked]).tolist() == keys.tolist()
+        rng.shuffle(asked)
+        replies = pa.table({"owner": [r[0] for r in asked], "reply": [r[5] for r in asked]})
+        assert golomb.replies_of(replies, keys, owners).tolist() == list(range(len(keys)))
+    assert golomb.requests(7, keys[:0], 5) == []
+
+
 def test_quality_signals(rows):
     texts = [r[1] for r in rows]
     got = quality_rules.measure(*arrays.buffers(pa.array(texts, pa.string())))
