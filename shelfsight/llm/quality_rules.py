@@ -1,13 +1,17 @@
 """Quality rules whose cutoffs are proven on labelled holdouts.
 
-Each rule rejects a text when a rate is above a cutoff. Per stratum and rule the
-cutoffs are tested from the most lenient to the strictest, on the labelled good
-texts of the stratum: a cutoff passes when, were its false rejection rate above
-the allowed one, so few rejections would have a probability below the allowed
-error (an exact binomial test, the Clopper-Pearson bound). Testing stops at the
-first failure, so the order needs no correction; rules and strata share the error
-by Bonferroni, and rules share the allowed rate. With probability 1 - ERROR, at
-most FALSE_REJECTION of the good texts are rejected in every stratum.
+Each rule rejects a text when a rate is above a cutoff. Per stratum the rules are
+tightened along one path of cutoff vectors, each stricter than the one before in one
+rule. The path is laid by rows outside the holdout: the cutoffs above which most rows
+are labelled bad come first, and those above which bad texts are not expected to be the
+most are left out. The vectors are then tested in that order on the labelled
+good texts of the stratum: one passes when, were its false rejection rate above the
+allowed one, so few rejections by any rule would have a probability below the allowed
+error (an exact binomial test, the Clopper-Pearson bound). Testing stops at the first
+failure, so the order needs no correction and the rules share no allowance. Strata
+share the error by Holm's method: what a stratum whose whole path has passed was given
+goes to the others. With probability 1 - ERROR, at most FALSE_REJECTION of the good
+texts are rejected in every stratum.
 """
 
 from __future__ import annotations
@@ -38,10 +42,12 @@ SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 @dataclass(frozen=True)
 class Risk:
-    """Allowed share of good texts rejected per stratum, and probability of exceeding it."""
+    """Allowed share of good texts rejected per stratum, the probability of exceeding it, and
+    the share of bad texts that is to be expected above a cutoff for it to be tried."""
 
     false_rejection: float = 0.05
     error: float = 0.05
+    least_bad: float = 0.5
     cutoffs: tuple[float, ...] = CUTOFFS
 
 
@@ -134,26 +140,44 @@ def stratum_of(column: str) -> Column:
     return F.when(F.col(column).isNull(), "null").otherwise(F.concat(F.lit("="), F.col(column)))
 
 
-def choose_cutoffs(counts: pd.DataFrame, risk: Risk, tests: int) -> list[float | None]:
-    """Cutoff of each rule for one stratum; None where none is proven.
+def lay_path(tallies: pd.DataFrame, cutoffs: int, least_bad: float) -> list[list[int]]:
+    """Per rule and level, the number of the step from which on a text of that level is rejected.
 
-    `counts` has a row per rule and level: how many good texts have a rate above
-    exactly `level` of the cutoffs.
+    `tallies` has a row per rule and level of the rows outside the holdout: how many have
+    a rate above exactly `level` of the cutoffs, how many of them are labelled bad, and
+    the rows of the holdout, of which only the sum is used. Level 0 is never rejected. A
+    rule is tightened while, at the share of rows that are labelled at all, `least_bad`
+    of the rows above the cutoff are expected to be bad.
     """
-    rate, error = risk.false_rejection / len(RULES), risk.error / tests
-    out: list[float | None] = []
-    for rule in RULES:
-        own = counts[counts["rule"] == rule]
-        at_level = np.zeros(len(risk.cutoffs) + 1, dtype=np.int64)
-        np.add.at(at_level, own["level"].to_numpy(), own["n"].to_numpy())
-        n, chosen = int(at_level.sum()), None
-        for k in range(len(risk.cutoffs) - 1, -1, -1):
-            rejected = int(at_level[k + 1 :].sum())
-            if binomial_tail(rejected, n, rate) > error:
+    rule, level = tallies["rule"].to_numpy(), tallies["level"].to_numpy()
+    rows, bad = np.zeros((2, len(RULES), cutoffs + 1))
+    np.add.at(rows, (rule, level), tallies["n"].to_numpy())
+    np.add.at(bad, (rule, level), tallies["n_bad"].to_numpy())
+    good = float(tallies["n_good"].to_numpy()[rule == 0].sum())
+    labelled = (bad[0].sum() + good) / max(1.0, rows[0].sum() + good)
+    above = lambda x: np.cumsum(x[:, ::-1], axis=1)[:, ::-1]
+    rows, bad = above(rows), above(bad)
+    order = []
+    for k in range(len(RULES)):
+        worst = 1.0
+        for at in range(cutoffs, 0, -1):
+            if bad[k, at] * (1 - labelled) < least_bad * labelled * (rows[k, at] - bad[k, at]):
                 break
-            chosen = risk.cutoffs[k]
-        out.append(chosen)
-    return out
+            worst = min(worst, (bad[k, at] + 1) / (rows[k, at] + 1))
+            order.append((-worst, -at, k))
+    steps = [[cutoffs * len(RULES)] * (cutoffs + 1) for _ in RULES]
+    for number, (_, at, k) in enumerate(sorted(order)):
+        steps[k][-at] = number
+    return steps
+
+
+def proven_steps(rejected: np.ndarray, rate: float, error: float) -> int:
+    """How many steps of a path pass; `rejected` counts good texts by the step that rejects them, last by none."""
+    total, so_far = int(rejected.sum()), np.cumsum(rejected)
+    for step in range(len(rejected) - 1):
+        if binomial_tail(int(so_far[step]), total, rate) > error:
+            return step
+    return len(rejected) - 1
 
 
 def quality_verdicts(
@@ -168,10 +192,10 @@ def quality_verdicts(
 
     `labels` has doc_id and quality (1 good, 0 bad); an id labelled twice is good
     only if always labelled so, null labels and null ids are ignored. The holdout is
-    every labelled good text that passes the base rule, an id once. A null text has
-    no words and so fails the base rule; a null stratum is one of its own. A stratum
-    with too few labels to prove any cutoff rejects nothing beyond the base rule.
-    Repeated rows get equal verdicts. An empty table gives no rows. Other columns
+    every labelled good text that passes the base rule, an id once. A null text has no
+    words and so fails the base rule; a null stratum is one of its own. A stratum with
+    too few good labels to prove any cutoff, or without bad ones to lay a path, rejects
+    nothing beyond the base rule. Repeated rows get equal verdicts. An empty table gives no rows. Other columns
     are not read. Starts Spark jobs.
     """
     signals = measured(docs, id_column, text_column, stratum_column)
@@ -190,37 +214,59 @@ def measured(docs: DataFrame, id_column: str, text_column: str, stratum_column:
 
 def proven_cutoffs(signals: DataFrame, labels: DataFrame, risk: Risk) -> DataFrame:
     """One row per stratum with the cutoff of each rule, null where none is proven."""
-    good = (
+    quality = (
         labels.filter("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").alias("quality"))
-        .filter("quality = 1")
-        .select("doc_id")
     )
     level = lambda rate: F.size(F.filter(F.array(*map(F.lit, risk.cutoffs)), lambda c: rate > c))
-    levels = F.array(*[F.struct(F.lit(r).alias("rule"), level(f()).alias("level")) for r, f in RULES.items()])
-    holdout = (
-        signals.filter(~F.col("base_failed"))
-        .select("doc_id", "stratum", levels.alias("levels"))
-        .join(good, "doc_id")
-        .dropDuplicates(["doc_id"])
-        .select("stratum", F.explode("levels").alias("x"))
-        .groupBy("stratum", "x.rule", "x.level")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    counts = materialize(holdout, "holdout")
-    tests = max(1, counts.select("stratum").distinct().count()) * len(RULES)
-
-    def per_stratum(group: pd.DataFrame) -> pd.DataFrame:
-        found = choose_cutoffs(group, risk, tests)
-        return pd.DataFrame([[group["stratum"].iloc[0], *found]], columns=["stratum", *[f"cut_{r}" for r in RULES]])
-
-    return materialize(
-        counts.groupBy("stratum").applyInPandas(
-            per_stratum, "stratum string, " + ", ".join(f"cut_{r} double" for r in RULES)
-        ),
-        "cutoffs",
+    rated = signals.filter(~F.col("base_failed")).select("doc_id", "stratum", F.array(*[level(f()) for f in RULES.values()]).alias("levels"))
+    labelled = materialize(rated.join(quality, "doc_id"), "labelled")
+
+    def tally(rows: DataFrame, **counted: Column) -> DataFrame:
+        chosen = rows.select("stratum", F.posexplode("levels").alias("rule", "level"), *[c.alias(n) for n, c in counted.items()])
+        return chosen.groupBy("stratum", "rule", "level").agg(*[F.sum(n).alias(n) for n in counted])
+
+    # Rows outside the holdout: all but those of ids labelled good.
+    bad = (F.col("quality") != 1).cast("long")
+    tallies = tally(rated, n=F.lit(1), n_bad=F.lit(0), n_good=F.lit(0)).unionByName(
+        tally(labelled, n=bad - 1, n_bad=bad, n_good=1 - bad)
     )
+    places = len(risk.cutoffs) * len(RULES)
+
+    def lay(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"stratum": group["stratum"].iloc[:1], "steps": [lay_path(group, len(risk.cutoffs), risk.least_bad)]})
+
+    paths = materialize(tallies.groupBy("stratum").applyInPandas(lay, "stratum string, steps array<array<int>>"), "paths")
+    earliest = F.array_min(F.transform("levels", lambda x, rule: F.get(F.get("steps", rule), x))).alias("step")
+    holdout = (
+        labelled.filter("quality = 1").dropDuplicates(["doc_id"]).join(paths, "stratum")
+        .select("stratum", earliest).groupBy("stratum", "step").agg(F.count(F.lit(1)).alias("n"))
+    )
+    counts = materialize(holdout.join(paths, "stratum"), "holdout")
+
+    def prove(tests: int) -> DataFrame:
+        def per_stratum(group: pd.DataFrame) -> pd.DataFrame:
+            rejected = np.zeros(places + 1, dtype=np.int64)
+            np.add.at(rejected, group["step"].to_numpy(), group["n"].to_numpy())
+            passed, found = proven_steps(rejected, risk.false_rejection, risk.error / tests), []
+            for steps in group["steps"].iloc[0]:
+                strict = [c for c, step in zip(risk.cutoffs, list(steps)[1:]) if step < passed]
+                found.append(min(strict) if strict else None)
+            names = ["stratum", "whole", *[f"cut_{r}" for r in RULES]]
+            return pd.DataFrame([[group["stratum"].iloc[0], passed == places, *found]], columns=names)
+
+        cuts = ", ".join(f"cut_{r} double" for r in RULES)
+        return materialize(counts.groupBy("stratum").applyInPandas(per_stratum, f"stratum string, whole boolean, {cuts}"), "cutoffs")
+
+    # Holm: a larger share of the error never takes a step back, so the count of whole paths only grows.
+    strata, whole = counts.select("stratum").distinct().count(), 0
+    while True:
+        proven = prove(max(1, strata - whole))
+        now = proven.filter("whole").count()
+        if now == whole or now == strata:
+            return proven.drop("whole")
+        whole = now
 
 
 def judged(signals: DataFrame, cutoffs: DataFrame, prefix: str = "") -> DataFrame:
@@ -240,7 +286,7 @@ def keep_good(
 ) -> DataFrame:
     """The rows of `docs` that the rules keep, with all their columns.
 
-    A verdict follows from the row and a row of cutoffs, so texts are not shuffled.
+    Repeated rows stay or go together; an empty table stays empty. A verdict follows from the row and a row of cutoffs, so texts are not shuffled.
     """
     cutoffs = proven_cutoffs(measured(docs, id_column, text_column, stratum_column), labels, risk)
     own = docs.withColumn("_q_stratum", stratum_of(stratum_column))

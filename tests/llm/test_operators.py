@@ -110,11 +110,82 @@ def test_quality_cutoffs_hold_on_good_texts(spark):
     assert none.filter("kept").count() == 1550
 
 
+def test_quality_cutoffs_follow_the_proven_path(spark):
+    rng = random.Random(8)
+
+    def text(symbols, shouts):
+        return " ".join(["#a"] * symbols + ["LOUD"] * shouts + [f"w{rng.random()}" for _ in range(100 - symbols - shouts)])
+
+    rows = []
+    for k in range(1600):
+        lang, bad = ("xx", "yy", None)[min(k % 9, 2)], rng.random() < 0.2
+        symbols = rng.choice([4, 9, 30]) if bad and rng.random() < 0.7 else rng.choice([0] * 30 + [1])
+        shouts = rng.choice([5, 20]) if bad else rng.choice([0] * 20 + [1, 2, 9])
+        rows.append((k, text(symbols, shouts), lang, None if rng.random() < 0.4 else int(not bad)))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3], 0) for r in rows], "doc_id long, quality int, toxic int")
+    risk = quality_rules.Risk(cutoffs=(0.005, 0.02, 0.1, 1.0))
+    got = {g.doc_id: g.kept for g in quality_rules.quality_verdicts(docs, labels, risk).collect()}
+
+    names = [*quality_rules.SIGNALS]
+    signals = quality_rules.measure(*arrays.buffers(pa.array([r[1] for r in rows], pa.string())))
+    parts = [("n_symbols", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words")]
+    parts += [("n_upper", "word_chars"), ("n_stutters", "n_words"), ("n_marked", "n_words")]
+    assert {p for pair in parts for p in pair} == set(names)
+    levels = [[sum(signals[a][k] / max(1, signals[b][k]) > c for c in risk.cutoffs) for a, b in parts] for k in range(len(rows))]
+    passing = [k for k in range(len(rows)) if not 100 * signals["n_repeat_words"][k] > 30 * signals["n_words"][k]]
+    paths, hold = {}, {}
+    for lang in ("xx", "yy", None):
+        own = [k for k in passing if rows[k][2] == lang]
+        hold[lang] = [k for k in own if rows[k][3] == 1]
+        outside = [k for k in own if rows[k][3] != 1]
+        rate = sum(rows[k][3] is not None for k in own) / len(own)
+        found = []
+        for rule in range(6):
+            worst = 1.0
+            for at in (4, 3, 2, 1):
+                over = [k for k in outside if levels[k][rule] >= at]
+                bad = sum(rows[k][3] == 0 for k in over)
+                if bad * (1 - rate) < 0.5 * rate * (len(over) - bad):
+                    break
+                worst = min(worst, (bad + 1) / (len(over) + 1))
+                found.append((-worst, -at, rule))
+        paths[lang] = sorted(found)
+
+    def prove(error):
+        cuts, whole = {}, 0
+        for lang, path in paths.items():
+            cut, good = {}, hold[lang]
+            for _, at, rule in path:
+                new = {**cut, rule: -at}
+                if binomial_tail(sum(any(levels[k][r] >= v for r, v in new.items()) for k in good), len(good), 0.05) > error:
+                    break
+                cut = new
+            else:
+                whole += 1
+            cuts[lang] = cut
+        return cuts, whole
+
+    cuts, whole = prove(0.05 / 3)
+    while 0 < whole < 3:
+        cuts, now = prove(0.05 / (3 - whole))
+        if now == whole:
+            break
+        whole = now
+    want = {k: k in passing and not any(levels[k][r] >= v for r, v in cuts[rows[k][2]].items()) for k in range(len(rows))}
+    assert got == want and all(cuts.values()) and 0 < sum(not x for x in want.values()) < 400
+    kept = quality_rules.keep_good(docs, labels, risk)
+    assert {r.doc_id for r in kept.collect()} == {k for k, x in want.items() if x}
+
+
 def test_quality_handles_awkward_rows(spark, docs, empty, rows):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 1), (3, None, 0)], "doc_id long, quality int, toxic int")
     assert quality_rules.quality_verdicts(docs, labels).count() == len(rows)
     assert quality_rules.keep_good(docs, labels).columns == docs.columns
     assert quality_rules.quality_verdicts(empty, labels).count() == 0
+    assert quality_rules.keep_good(empty, labels).count() == 0
+    kept = {r.row: r.kept for r in quality_rules.quality_verdicts(docs.withColumn("doc_id", F.monotonically_increasing_id()), labels).selectExpr("doc_id row", "kept").collect()}
+    assert quality_rules.keep_good(docs, labels.limit(0)).count() == sum(kept.values())
 
 
 def test_exact_groups(docs, empty, rows):
