@@ -2,9 +2,9 @@
 
 Two passes. The base pass finds plain identifiers in the text itself. The second
 runs the text through transducers that emit normalised characters together with
-the source span of each: homoglyphs and full-width forms become ASCII, invisible
-characters vanish, spelled digits become digits, and at/dot disguises become `@`
-and `.`. Identifiers found there are mapped back to source characters and added
+the source span of each: character references are resolved, homoglyphs, full-width forms,
+dashes, spaces and digits of other scripts become ASCII, invisible characters vanish,
+spelled digits become digits, and at/dot disguises become `@` and `.`. Identifiers found there are mapped back to source characters and added
 unless a base span of their kind holds them whole: of a disguise in one part of an
 identifier, the base pattern may have found the rest. Nothing in a base span ever changes.
 """
@@ -12,10 +12,12 @@ identifier, the base pattern may have found the rest. Nothing in a base span eve
 from __future__ import annotations
 
 import hashlib
+import html
 import re
 import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -83,31 +85,48 @@ def plain(text: str) -> list[Span]:
 
 
 # Letters of other scripts that look like ASCII ones.
-HOMOGLYPHS = dict(
-    zip(
-        "АВЕКМНОРСТХаеорсухіјѕԁԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧοανρτυιχκ",
-        "ABEKMHOPCTXaeopcyxijsdqwABEZHIKMNOPTYXoavptuixk",
-    )
-)
-INVISIBLE = "​‌‍⁠﻿­"
+LOOKALIKES = """
+Cyrillic: АA ВB ЕE КK МM НH ОO РP СC ТT ХX ЅS ІI ЈJ ҮY ԌG ԚQ ԜW ѴV Ԁd Ӏl ЬB ЗE
+Cyrillic: аa вb еe кk мm нh оo рp сc тt хx уy ѕs іi јj үy ԛq ԝw ѵv ԁd ӏl ьb һh пn гr
+Greek: ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ͿJ
+Greek: οo αa νv ρp τt υu ιi χx κk γy σo ηn ωw εe ϳj
+Armenian: ՍU ՏS ՕO ԼL ցg հh ոn ռn օo սu զq յj ԝw
+Cherokee: ᎠD ᎡR ᎢT ᎪA ᎫJ ᎬE ᎳW ᎷM ᎻH ᏀG ᏃZ ᏙV ᏚS ᏞL ᏟC ᏢP ᏦK ᏴB
+Latin: ɑa ɡg ıi ɩi ʋv
+Signs: −- ⁄/ 。. ․.
+"""
+HOMOGLYPHS = {pair[0]: pair[1] for pair in LOOKALIKES.split() if len(pair) == 2}
 # Spelled digits.
 DIGIT_WORDS = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _SPELLED = "|".join([*DIGIT_WORDS, "oh"])
 _AT = r"[\[({<]\s*at\s*[\])}>]"
 _DOT = r"[\[({<]\s*(?:dot|\.)\s*[\])}>]"
 # What makes the second pass worth its time; anything it could change matches here. One
-# alternative per rewrite: brackets, a bare dot (a bare `at` needs either), two spelled
-# digits, one beside a digit or dot as in `_beside_digit`, plus before a digit, lookalikes.
+# alternative per rewrite: references, brackets, a bare dot, a bare `at` before either or
+# before a domain, two spelled digits, one beside a digit or dot as in `_beside_digit`, plus before a digit, lookalikes.
 _TRIGGER = re.compile(
-    rf"(?i)[\[({{<]\s*(?:at|dot|@|\.)\s*[\])}}>]|\bdot\b|(?:\b(?:{_SPELLED})\b[\s,.-]*+){{2}}|"
+    rf"(?i)&\#?[a-z0-9]{{1,32}};|\bat\s+[a-z0-9-]+\.[a-z0-9]|[\[({{<]\s*(?:at|dot|@|\.)\s*[\])}}>]|\bdot\b|(?:\b(?:{_SPELLED})\b[\s,.-]*+){{2}}|"
     rf"[0-9.][ -]?\n?\b(?:{_SPELLED})\b|\b(?:{_SPELLED})\b[ -]?[0-9.]|"
     rf"\bplus\s+(?:[0-9]|(?:{_SPELLED})\b)|[0-9][oOlI|]|[oOlI|][0-9]"
 )
-_DISGUISED_AT = re.compile(rf"(?i)\s*(?:{_AT}|[\[({{<]\s*@\s*[\])}}>])\s*")
-_DISGUISED_DOT = re.compile(rf"(?i)\s*{_DOT}\s*|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9])")
+_DISGUISED_AT = re.compile(rf"(?i)(?:(?<!\s)\s++)?(?:{_AT}|[\[({{<]\s*@\s*[\])}}>])\s*")
+_DISGUISED_DOT = re.compile(rf"(?i)(?:(?<!\s)\s++)?{_DOT}\s*|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9])")
 # A bare word `at` counts only between a word and a label that a disguised dot follows.
 _BARE_AT = re.compile(rf"(?i)(?<=[a-z0-9])\s+at\s+(?=[a-z0-9-]+(?:\s*{_DOT}\s*|\s+dot\s+)[a-z0-9-]+)")
+# Before a plain domain a bare `at` counts where the word before it can only be a local part:
+# it holds a mark or digit, follows a cue or colon, or the line holds nothing else.
+_CUE = r"\b(?:e-?mail|mail|contact|write|reach|address)(?:ed|ing)?\b(?:\s+(?:is|to|me|us|at))*+(?:\s*+:)?\s*+|[:<(]\s*+"
+# Words that stand before `at` in plain prose.
+_PROSE = "look looking see seen visit find found is are was be us me it them here there now only online available more and or not out up"
+_AT_DOMAIN = re.compile(
+    rf"(?im)(?:(?P<cue>{_CUE})|(?P<line>^[ \t]*+))?(?<![{_LOCAL}])(?P<local>[a-z0-9][{_LOCAL}]*+)"
+    r"(?P<at>\s+at\s+)(?=[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,24}(?![a-z0-9-]|\.[a-z0-9])(?P<alone>[ .,;!?)>]*$)?)"
+)
+_REFERENCE = re.compile(r"(?i)&\#?[a-z0-9]{1,32};")
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]")
 _SPELLED_RUN = re.compile(rf"(?i)\b(?:{_SPELLED})\b(?:[\s,-]+(?:{_SPELLED})\b)*")
+#: A run that also goes on after a full stop; taken whole only where its digits then fit.
+_SPELLED_LONG = re.compile(rf"(?i)(?P<plus>\bplus\s+|\+\s*)?\b(?:{_SPELLED})\b(?:[\s,.-]+(?:{_SPELLED})\b)*")
 _SPELLED_WORD = re.compile(rf"(?i)\b(?:{_SPELLED})\b")
 _LOOKALIKE_RUN = re.compile(r"[0-9oOlI|]*[0-9][0-9oOlI|]*")
 _PLUS_WORD = re.compile(rf"(?i)\bplus\s+(?=[0-9]|(?:{_SPELLED})\b)")
@@ -142,31 +161,56 @@ class Transduced:
         return int(self.start[a]), int(self.end[a:b].max())
 
 
-def _letters(t: Transduced) -> None:
+@lru_cache(maxsize=1 << 16)
+def folded(c: str) -> str | None:
+    """What stands for a character beyond ASCII; None where nothing does."""
+    if c in HOMOGLYPHS:
+        return HOMOGLYPHS[c]
+    kind, name = unicodedata.category(c), unicodedata.name(c, "")
+    if kind in ("Cf", "Zs", "Pd"):
+        return {"Cf": "", "Zs": " ", "Pd": "-"}[kind]
+    if kind == "Nd":
+        return str(unicodedata.decimal(c))
+    if re.fullmatch("LATIN LETTER SMALL CAPITAL [A-Z]", name):
+        return name[-1].lower()
+    form = unicodedata.normalize("NFKC", c)
+    return form if len(form) == 1 and " " < form < "\x80" else None
+
+
+def _references(t: Transduced) -> None:
     edits = []
-    for k, c in enumerate(t.text):
-        if c < "\x80":
-            continue
-        if c in INVISIBLE:
-            edits.append((k, k + 1, ""))
-        elif c in HOMOGLYPHS:
-            edits.append((k, k + 1, HOMOGLYPHS[c]))
-        else:
-            plain_form = unicodedata.normalize("NFKC", c)
-            if len(plain_form) == 1 and plain_form < "\x80" and plain_form > " ":
-                edits.append((k, k + 1, plain_form))
+    for m in _REFERENCE.finditer(t.text):
+        char = html.unescape(m[0])
+        if len(char) == 1:
+            edits.append((*m.span(), char))
     t.rewrite(edits)
 
 
+def _letters(t: Transduced) -> None:
+    found = [(*m.span(), folded(m[0])) for m in _NOT_ASCII.finditer(t.text)]
+    t.rewrite([edit for edit in found if edit[2] is not None])
+
+
+def _spelled_runs(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of spelled digits; one goes on after a full stop where that makes a card or phone number."""
+    for long in _SPELLED_LONG.finditer(text):
+        runs = [m.span() for m in _SPELLED_RUN.finditer(text, long.end("plus") if long["plus"] else long.start(), long.end())]
+        if len(runs) > 1:
+            digits = "".join(DIGIT_WORDS.get(w[0].lower(), "0") for w in _SPELLED_WORD.finditer(long[0]))
+            if (16 <= len(digits) <= 19 and luhn(digits)) or (long["plus"] and 8 <= len(digits) <= 15):
+                runs = [(runs[0][0], runs[-1][1])]
+        yield from runs
+
+
 def _numbers(t: Transduced) -> None:
     edits = []
-    for m in _SPELLED_RUN.finditer(t.text):
-        words = list(_SPELLED_WORD.finditer(m[0]))
-        if len(words) > 1 or _beside_digit(t.text, m.start(), m.end()):
+    for start, end in _spelled_runs(t.text):
+        words = list(_SPELLED_WORD.finditer(t.text, start, end))
+        if len(words) > 1 or _beside_digit(t.text, start, end):
             for k, w in enumerate(words):
                 # A run loses its separators, so that digits stand side by side.
                 stop = words[k + 1].start() if k + 1 < len(words) else w.end()
-                edits.append((m.start() + w.start(), m.start() + stop, DIGIT_WORDS.get(w[0].lower(), "0")))
+                edits.append((w.start(), stop, DIGIT_WORDS.get(w[0].lower(), "0")))
     t.rewrite(edits)
     edits = []
     for m in _LOOKALIKE_RUN.finditer(t.text):
@@ -186,24 +230,30 @@ def _marks(t: Transduced) -> None:
     t.rewrite([(*m.span(), "@") for m in _DISGUISED_AT.finditer(t.text)])
     t.rewrite([(*m.span(), "@") for m in _BARE_AT.finditer(t.text)])
     t.rewrite([(*m.span(), ".") for m in _DISGUISED_DOT.finditer(t.text)])
+    t.rewrite([(*m.span("at"), "@") for m in _AT_DOMAIN.finditer(t.text) if _is_local(m)])
+
+
+def _is_local(m: re.Match) -> bool:
+    if m["local"].lower() in _PROSE.split():
+        return False
+    marked = re.search(r"[0-9]|[A-Za-z][._%+-][A-Za-z]", m["local"]) is not None
+    return marked or m["cue"] is not None or (m["line"] is not None and m["alone"] is not None)
 
 
-_SUSPICIOUS = set(HOMOGLYPHS) | set(INVISIBLE)
+STEPS = (_references, _letters, _numbers, _marks)
 
 
 def suspicious(text: str) -> bool:
     """Could a transducer change this text in a way that shows an identifier?"""
-    if not text.isascii():
-        for c in set(text):
-            if c >= "\x80" and (c in _SUSPICIOUS or unicodedata.normalize("NFKC", c) < "\x80"):
-                return True
+    if not text.isascii() and any(c >= "\x80" and folded(c) is not None for c in set(text)):
+        return True
     return _TRIGGER.search(text) is not None
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Identifiers that the normalised text shows, as source spans that no base span of their kind holds."""
     t = Transduced(text)
-    for step in (_letters, _numbers, _marks):
+    for step in STEPS:
         step(t)
     if t.text == text:
         return []
