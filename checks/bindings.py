@@ -9,6 +9,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfsight.operators.running import spread_keys
 
 BASE = (
     "region nation customer supplier part orders lineitem events documents embeddings"
@@ -139,6 +142,10 @@ BINDINGS = {
     """,
 }
 
+# The key by which a binding's base table is dealt out once, by the expressions of its SQL:
+# the binding's own groups and all that works per key on top of it then need no other shuffle.
+KEYED = {"mart": ("lineitem", ("'S' || CAST(l_suppkey AS STRING)", SITE_OF_LINE))}
+
 _NAME = re.compile(r"\{(\w+)\}")
 
 
@@ -147,7 +154,12 @@ def bind(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in BASE:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     needed = set(_NAME.findall(BINDINGS[name]))
-    return spark.sql(BINDINGS[name], **{n: bind(spark, sf_dir, n) for n in needed})
+    frames = {n: bind(spark, sf_dir, n) for n in needed}
+    if name in KEYED:
+        base, key = KEYED[name]
+        # Counting rows reads only the footers of the files.
+        frames[base] = spread_keys(frames[base], [F.expr(k) for k in key], frames[base].count())
+    return spark.sql(BINDINGS[name], **frames)
 
 
 def spread(df: DataFrame) -> DataFrame:

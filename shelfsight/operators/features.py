@@ -12,6 +12,7 @@ from shelfsight.functions.columns import capped_share, flag, number
 from shelfsight.operators.running import group_sizes, running_sums
 from shelfsight.schemas import ensure_columns
 from shelfsight.settings import HOT_ROWS, MIN_PERIOD_SHARE, ROLLING_WINDOWS
+from shelfsight.sources.scratch import materialize
 
 LISTING_COLUMNS = {
     "title_length": "double",
@@ -116,6 +117,9 @@ def build_features(
     order = [F.col("dt").asc_nulls_first()]
     if not daily:
         order += [F.col(c).asc_nulls_first() for c in rows.columns if c not in (*key, "dt")]
+    if not daily:
+        # Measuring, cutting and numbering each pass over these few columns: write them once.
+        rows = materialize(rows, "panel")
     sizes = None if daily else group_sizes(rows, key)
     blocked = sizes is not None and sizes.largest > hot_rows
     if not blocked:

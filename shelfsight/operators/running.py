@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfsight.functions.columns import null_safe_join
-from shelfsight.settings import HOT_ROWS
+from shelfsight.settings import FEW_SLICES, HOT_ROWS, SLICE_ROWS, TASK_ROWS
 from shelfsight.sources.scratch import materialize
 
 _SLICE = "_slice"
@@ -39,17 +39,31 @@ def group_sizes(df: DataFrame, by: Sequence[str]) -> GroupSizes:
     return GroupSizes(int(found["largest"] or 0), int(found["total"] or 0))
 
 
+def spread_keys(df: DataFrame, by: Sequence[str | Column], rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Deal the rows out by key to so many tasks that each gets about `task_rows` of `rows`.
+
+    A given number of partitions is not merged again by adaptive execution, so the memory
+    of a task stays the same as the table grows. A table for which the session's cores are
+    tasks enough is left as it is.
+    """
+    tasks = math.ceil(rows / task_rows)
+    return df.repartition(tasks, *by) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def range_slices(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], sizes: GroupSizes, hot_rows: int
 ) -> DataFrame:
     """Cut the rows into ranges of (by, order) and number them in `_slice`.
 
-    There are as many slices as keep one at about `hot_rows` rows, whatever the
-    session default. The table is written: sampling may place the cuts differently
-    when a plan runs again, and all later passes must see the same ones.
+    There are as many slices as keep one at about `hot_rows` rows, whatever the session
+    default; beyond FEW_SLICES a slice has SLICE_ROWS rows at least, else a small
+    `hot_rows` would make a task of every few rows. The table is written: sampling may
+    place the cuts differently when a plan runs again, and all later passes must see the
+    same ones.
     """
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(math.ceil(sizes.total / hot_rows), default)
+    enough = max(math.ceil(sizes.total / SLICE_ROWS), FEW_SLICES)
+    slices = max(min(math.ceil(sizes.total / hot_rows), enough), default)
     ranged = df.repartitionByRange(slices, *[F.col(c) for c in by], *order)
     return materialize(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
@@ -69,7 +83,9 @@ def running_sums(
     is the whole table, which is sliced at any size.
     """
     by = list(by)
-    sizes = sizes or group_sizes(df, by)
+    if sizes is None:
+        sizes = group_sizes(df, by)
+        df = spread_keys(df, by, sizes.total) if by and sizes.largest <= hot_rows else df
     if by and sizes.largest <= hot_rows:
         window = Window.partitionBy(*by).orderBy(*order).rowsBetween(*_UP_TO_HERE)
         return df.withColumns({name: F.sum(expr).over(window) for name, expr in sums.items()})
@@ -115,7 +131,9 @@ def rank_values(
     by = list(by)
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     known = F.col(value).isNotNull()
-    sizes = sizes or group_sizes(df, by)
+    if sizes is None:
+        sizes = group_sizes(df, by)
+        df = spread_keys(df, by, sizes.total) if by and sizes.largest <= hot_rows else df
     if sizes.largest <= hot_rows:
         window = Window.partitionBy(*by).orderBy(order)
         wanted = {}

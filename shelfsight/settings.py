@@ -20,6 +20,12 @@ MIN_PERIOD_SHARE = 0.7
 # Groups up to this many rows are sorted by one task; larger ones are cut into
 # range slices (see operators/running.py).
 HOT_ROWS = 4_000_000
+# Rows of a table that one task sorts or aggregates by key. Adaptive execution merges
+# partitions by their compressed size, which says little of the memory they need.
+TASK_ROWS = 250_000
+# Slices of hot groups are not cut smaller than this many rows, where there are more than a few slices.
+SLICE_ROWS = 100_000
+FEW_SLICES = 200
 
 # Days before and after a label's day, and the splits in time order.
 LABEL_SPAN = (28, 30)

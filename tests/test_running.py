@@ -111,3 +111,15 @@ def test_null_sums_agree_in_both_paths(spark):
     plain = running_sums(df, ["g"], [F.col("id")], sums)
     sliced = running_sums(df, ["g"], [F.col("id")], sums, hot_rows=5)
     assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, sliced.select(plain.columns).collect()), key=str)
+
+
+def test_many_hot_groups_do_not_make_a_slice_of_every_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(running, "SLICE_ROWS", 100)
+    monkeypatch.setattr(running, "FEW_SLICES", 20)
+    rows = spark.range(5000).select((F.col("id") % 50).alias("g"), "id")
+    sizes = running.group_sizes(rows, ["g"])
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sliced = running.range_slices(rows, ["g"], [F.col("id").asc()], sizes, hot_rows=2)
+    assert sliced.select("_slice").distinct().count() <= max(50, default)
+    summed = running.running_sums(rows, ["g"], [F.col("id").asc()], {"n": F.lit(1)}, hot_rows=2)
+    assert summed.where("n != floor(id / 50) + 1").count() == 0 and summed.count() == 5000
