@@ -50,6 +50,15 @@ def spread_keys(df: DataFrame, by: Sequence[str | Column], rows: int, task_rows:
     return df.repartition(tasks, *by) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
 
 
+def range_groups(df: DataFrame, by: Sequence[str], rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """As `spread_keys`, by ranges of whole groups: few large groups do not fall together by their hash.
+
+    The cuts are sampled, so `df` should be a written table.
+    """
+    tasks = math.ceil(rows / task_rows)
+    return df.repartitionByRange(tasks, *by) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def range_slices(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], sizes: GroupSizes, hot_rows: int
 ) -> DataFrame:

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfsight.operators.running import add_size, group_sizes, rank_values, running_sums, tile_of
+from shelfsight.operators.running import add_size, group_sizes, range_groups, rank_values, running_sums, tile_of
 from shelfsight.settings import HOT_ROWS
+from shelfsight.sources.scratch import materialize
 
 DAY_SITE = ["snapshot_date", "site"]
 
@@ -127,7 +128,11 @@ def pred_rank_daily(
     rows = predictions.select(
         "snapshot_date", "asin", "site", "category", "predicted_revenue", "predicted_units"
     )
+    # Sizes, ranks and counts each pass over these few columns: write them once.
+    rows = materialize(rows, "predictions")
     sizes = group_sizes(rows, DAY_SITE)
+    if sizes.largest <= hot_rows:
+        rows = range_groups(rows, DAY_SITE, sizes.total)
     for name in ("revenue", "units"):
         value = f"predicted_{name}"
         rows = rank_values(

@@ -27,3 +27,13 @@ def test_the_mart_is_dealt_out_once_for_its_groups_and_what_follows(spark, tmp_p
     assert perkey._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert perkey.rdd.getNumPartitions() == 100
     assert mart.orderBy("asin", "site", "dt").collect() == plain
+
+
+def test_large_groups_are_dealt_out_whole_and_evenly(spark):
+    rows = spark.range(6400).select((F.col("id") % 64).alias("k"), "id")
+    dealt = running.range_groups(rows, ["k"], 6400, task_rows=400)
+    held = dealt.groupBy("k", F.spark_partition_id().alias("p")).count().collect()
+    per_task = {}
+    for r in held:
+        per_task[r["p"]] = per_task.get(r["p"], 0) + r["count"]
+    assert len(held) == 64 and max(per_task.values()) <= 1000
