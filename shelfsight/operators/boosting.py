@@ -15,7 +15,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfsight.sources.scratch import materialize
+from shelfsight.sources.scratch import materialize, materialize_for_loop
 
 #: Rounds after which the scores are written, so that a lost executor costs at most so many.
 WRITE_EVERY = 10
@@ -64,40 +64,29 @@ def ndcg(rows: DataFrame, best: DataFrame, top: int) -> float:
 def lambda_gradients(rows: DataFrame, best: DataFrame, top: int) -> DataFrame:
     """Add `_grad` and `_hess`, the sums over a row's pairs of NDCG change times the logistic slope.
 
-    `rows` holds _group, _row, _gain, _score. A row's own pairs come from the group's first
-    places, joined as one array of at most `top` entries; what rows behind them add to the
-    first places' gradients is summed before it is shuffled.
+    `rows` holds _group, _row (unique), _gain, _score. Every row meets its group's first
+    places, joined as one array of at most `top` entries. A pair is computed once and gives
+    a part to the row and, where the row is behind the first places, to the other one; the
+    parts are summed before they are shuffled.
     """
     entry = F.struct("place", "_row", "_gain", "_score")
     leaders = first_places(rows, F.col("_score"), top, "_gain", "_score")
     leaders = leaders.groupBy("_group").agg(F.sort_array(F.collect_list(entry)).alias("_top"))
     leaders = leaders.join(best.where("best > 0"), "_group")
-    own = F.element_at(F.filter("_top", lambda t: t["_row"] == F.col("_row")), 1)["place"]
-    joined = rows.join(leaders, "_group").withColumn("_place", F.when(F.exists("_top", lambda t: t["_row"] == F.col("_row")), own))
+    joined = rows.select("_group", "_row", "_gain", "_score").join(leaders, "_group")
+    # The array is in order of place. Its pairs are exploded: array functions are interpreted.
+    place = F.array_position(F.col("_top")["_row"], F.col("_row"))
+    pairs = joined.withColumn("_place", F.nullif(place, F.lit(0))).withColumn("t", F.explode("_top")).drop("_top")
     mine = F.coalesce(_discount(F.col("_place")), F.lit(0.0))
-
-    def pair(t: Column) -> Column:
-        ahead = F.signum(F.col("_gain") - t["_gain"])
-        change = F.abs(F.col("_gain") - t["_gain"]) * F.abs(mine - _discount(t["place"])) / F.col("best")
-        slope = 1 / (1 + F.exp(ahead * (F.col("_score") - t["_score"])))
-        return F.struct((ahead * slope * change).alias("g"), (slope * (1 - slope) * change).alias("h"))
-
-    paired = joined.withColumn("_pairs", F.transform("_top", pair)).drop("_top", "best")
-
-    def total(part: str) -> Column:
-        return F.aggregate("_pairs", F.lit(0.0), lambda a, p: a + p[part])
-
-    behind = paired.where("_place is null").select("_group", F.posexplode("_pairs").alias("_at", "p"))
-    back = behind.groupBy("_group", (F.col("_at") + 1).alias("_place")).agg(
-        F.sum(-F.col("p.g")).alias("_g"), F.sum("p.h").alias("_h")
-    )
-    direct = paired.withColumns({"_grad": total("g"), "_hess": total("h")}).drop("_pairs")
-    none = F.lit(0.0)
-    return (
-        direct.join(back, ["_group", "_place"], "left")
-        .withColumns({"_grad": F.col("_grad") + F.coalesce("_g", none), "_hess": F.col("_hess") + F.coalesce("_h", none)})
-        .drop("_g", "_h", "_place")
-    )
+    ahead = F.signum(F.col("_gain") - F.col("t._gain"))
+    change = F.abs(F.col("_gain") - F.col("t._gain")) * F.abs(mine - _discount(F.col("t.place"))) / F.col("best")
+    slope = 1 / (1 + F.exp(ahead * (F.col("_score") - F.col("t._score"))))
+    pairs = pairs.withColumns({"_g": ahead * slope * change, "_h": slope * (1 - slope) * change})
+    own = F.struct(F.col("_row").alias("_row"), F.col("_g").alias("g"), F.col("_h").alias("h"))
+    back = F.struct(F.col("t._row").alias("_row"), (-F.col("_g")).alias("g"), F.col("_h").alias("h"))
+    parts = pairs.select("_group", F.explode(F.array(own, F.when(F.col("_place").isNull(), back))).alias("p")).where("p is not null")
+    sums = parts.groupBy("_group", F.col("p._row").alias("_row")).agg(F.sum("p.g").alias("_grad"), F.sum("p.h").alias("_hess"))
+    return rows.join(sums, ["_group", "_row"])
 
 
 def ensemble(trees: list[DecisionTreeRegressionModel], step: float, features: str, width: int) -> GBTRegressionModel:
@@ -132,7 +121,8 @@ def fit_listwise(
         key.alias("_group"), F.monotonically_increasing_id().alias("_row"), gain.alias("_gain"), F.col(held).alias("_held"),
         scale.alias("_scale"), F.col(features).alias("_x"),
     )
-    state = materialize(base.withColumn("_score", F.lit(0.0)), "boost")
+    # A round is some twenty short jobs: all of them run on as few tasks as the rows need.
+    state = materialize_for_loop(base.withColumn("_score", F.lit(0.0)), "boost")
     width = state.where("_x is not null").select("_x").first()
     width = len(width["_x"]) if width else 0
     best = materialize(ideal(state.where("not _held"), s.top), "ideal")
@@ -144,9 +134,10 @@ def fit_listwise(
     judged = not best_held.isEmpty()
     trees: list[DecisionTreeRegressionModel] = []
     kept, highest, cached = 0, -1.0, None
+    scored, written = state, 0
     for number in range(s.maxIter):
         drawn = F.pmod(F.xxhash64("_row", F.lit(s.seed), F.lit(number)), F.lit(1 << 20)) < s.subsamplingRate * (1 << 20)
-        sloped = lambda_gradients(state.where("not _held"), best, s.top).where(drawn & (F.col("_hess") * F.col("_scale") > 1e-12))
+        sloped = lambda_gradients(scored.where("not _held"), best, s.top).where(drawn & (F.col("_hess") * F.col("_scale") > 1e-12))
         steps = sloped.select("_x", (F.col("_grad") / F.col("_hess")).alias("_step"), (F.col("_hess") * F.col("_scale")).alias("_weight"))
         steps = steps.persist()
         if steps.isEmpty():
@@ -155,15 +146,18 @@ def fit_listwise(
         tree = learner.fit(steps)
         steps.unpersist()
         trees.append(tree)
-        moved = tree.transform(state).withColumn("_score", F.col("_score") + s.stepSize * F.col("_tree")).drop("_tree")
-        if len(trees) % WRITE_EVERY == 0:
-            moved, fresh = materialize(moved, "boost"), None
+        # One model of the trees since the last writing keeps the plan as short as the first round's.
+        recent = ensemble(trees[written:], s.stepSize, "_x", width).setPredictionCol("_tree")
+        moved = recent.transform(state).withColumn("_score", F.col("_score") + F.col("_tree")).drop("_tree")
+        if len(trees) - written == WRITE_EVERY:
+            state, fresh, written = materialize(moved, "boost"), None, len(trees)
+            moved = state
         else:
             moved = fresh = moved.persist()
         reached = ndcg(moved.where("_held"), best_held, s.judged) if judged else float(len(trees))
         if cached is not None:
             cached.unpersist()
-        state, cached = moved, fresh
+        scored, cached = moved, fresh
         if reached > highest:
             kept, highest = len(trees), reached
         elif len(trees) - kept >= s.patience:

@@ -23,6 +23,8 @@ HOT_ROWS = 4_000_000
 # Rows of a table that one task sorts or aggregates by key. Adaptive execution merges
 # partitions by their compressed size, which says little of the memory they need.
 TASK_ROWS = 250_000
+# Rows of one task in a loop of many short jobs over the same rows.
+LOOP_ROWS = 20_000
 # Slices of hot groups are not cut smaller than this many rows, where there are more than a few slices.
 SLICE_ROWS = 100_000
 FEW_SLICES = 200

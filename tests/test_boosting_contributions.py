@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfsight.operators import boosting, contributions, training
 from shelfsight.operators.inference import CONTRIBUTIONS, PipelineScorer, score_batch
 from shelfsight.settings import ScoringSettings
+from shelfsight.sources import scratch
 from tests.test_text_splits_training import learnable
 
 
@@ -86,6 +87,50 @@ def test_listwise_stops_early_and_saves(spark, tmp_path):
         boosting.fit_listwise(rows.withColumn("relevance", F.lit(1.0)), "query", "relevance", "is_validation", "v")
 
 
+def test_rounds_run_on_as_few_tasks_as_the_rows_need(spark, monkeypatch):
+    rows = lists(spark, 8, 20).withColumn("is_validation", F.coalesce(F.col("query").isin("q1", "q2"), F.lit(False)))
+    rows = training.VectorAssembler(inputCols=["a", "x"], outputCol="v").transform(rows)
+    seen, judge = [], boosting.ndcg
+
+    def watched(held, *rest):
+        seen.append((held.sparkSession.conf.get("spark.sql.shuffle.partitions"), held.rdd.getNumPartitions()))
+        return judge(held, *rest)
+
+    monkeypatch.setattr(boosting, "ndcg", watched)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = boosting.Boosting(maxIter=boosting.WRITE_EVERY + 2, minInstancesPerNode=2)
+    boosting.fit_listwise(rows, "query", "relevance", "is_validation", "v", settings)
+    assert seen == [("1", 1)] * len(seen) and len(seen) == boosting.WRITE_EVERY + 2
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before != "1"
+
+
+def test_scores_of_a_round_are_those_of_all_trees(spark, monkeypatch):
+    rows = lists(spark, 8, 20).withColumn("is_validation", F.coalesce(F.col("query").isin("q1", "q2"), F.lit(False)))
+    rows = training.VectorAssembler(inputCols=["a", "x"], outputCol="v").transform(rows)
+    seen = []
+
+    def rising(held, *rest):  # every round is the best so far, so all trees are kept
+        seen.append(sorted(r["_score"] for r in held.select("_score").collect()))
+        return float(len(seen))
+
+    monkeypatch.setattr(boosting, "ndcg", rising)
+    monkeypatch.setattr(boosting, "WRITE_EVERY", 2)
+    model = boosting.fit_listwise(rows, "query", "relevance", "is_validation", "v", boosting.Boosting(maxIter=5, minInstancesPerNode=2))
+    want = sorted(r["prediction"] for r in model.transform(rows.where("is_validation")).collect())
+    assert len(model.treeWeights) == len(seen) == 5 and seen[-1] == pytest.approx(want, abs=1e-12)
+
+
+def test_dealt_out_rows_are_all_there_and_limit_tasks(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "LOOP_ROWS", 10)
+    monkeypatch.setattr(scratch, "TASK_ROWS", 1000)
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for n, tasks in ((0, 1), (20, min(2, most)), (10 * most + 500, most)):
+        out = scratch.materialize_for_loop(spark.range(n), "loop")
+        assert out.sparkSession.conf.get("spark.sql.shuffle.partitions") == str(tasks)
+        assert out.sparkSession.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+        assert sorted(r["id"] for r in out.collect()) == list(range(n))
+
+
 @pytest.mark.parametrize("kind", ["gbt", "forest", "linear"])
 @pytest.mark.parametrize("task", ["regression", "classes"])
 def test_contributions_and_base_sum_to_the_score(spark, kind, task):
