@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any, NamedTuple
 
@@ -24,7 +25,7 @@ from shelfsight.operators.metrics import (
 from shelfsight.operators.search import Range, adaptive_search
 from shelfsight.operators.splits import group_folds, group_holdout, random_holdout, stratified_holdout
 from shelfsight.schemas import first_present, numeric_columns
-from shelfsight.sources.scratch import materialize
+from shelfsight.sources.scratch import materialize, materialize_for_loop
 
 # Column names looked for when none is given, and the cut-offs reported.
 GROUP_CANDIDATES = ("group_id", "query", "query_id", "asin", "item_group")
@@ -269,7 +270,7 @@ def prepared_folds(rows: DataFrame, features: list[str], folds: int) -> list[Dat
     for fold in range(folds):
         held = rows.withColumn(HELD, F.col("fold") == fold)
         assembly = Pipeline(stages=_assembly(features)).fit(held.where(~F.col(HELD)))
-        out.append(materialize(assembly.transform(held).drop(*[f"_filled_{c}" for c in features]), "fold"))
+        out.append(materialize_for_loop(assembly.transform(held).drop(*[f"_filled_{c}" for c in features]), "fold"))
     return out
 
 
@@ -297,14 +298,18 @@ def tune_ranker(
     def learner(setting: dict[str, Any]) -> GBTRegressor:
         return GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed, **(options | setting))
 
-    def score(setting: dict[str, Any]) -> float:
-        found = []
-        for part in prepared:
-            model = learner(setting).fit(part.where(~F.col(HELD)))
-            found.append(_mean_ndcg(model.transform(part.where(F.col(HELD))), group, label, keys))
-        return sum(found) / len(found)
+    def fold_score(setting: dict[str, Any], part: DataFrame) -> float:
+        model = learner(setting).fit(part.where(~F.col(HELD)))
+        return _mean_ndcg(model.transform(part.where(F.col(HELD))), group, label, keys)
 
-    tried = adaptive_search(space or SEARCH_SPACE, score, trials, seed, parallelism)
+    # The folds of a trial do not wait for each other either: a fit is a chain of short jobs.
+    with ThreadPoolExecutor(max_workers=max(parallelism, 1) * folds) as pool:
+
+        def score(setting: dict[str, Any]) -> float:
+            found = list(pool.map(lambda part: fold_score(setting, part), prepared))
+            return sum(found) / len(found)
+
+        tried = adaptive_search(space or SEARCH_SPACE, score, trials, seed, parallelism)
     best = max(tried, key=lambda t: t[1])[0]
     table = [(i, m, {n: float(v) for n, v in setting.items()}) for i, (setting, m) in enumerate(tried)]
     trials_table = df.sparkSession.createDataFrame(table, "trial int, ndcg double, setting map<string,double>")

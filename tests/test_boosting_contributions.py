@@ -131,6 +131,12 @@ def test_dealt_out_rows_are_all_there_and_limit_tasks(spark, monkeypatch):
         assert sorted(r["id"] for r in out.collect()) == list(range(n))
 
 
+def test_folds_are_read_by_as_few_tasks_as_the_rows_need(spark):
+    rows = learnable(spark).withColumn("fold", F.col("id").cast("long") % 3)
+    for part in training.prepared_folds(training._as_double(rows, ["x", "label"]), ["x"], 3):
+        assert part.sparkSession.conf.get("spark.sql.shuffle.partitions") == "1" and part.count() == rows.count()
+
+
 @pytest.mark.parametrize("kind", ["gbt", "forest", "linear"])
 @pytest.mark.parametrize("task", ["regression", "classes"])
 def test_contributions_and_base_sum_to_the_score(spark, kind, task):
