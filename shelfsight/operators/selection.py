@@ -45,15 +45,16 @@ def group_medians(df: DataFrame, by: Sequence[str], columns: Sequence[str], gath
         if inside >= before:
             break
     joined = _beside(df.select(*by, *columns), brackets.drop(*[f"_n_{c}" for c in columns]), by)
-    parts = []
-    for c in columns:
-        value, lo, hi = F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
-        parts += [
-            F.count_if(value <= lo).alias(f"_low_{c}"),
-            F.collect_list(F.when((value > lo) & (value < hi), value)).alias(f"_in_{c}"),
-        ]
-    counted = _beside(joined.groupBy(*by).agg(*parts), brackets, by)
-    return counted.select(*by, *[_middle(c).alias(c) for c in columns])
+    within = {c: (F.col(c) > F.col(f"_lo_{c}")) & (F.col(c) < F.col(f"_hi_{c}")) for c in columns}
+    # Every row is counted in generated code; only the few rows with a value inside are gathered.
+    below = joined.groupBy(*by).agg(*[F.count_if(F.col(c) <= F.col(f"_lo_{c}")).alias(f"_low_{c}") for c in columns])
+    few = joined.where(reduce(lambda a, b: a | b, [F.coalesce(w, F.lit(False)) for w in within.values()]))
+    lists = few.groupBy(*by).agg(*[F.collect_list(F.when(w, F.col(c))).alias(f"_in_{c}") for c, w in within.items()])
+    counted = below.unionByName(lists, allowMissingColumns=True).groupBy(*by).agg(
+        *[F.sum(f"_low_{c}").alias(f"_low_{c}") for c in columns],
+        *[F.flatten(F.collect_list(f"_in_{c}")).alias(f"_in_{c}") for c in columns],
+    )
+    return _beside(counted, brackets, by).select(*by, *[_middle(c).alias(c) for c in columns])
 
 
 def _beside(df: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import pandas as pd
 import pytest
 
+from checks.queries import QUERIES, _scoring_input
 from shelfsight.operators.features import add_listing_quality, build_features
 from shelfsight.operators.scoring import score
 
@@ -127,3 +128,27 @@ def test_rank_cutoff(spark):
     rows = [(f"P{i}", "US", DAY, "c", float(i), 1.0, 1.0, 1.0, 1.0) for i in range(30)]
     out = score(scored_rows(spark, rows), rank_min=5).where("rank_in_cat IS NOT NULL")
     assert sorted(r["rank_in_cat"] for r in out.collect()) == [1, 2, 3, 4, 5]
+
+
+def test_the_reason_query_parses_a_text_once(spark, tmp_path):
+    lines = [(k, 1 + k % 40, 1 + k % 3, 1 + k % 4, 5.0 + k % 7, 10.0 + k, 0.05, 0.01 * (k % 5), "R", "O", dt.datetime(2020, 1, 1 + k % 28)) for k in range(300)]
+    columns = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+        " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    )
+    spark.createDataFrame(lines, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    suppliers = [(k, f"s{k}", 7 if k == 3 else 1, 100.0) for k in (1, 2, 3)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(
+        str(tmp_path / "supplier.parquet")
+    )
+    spark.createDataFrame([(1, "one"), (7, "seven")], "n_nationkey int, n_name string").write.parquet(str(tmp_path / "nation.parquet"))
+    found = QUERIES["score_reason"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") + plan.count("get_json_object(") == 1
+    full = score(_scoring_input(spark, str(tmp_path)), keep_z=True)
+    want = {(r["asin"], str(r["dt"])): r["z_listing_quality"] for r in full.collect()}
+    rows = found.collect()
+    assert len(rows) == len(want) and {r["weight"] for r in rows} == {0.3}
+    for r in rows:
+        z = want[r["asin"], r["dt"]]
+        assert r["z"] is None if z is None else r["z"] == pytest.approx(z, abs=1e-6)

@@ -45,6 +45,14 @@ def test_medians_equal_sorting(spark, gathered):
     assert selection.group_medians(df.limit(0), ["g"], ["v"], gathered).count() == 0
 
 
+def test_medians_gather_only_rows_with_a_value_inside(spark):
+    rows = spark.range(5000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("v"))
+    plan = selection.group_medians(rows, ["g"], ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    assert not [x for x in lines if "collect_list(CASE" in x and "count(" in x]
+    assert [x for x in lines if "Filter" in x and "_lo_v" in x and "_hi_v" in x]
+
+
 @pytest.mark.parametrize("gathered", [1, 20, selection.GATHERED])
 def test_cutoffs_are_the_digests_at_the_ranks(spark, gathered):
     data = [("a" if k % 3 else None, hashlib.sha256(str(k % 900).encode()).hexdigest()) for k in range(1000)]
