@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfsight.functions.columns import calendar_date, group_key, number, top_by_size, value_map
 from shelfsight.operators.contributions import explained
-from shelfsight.operators.running import rank_values, top_ranks
+from shelfsight.operators.running import group_sizes, rank_values, spread_keys, top_ranks
 from shelfsight.schemas import ensure_columns, with_fields
 from shelfsight.settings import HOT_ROWS, ScoringSettings
 from shelfsight.sources.datasets import export_view, load_latest, write_snapshot
@@ -112,25 +112,44 @@ def score_batch(
         logger.warning("features lack the columns %s; nothing is scored", ", ".join(sorted(missing)))
         types = {c: "double" for c in wanted} | {c: "string" for c in settings.identifier_columns}
         usable = ensure_columns(features, types).limit(0)
+    wide = ensure_columns(usable, {c: "string" for c in settings.group_by_columns})
+    sizes = group_sizes(wide.select(_group_id(settings).alias("group_id")), ["group_id"])
+    whole = sizes.largest <= hot_rows
+    # Where whole groups fit a task, the rows are dealt out before they are scored, so that
+    # scores and texts are not shuffled. The rows of a Python model are dealt out again anyway.
+    early = whole and not isinstance(scorer, PandasScorer)
+    usable = spread_keys(wide, [_group_id(settings)], sizes.total).select(*usable.columns) if early else usable
     scored = scorer(usable, wanted)
     groups = ensure_columns(scored, {c: "string" for c in settings.group_by_columns})
-    key = group_key([F.col(c) for c in settings.group_by_columns], ["UNKNOWN"] * len(settings.group_by_columns))
     scored = groups.withColumns(
         {
             "explosive_score": F.col("lgbm_score"),
             "reason": reason_json(F.col(CONTRIBUTIONS), settings.top_contributors),
             "dt": calendar_date("dt"),
-            "group_id": key,
+            "group_id": _group_id(settings),
         }
     ).drop(CONTRIBUTIONS)
-    # The ranks pass over the scores several times; the model must run only once.
-    scored = materialize(scored, "scores")
-    ranked = rank_values(scored, ["group_id"], "lgbm_score", dense="rank_in_group", hot_rows=hot_rows)
+    if whole and not early:
+        scored = spread_keys(scored, ["group_id"], sizes.total)
+
+    def in_group(df: DataFrame) -> DataFrame:
+        return rank_values(df, ["group_id"], "lgbm_score", dense="rank_in_group", hot_rows=hot_rows, sizes=sizes)
+
+    # Later passes read the written scores; the model must run only once.
+    if whole:
+        ranked = materialize(in_group(scored), "scores", "zstd")
+    else:
+        ranked = in_group(materialize(scored, "scores", "zstd"))
     ranked = ranked.withColumn("group_rank", F.col("rank_in_group"))
     ranked = top_ranks(ranked, ["site", "category"], "lgbm_score", settings.rank_min, "rank_in_cat", dense=True)
     return ranked.withColumn("model_version", F.lit(settings.model_version))
 
 
+def _group_id(settings: ScoringSettings) -> Column:
+    columns = settings.group_by_columns
+    return group_key([F.col(c) for c in columns], ["UNKNOWN"] * len(columns))
+
+
 def request_records(requests: DataFrame, item: str = "item") -> DataFrame:
     """Typed feature records from JSON text; fields beyond the base ones go to `extra`."""
     base = F.from_json(F.col(item), RECORD_SCHEMA)

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from shelfsight.operators import inference
+from shelfsight.operators import inference, running
 from shelfsight.operators.standardize import standardize
 from shelfsight.settings import ScoringSettings
 from shelfsight.sources import datasets, payload, vendors
@@ -251,6 +251,27 @@ def test_batch_scores(spark, hot_rows):
     assert [found[k]["rank_in_cat"] for k in "ABC"] == [2, 1, 3]
 
 
+def test_scores_and_texts_are_written_once_and_not_shuffled(spark, monkeypatch):
+    day = dt.date(2024, 1, 1)
+    rows = [(f"A{k}", "US", day, "c", f"band{k % 40}", float(k % 50), 1.0, 1.0, 1.0, 1.0, 1.0) for k in range(400)]
+    features = spark.createDataFrame([*rows, ("N", None, None, None, None, *[None] * 6)], FEATURES)
+    want = sorted(map(str, inference.score_batch(features, SCORER).collect()))
+    plans = {}
+
+    def recorded(df, label, *rest):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, label, *rest)
+
+    monkeypatch.setattr(inference, "materialize", recorded)
+    monkeypatch.setattr(inference, "spread_keys", lambda df, by, rows: running.spread_keys(df, by, rows, task_rows=20))
+    out = inference.score_batch(features, SCORER)
+    assert sorted(map(str, out.collect())) == want
+    exchanges = [line for line in plans["scores"].splitlines() if "Exchange" in line]
+    assert "rank_in_group" in plans["scores"] and len(exchanges) == 1
+    before_the_exchange = plans["scores"].split("Exchange")[1]
+    assert "lgbm_score" not in before_the_exchange and "Exchange hash" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_missing_columns_score_nothing(spark):
     rows = feature_rows(spark)
     assert inference.score_batch(rows.drop("x"), SCORER).count() == 0
