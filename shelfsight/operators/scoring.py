@@ -61,12 +61,10 @@ def score(
         z[f"z_{m}"] = -value if m == INVERTED else value
     rows = rows.withColumns(z)
     total = sum(F.lit(w) * F.col(f"z_{m}") for m, w in weights.items())
-    reason = F.to_json(
-        F.struct(
-            F.struct(*[F.lit(w).alias(m) for m, w in weights.items()]).alias("w"),
-            F.struct(*[F.col(f"z_{m}").alias(m) for m in metrics]).alias("z"),
-        )
-    )
+    # The text of the weights is the same for all rows: as a part of its own it is made once.
+    fixed = F.to_json(F.struct(*[F.lit(w).alias(m) for m, w in weights.items()]))
+    found = F.to_json(F.struct(*[F.col(f"z_{m}").alias(m) for m in metrics]))
+    reason = F.concat(F.lit('{"w":'), fixed, F.lit(',"z":'), found, F.lit("}"))
     scored = rows.select("asin", "site", "dt", "category", total.alias("explosive_score"), *z)
     ranked = top_ranks(scored, GROUP, "explosive_score", rank_min, "rank_in_cat")
     # The text is built last, so the rank join moves numbers only.

@@ -5,10 +5,12 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from checks.queries import QUERIES, _scoring_input
 from shelfsight.operators.features import add_listing_quality, build_features
 from shelfsight.operators.scoring import score
+from shelfsight.settings import SCORE_WEIGHTS
 
 DAY = dt.date(2024, 1, 1)
 
@@ -152,3 +154,40 @@ def test_the_reason_query_parses_a_text_once(spark, tmp_path):
     for r in rows:
         z = want[r["asin"], r["dt"]]
         assert r["z"] is None if z is None else r["z"] == pytest.approx(z, abs=1e-6)
+
+
+def test_the_reason_text_writes_its_weights_once(spark):
+    rows = [
+        ("A", "US", DAY, "c", 1.0, None, 5.0, float("inf"), 0.5),
+        ("B", "US", DAY, "c", 3.0, None, 7.0, 0.4, float("nan")),
+        ("C", "US", DAY, "c", 8.0, None, 6.0, 0.8, 0.9),
+        ("D", "UK", DAY, None, None, None, None, None, None),
+    ]
+    out = score(scored_rows(spark, rows), keep_z=True)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert '{"bsr_trend_30":0.35,' in plan
+    metrics = list(SCORE_WEIGHTS)
+    both = F.struct(
+        F.struct(*[F.lit(w).alias(m) for m, w in SCORE_WEIGHTS.items()]).alias("w"),
+        F.struct(*[F.col(f"z_{m}").alias(m) for m in metrics]).alias("z"),
+    )
+    texts = {r["asin"]: (r["reason"], r["whole"]) for r in out.withColumn("whole", F.to_json(both)).collect()}
+    assert len(texts) == 4 and all(a == b for a, b in texts.values())
+    assert texts["D"][0].endswith('"z":{}}')
+
+
+def test_the_reason_query_passes_over_other_entries(spark, tmp_path):
+    lines = [(k, 1, 1, 1, 5.0, 10.0, 0.05, 0.01, "R", "O", dt.datetime(2020, 1, 1 + k)) for k in range(9)]
+    columns = (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+        " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    )
+    spark.createDataFrame(lines, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, "s", 1, 1.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(
+        str(tmp_path / "supplier.parquet")
+    )
+    spark.createDataFrame([(1, "one")], "n_nationkey int, n_name string").write.parquet(str(tmp_path / "nation.parquet"))
+    found = QUERIES["score_reason"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapType" not in plan.split("from_json(")[1].split("to_json")[0].split("concat(")[0]
+    assert [(r["weight"], r["z"]) for r in found.collect()] == [(0.3, 0.0)] * 9
