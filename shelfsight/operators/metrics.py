@@ -19,16 +19,16 @@ def _gain(relevance: Column, position: Column) -> Column:
 
 
 def _ordered(
-    df: DataFrame, group: str, score: str, label: str, tie: Sequence[str], hot_rows: int
+    df: DataFrame, group: Sequence[str], score: str, label: str, tie: Sequence[str], hot_rows: int
 ) -> DataFrame:
     order = [F.col(score).desc_nulls_last(), *[F.col(c).asc() for c in tie]]
     hit = (F.col(label) > 0).cast("int")
-    slim = df.select(group, score, label, *[c for c in tie if c not in (group, score, label)])
-    return running_sums(slim, [group], order, {"_pos": F.lit(1), "_hits": hit}, hot_rows)
+    slim = df.select(*group, score, label, *[c for c in tie if c not in (*group, score, label)])
+    return running_sums(slim, group, order, {"_pos": F.lit(1), "_hits": hit}, hot_rows)
 
 
 def _group_quality(
-    df: DataFrame, group: str, score: str, label: str, tie: Sequence[str], ks: Sequence[int],
+    df: DataFrame, group: Sequence[str], score: str, label: str, tie: Sequence[str], ks: Sequence[int],
     prefix: str, hot_rows: int,
 ) -> DataFrame:
     """Per group: DCG@k, recall@k and average precision of one ordering."""
@@ -48,30 +48,30 @@ def _group_quality(
         aggregates.append(
             F.sum(F.when(pos <= k, _gain(F.col(label), pos)).otherwise(0.0)).alias(f"{prefix}dcg@{k}")
         )
-    return ranked.groupBy(group).agg(*aggregates)
+    return ranked.groupBy(*group).agg(*aggregates)
 
 
-def _ideal(df: DataFrame, group: str, label: str, ks: Sequence[int], hot_rows: int) -> DataFrame:
+def _ideal(df: DataFrame, group: Sequence[str], label: str, ks: Sequence[int], hot_rows: int) -> DataFrame:
     """DCG@k of the best possible order: equal labels are counted, not sorted.
 
     A run of `c` equal labels ending at position `e` fills positions e-c+1..e, of
     which only those up to k count, so a run expands to at most max(ks) terms.
     """
-    counted = df.groupBy(group, label).agg(F.count(F.lit(1)).alias("_c"))
-    runs = running_sums(counted, [group], [F.col(label).desc()], {"_end": F.col("_c")}, hot_rows)
+    counted = df.groupBy(*group, label).agg(F.count(F.lit(1)).alias("_c"))
+    runs = running_sums(counted, group, [F.col(label).desc()], {"_end": F.col("_c")}, hot_rows)
     start = F.col("_end") - F.col("_c") + 1
     top = runs.where(start <= max(ks)).withColumn(
         "_pos", F.explode(F.sequence(start, F.least(F.col("_end"), F.lit(max(ks)).cast("bigint"))))
     )
     gain = _gain(F.col(label), F.col("_pos"))
-    return top.groupBy(group).agg(
+    return top.groupBy(*group).agg(
         *[F.sum(F.when(F.col("_pos") <= k, gain).otherwise(0.0)).alias(f"ideal@{k}") for k in ks]
     )
 
 
-def _named_rows(row: DataFrame, names: Sequence[str]) -> DataFrame:
+def _named_rows(row: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(f"`{n}`").cast("double").alias("value")) for n in names])
-    return row.select(F.explode(pairs).alias("m")).select("m.metric", "m.value")
+    return row.select(*by, F.explode(pairs).alias("m")).select(*by, "m.metric", "m.value")
 
 
 def ranking_metrics(
@@ -83,17 +83,20 @@ def ranking_metrics(
     ks: Sequence[int] = DEFAULT_KS,
     tie: Sequence[str] = (),
     hot_rows: int = HOT_ROWS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """(metric, value) rows: ndcg@k, recall@k, map and, with a baseline, its lift.
 
-    Equal scores are ordered by the `tie` columns. Values are means over groups.
+    Equal scores are ordered by the `tie` columns. Values are means over groups; rows that
+    differ in the `by` columns are judged apart, and these columns lead the result.
     """
+    groups = [*by, group]
     per_group = null_safe_join(
-        _group_quality(df, group, score, label, tie, ks, "", hot_rows), _ideal(df, group, label, ks, hot_rows), [group]
+        _group_quality(df, groups, score, label, tie, ks, "", hot_rows), _ideal(df, groups, label, ks, hot_rows), groups
     )
     if baseline is not None:
         per_group = null_safe_join(
-            per_group, _group_quality(df, group, baseline, label, tie, ks, "baseline_", hot_rows), [group], "inner"
+            per_group, _group_quality(df, groups, baseline, label, tie, ks, "baseline_", hot_rows), groups, "inner"
         )
     means: list[Column] = []
     for k in ks:
@@ -108,8 +111,8 @@ def ranking_metrics(
     means.append(F.avg("ap").alias("map"))
     if baseline is not None:
         means.append(F.avg("baseline_ap").alias("baseline_map"))
-    summary = per_group.agg(*means)
-    return _named_rows(summary, summary.columns)
+    summary = per_group.groupBy(*by).agg(*means)
+    return _named_rows(summary, summary.columns[len(by) :], by)
 
 
 def lift_curve(
@@ -126,8 +129,8 @@ def lift_curve(
     if missing := [c for c in (group, label, score, baseline) if c not in df.columns]:
         raise ValueError(f"lift curve needs the columns {missing}")
     both = null_safe_join(
-        _group_quality(df, group, score, label, tie, ks, "", hot_rows),
-        _group_quality(df, group, baseline, label, tie, ks, "baseline_", hot_rows),
+        _group_quality(df, [group], score, label, tie, ks, "", hot_rows),
+        _group_quality(df, [group], baseline, label, tie, ks, "baseline_", hot_rows),
         [group],
         "inner",
     )

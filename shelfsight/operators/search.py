@@ -80,16 +80,29 @@ def propose(trials: Sequence[tuple[dict[str, float], float]], names: Sequence[st
     return found
 
 
+def batched_search(
+    space: dict[str, Range], scores: Callable[[list[dict[str, Any]]], list[float]], trials: int, seed: int = 42, parallelism: int = 1
+) -> list[tuple[dict[str, Any], float]]:
+    """All (setting, score) tried, in order. `scores` gets `parallelism` settings at a time, proposed from those done before.
+
+    The random trials at first look at no score, so their settings come all at once.
+    """
+    rng, done, found = random.Random(seed), [], []
+    while len(found) < trials:
+        places: list[dict[str, float]] = []
+        while not places or len(done) + len(places) < min(STARTS, trials):
+            some = min(max(parallelism, 1), trials - len(found) - len(places))
+            places += [propose(done, list(space), rng) for _ in range(some)]
+        settings = [{n: space[n].value(p[n]) for n in space} for p in places]
+        reached = [float(s) for s in scores(settings)]
+        done += zip(places, reached)
+        found += zip(settings, reached)
+    return found
+
+
 def adaptive_search(
     space: dict[str, Range], score: Callable[[dict[str, Any]], float], trials: int, seed: int = 42, parallelism: int = 1
 ) -> list[tuple[dict[str, Any], float]]:
-    """All (setting, score) tried, in order. `parallelism` trials run at a time, proposed from those done before."""
-    rng, done, found = random.Random(seed), [], []
+    """As `batched_search`, with a `score` of one setting; `parallelism` of them are scored at a time."""
     with ThreadPoolExecutor(max_workers=max(parallelism, 1)) as pool:
-        while len(found) < trials:
-            places = [propose(done, list(space), rng) for _ in range(min(max(parallelism, 1), trials - len(found)))]
-            settings = [{n: space[n].value(p[n]) for n in space} for p in places]
-            scores = [float(s) for s in pool.map(score, settings)]
-            done += zip(places, scores)
-            found += zip(settings, scores)
-    return found
+        return batched_search(space, lambda settings: list(pool.map(score, settings)), trials, seed, parallelism)

@@ -15,6 +15,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfsight.operators import lockstep
 from shelfsight.operators.boosting import Boosting, fit_listwise
 from shelfsight.operators.metrics import (
     binary_metrics,
@@ -22,7 +23,7 @@ from shelfsight.operators.metrics import (
     ranking_metrics,
     regression_metrics,
 )
-from shelfsight.operators.search import Range, adaptive_search
+from shelfsight.operators.search import Range, adaptive_search, batched_search
 from shelfsight.operators.splits import group_folds, group_holdout, random_holdout, stratified_holdout
 from shelfsight.schemas import first_present, numeric_columns
 from shelfsight.sources.scratch import materialize, materialize_for_loop
@@ -274,6 +275,29 @@ def prepared_folds(rows: DataFrame, features: list[str], folds: int) -> list[Dat
     return out
 
 
+def _side_by_side(
+    prepared: list[DataFrame], learner: Callable[[dict[str, Any]], GBTRegressor], group: str, label: str, keys: Sequence[str], parallelism: int
+) -> Callable[[list[dict[str, Any]]], list[float]]:
+    """The mean NDCG@20 over the folds of several settings at once: all their fits are grown and judged together."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        folds = list(pool.map(lambda part: lockstep.prepare(part.where(~F.col(HELD)), learner({})), prepared))
+    held = [part.where(F.col(HELD)).select(*dict.fromkeys([*keys, group, label]), FEATURES) for part in prepared]
+
+    def scores(settings: list[dict[str, Any]]) -> list[float]:
+        values = [lockstep.setting(learner(s)) for s in settings]
+        fits = lockstep.fit(folds, values)
+        judged = None
+        for f, (fold, rows) in enumerate(zip(folds, held)):
+            own = lockstep.score(rows, FEATURES, fold.borders, values, [of[f] for of in fits]).withColumn("_fold", F.lit(f))
+            judged = own if judged is None else judged.unionByName(own)
+        by = ["_fit", "_fold"]
+        metrics = ranking_metrics(materialize(judged, "trial"), group, label, "prediction", ks=(20,), tie=keys, by=by)
+        found = {(r["_fit"], r["_fold"]): float(r["value"] or 0.0) for r in metrics.where("metric = 'ndcg@20'").collect()}
+        return [sum(found.get((k, f), 0.0) for f in range(len(folds))) / len(folds) for k in range(len(values))]
+
+    return scores
+
+
 def tune_ranker(
     df: DataFrame,
     keys: Sequence[str],
@@ -302,14 +326,18 @@ def tune_ranker(
         model = learner(setting).fit(part.where(~F.col(HELD)))
         return _mean_ndcg(model.transform(part.where(F.col(HELD))), group, label, keys)
 
-    # The folds of a trial do not wait for each other either: a fit is a chain of short jobs.
-    with ThreadPoolExecutor(max_workers=max(parallelism, 1) * folds) as pool:
+    if lockstep.supports(options, space or SEARCH_SPACE):
+        scores = _side_by_side(prepared, learner, group, label, keys, max(parallelism, 1))
+        tried = batched_search(space or SEARCH_SPACE, scores, trials, seed, parallelism)
+    else:
+        # The folds of a trial do not wait for each other either: a fit is a chain of short jobs.
+        with ThreadPoolExecutor(max_workers=max(parallelism, 1) * folds) as pool:
 
-        def score(setting: dict[str, Any]) -> float:
-            found = list(pool.map(lambda part: fold_score(setting, part), prepared))
-            return sum(found) / len(found)
+            def score(setting: dict[str, Any]) -> float:
+                found = list(pool.map(lambda part: fold_score(setting, part), prepared))
+                return sum(found) / len(found)
 
-        tried = adaptive_search(space or SEARCH_SPACE, score, trials, seed, parallelism)
+            tried = adaptive_search(space or SEARCH_SPACE, score, trials, seed, parallelism)
     best = max(tried, key=lambda t: t[1])[0]
     table = [(i, m, {n: float(v) for n, v in setting.items()}) for i, (setting, m) in enumerate(tried)]
     trials_table = df.sparkSession.createDataFrame(table, "trial int, ndcg double, setting map<string,double>")

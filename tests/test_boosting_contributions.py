@@ -8,7 +8,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from shelfsight.operators import boosting, contributions, training
+from shelfsight.operators import boosting, contributions, lockstep, search, training
 from shelfsight.operators.inference import CONTRIBUTIONS, PipelineScorer, score_batch
 from shelfsight.settings import ScoringSettings
 from shelfsight.sources import scratch
@@ -186,3 +186,85 @@ def test_a_fitted_pipeline_gives_reasons(spark):
     first = out.orderBy("rank_in_group").first()
     reason = out.select(F.from_json("reason", "map<string,double>").alias("m")).first()["m"]
     assert len(reason) == 2 and first["rank_in_group"] == 1
+
+
+def on_folds(spark, n=700):
+    """Rows in two slices, with repeated values, an alike and a constant column, and repeated rows."""
+    draw = random.Random(5)
+    data = [(float(draw.randint(0, 9)), round(draw.random(), 2), draw.gauss(0, 1)) for _ in range(n)]
+    data += data[:50]
+    rows = [(k, f"q{k % 6}", k % 3, a, b, c, a * 2, 1.0, float(round(a / 4 + b + c / 5))) for k, (a, b, c) in enumerate(data)]
+    df = spark.createDataFrame(rows, "id int, query string, fold int, a double, b double, c double, d double, e double, relevance double")
+    return training.VectorAssembler(inputCols=["a", "b", "c", "d", "e"], outputCol=training.FEATURES).transform(df).repartition(2).cache()
+
+
+SETTINGS = (
+    {"stepSize": 0.1, "maxDepth": 4, "minInstancesPerNode": 5, "subsamplingRate": 0.7},
+    {"stepSize": 0.05, "maxDepth": 1, "minInstancesPerNode": 20, "subsamplingRate": 1.0, "minInfoGain": 0.01},
+    {"stepSize": 0.2, "maxDepth": 0, "minInstancesPerNode": 1, "subsamplingRate": 0.5},
+)
+
+
+@pytest.mark.parametrize("task_rows, sum_bytes", [(10**6, lockstep.SUM_BYTES), (10, lockstep.SUM_BYTES), (10, 1)])
+def test_fits_grown_side_by_side_equal_single_fits(spark, monkeypatch, task_rows, sum_bytes):
+    monkeypatch.setattr(lockstep, "SUM_BYTES", sum_bytes)
+    rows = on_folds(spark)
+
+    def learner(s):
+        return training.GBTRegressor(featuresCol=training.FEATURES, labelCol="relevance", maxIter=3, maxBins=8, seed=7, **s)
+
+    parts = [rows.where(F.col("fold") != f) for f in range(2)]
+    folds = [lockstep.prepare(part, learner({})) for part in parts]
+    values = [lockstep.setting(learner(s)) for s in SETTINGS]
+    fits = lockstep.fit(folds, values, task_rows)
+    for f, part in enumerate(parts):
+        scored = lockstep.score(rows, training.FEATURES, folds[f].borders, values, [of[f] for of in fits])
+        assert training.FEATURES not in scored.columns and scored.count() == 3 * rows.count()
+        for k, s in enumerate(SETTINGS):
+            own = {r["id"]: r["prediction"] for r in scored.where(F.col("_fit") == k).collect()}
+            want = {r["id"]: r["prediction"] for r in learner(s).fit(part).transform(rows).collect()}
+            assert own == pytest.approx(want, abs=1e-9)
+
+
+def test_draws_are_those_of_sparks_generator(spark):
+    jvm = spark.sparkContext._jvm
+    theirs = jvm.org.apache.spark.util.random.XORShiftRandom(11)
+    start = getattr(getattr(jvm, "org.apache.spark.util.random.XORShiftRandom$"), "MODULE$").hashSeed(11) % (1 << 64)
+    assert lockstep.draws(start, 301).tolist() == [theirs.nextDouble() for _ in range(301)]
+    assert len(lockstep.draws(start, 0)) == 0
+
+
+def test_a_search_needs_few_jobs_and_scores_as_single_fits(spark):
+    rows = on_folds(spark).select("id", "query", "a", "b", "c", "relevance")
+    search = {"group": "query", "label": "relevance", "folds": 2, "trials": 3, "parallelism": 2, "seed": 3, "maxIter": 3}
+    last_job = lambda: max(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    found, jobs = {}, {}
+    # A column subset is beyond the fits grown side by side; "all" changes nothing else.
+    for name, more in (("together", {}), ("single", {"featureSubsetStrategy": "all"})):
+        spark.range(1).count()
+        before = last_job()
+        found[name] = [(r["setting"], r["ndcg"]) for r in training.tune_ranker(rows, ["id"], **search, **more).trials.orderBy("trial").collect()]
+        jobs[name] = last_job() - before
+    assert 2 * jobs["together"] < jobs["single"]
+    assert [s for s, _ in found["together"]] == [s for s, _ in found["single"]] and len(found["together"]) == 3
+    assert [v for _, v in found["together"]] == pytest.approx([v for _, v in found["single"]], abs=1e-12)
+
+
+def test_random_trials_come_at_once():
+    seen = []
+
+    def scores(settings):
+        seen.append(len(settings))
+        return [s["x"] for s in settings]
+
+    space = {"x": search.Range(0.0, 1.0)}
+    together = search.batched_search(space, scores, 18, 1, 4)
+    assert seen == [12, 4, 2] and together == search.adaptive_search(space, lambda s: s["x"], 18, 1, 4)
+
+
+def test_documents_are_counted_before_they_are_joined(spark):
+    from checks.queries import _document_features
+
+    plan = _document_features(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = plan.partition("Join")
+    assert "regexp_replace" in below and "regexp_replace" not in above
